@@ -25,7 +25,7 @@ raw AS (
     CAST(floor(value) AS BIGINT) AS "Total_Length_of_Bwd_Packets",
     CASE WHEN event_id % 101 = 0 THEN ' Label'
          WHEN event_id % 103 = 0 THEN NULL
-         WHEN event_id % 107 = 0 THEN ''
+         WHEN event_id % 107 = 0 THEN '  '
          WHEN event_id % 7 = 0 THEN ' ' || base_label || ' '
          ELSE base_label END AS label_raw,
     'file:///data/raw/' || strftime(ts, '%A') || '-WorkingHours.pcap_ISCX.csv' AS _source_file

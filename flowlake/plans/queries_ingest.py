@@ -1 +1,189 @@
-"""Queries over raw files: CSV scan, lineage, line counts."""
+"""Queries over raw CSV files: scan, lineage, headers, line counts, recounts.
+
+The driver's tables hold no CSV, so the raw flows of ``events`` are first
+written as CSV (flow-meter headers with their leading spaces, one folder
+per capture file) to a fresh folder under the shared work root; the
+queries then read those files like real captures.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from flowlake.functions.columns import (
+    REQUIRED_COLUMNS, prepare_columns, resolve_aliases, sanitize_names, strip_headers,
+)
+from flowlake.operators.clean import SOURCE_FILE, clean, fact_columns
+from flowlake.operators import validate as V
+from flowlake.plans.oracle import with_ctes
+from flowlake.plans.registry import register
+from flowlake.session import configure, scratch_path
+from flowlake.sources import csv as S
+from flowlake.sources.flows import raw_flows
+
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def write_flows_csv(raw: DataFrame, path: str) -> str:
+    """Write raw flows as CSV captures: folder ``capture=<file name>``."""
+    capture = F.regexp_extract(F.col(SOURCE_FILE), r"([^/]+)$", 1)
+    (
+        raw.withColumn("capture", capture).drop(SOURCE_FILE)
+        .repartition("capture")
+        .write.mode("errorifexists")
+        .partitionBy("capture")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    return path
+
+
+def flows_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Glob of the CSV captures for ``sf_dir`` (written once per application)."""
+    configure(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WRITTEN:
+        path = scratch_path(spark, "flows-csv")
+        write_flows_csv(raw_flows(spark, sf_dir), path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key] + "/*/*.csv"
+
+
+def csv_fact(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, str]]:
+    raw = S.csv_scan(spark, flows_csv(spark, sf_dir))
+    df, cols = prepare_columns(raw)
+    return clean(df, cols), fact_columns(cols)
+
+
+RAW_CSV_SQL = with_ctes("raw", body="""
+SELECT "Flow_Duration" AS "Flow Duration", "Source_IP" AS "Source IP", "Timestamp",
+       rate_raw AS "Flow Packets/s",
+       "Total_Length_of_Fwd_Packets" AS "Total Length of Fwd Packets",
+       "Total_Length_of_Bwd_Packets" AS "Total Length of Bwd Packets",
+       label_raw AS "Label"
+FROM raw""")
+
+
+@register("csv_scan", RAW_CSV_SQL)
+def q_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = S.csv_scan(spark, flows_csv(spark, sf_dir))
+    return raw.drop(SOURCE_FILE)
+
+
+@register("source_lineage")
+def q_source_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = S.csv_scan(spark, flows_csv(spark, sf_dir))
+    return raw.select(F.col("Flow Duration").alias("Flow_Duration"), SOURCE_FILE)
+
+
+@register("raw_line_count", with_ctes("raw", body="SELECT count(*) AS raw_rows FROM raw"))
+def q_raw_line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.raw_line_count(spark, flows_csv(spark, sf_dir))
+
+
+@register("smallest_file")
+def q_smallest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.smallest_file(spark, flows_csv(spark, sf_dir))
+
+
+def _header_rows(spark: SparkSession, sf_dir: str) -> list[str]:
+    groups = S.header_groups(spark, flows_csv(spark, sf_dir))
+    return S.parse_header(next(iter(groups)))
+
+
+@register("strip_headers")
+def q_strip_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw_names = _header_rows(spark, sf_dir)
+    text = S.read_text_columns(spark, flows_csv(spark, sf_dir))
+    stripped = strip_headers(text.toDF(*(raw_names + [SOURCE_FILE]))).columns
+    rows = list(zip(range(len(raw_names)), raw_names, stripped))
+    return spark.createDataFrame(rows, "position int, raw_name string, name string")
+
+
+@register("resolve_aliases", with_ctes("parsed", body="""
+SELECT "Flow_Duration" AS flow_duration, "Source_IP" AS source_ip, "Timestamp" AS timestamp,
+       rate_raw AS flow_packets_per_sec,
+       "Total_Length_of_Fwd_Packets" AS total_len_fwd_packets,
+       "Total_Length_of_Bwd_Packets" AS total_len_bwd_packets, label_raw AS label
+FROM parsed"""))
+def q_resolve_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = S.csv_scan(spark, flows_csv(spark, sf_dir))
+    cols = resolve_aliases(raw.columns)
+    return raw.select(*[F.col(f"`{actual}`").alias(canonical) for canonical, actual in cols.items()])
+
+
+@register("require_columns")
+def q_require_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = S.csv_scan(spark, flows_csv(spark, sf_dir))
+    cols = resolve_aliases(raw.columns)
+    rows = [(c, cols.get(c), c in cols) for c in REQUIRED_COLUMNS]
+    return spark.createDataFrame(rows, "canonical string, actual string, found boolean")
+
+
+@register("sanitize_names")
+def q_sanitize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = S.csv_scan(spark, flows_csv(spark, sf_dir))
+    cols = resolve_aliases(raw.columns)
+    renamed, _ = sanitize_names(raw, cols)
+    rows = list(zip(raw.columns, renamed.columns))
+    return spark.createDataFrame(rows, "name string, sanitized string")
+
+
+MONDAY_CAPTURE = "capture=Monday-WorkingHours.pcap_ISCX.csv"
+
+
+@register("rows_of_source_file", with_ctes("fact", body="""
+SELECT "Flow_Duration", label FROM fact
+WHERE regexp_extract(_source_file, '([^/]+)$', 1) = 'Monday-WorkingHours.pcap_ISCX.csv'"""))
+def q_rows_of_source_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact, _ = csv_fact(spark, sf_dir)
+    return S.rows_of_source_file(fact, MONDAY_CAPTURE).select("Flow_Duration", "label")
+
+
+_RECOUNT = """
+recount AS (
+  SELECT regexp_extract(_source_file, '([^/]+)$', 1) AS source_name, label,
+         count(*) AS raw_flow_count
+  FROM parsed WHERE label IS NOT NULL AND label <> 'Label' GROUP BY ALL),
+fact_counts AS (
+  SELECT regexp_extract(_source_file, '([^/]+)$', 1) AS source_name, label,
+         count(*) AS fact_flow_count
+  FROM fact GROUP BY ALL)"""
+
+
+@register("validate_labels", with_ctes("fact", extra=_RECOUNT, body="""
+SELECT coalesce(r.source_name, f.source_name) AS source_name,
+       coalesce(r.label, f.label) AS label,
+       coalesce(r.raw_flow_count, 0) AS raw_flow_count,
+       coalesce(f.fact_flow_count, 0) AS fact_flow_count,
+       coalesce(r.raw_flow_count, 0) = coalesce(f.fact_flow_count, 0) AS match
+FROM recount r FULL OUTER JOIN fact_counts f
+  ON r.source_name = f.source_name AND r.label = f.label"""))
+def q_validate_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact, _ = csv_fact(spark, sf_dir)
+    return V.validate_labels(spark, flows_csv(spark, sf_dir), fact)
+
+
+@register("reconcile_label_counts", with_ctes("fact", extra="""
+recount AS (SELECT label, count(*) AS raw_flow_count FROM parsed
+            WHERE label IS NOT NULL AND label <> 'Label' GROUP BY label),
+fact_counts AS (SELECT label, count(*) AS fact_flow_count FROM fact GROUP BY label)""", body="""
+SELECT coalesce(r.label, f.label) AS label,
+       coalesce(r.raw_flow_count, 0) AS raw_flow_count,
+       coalesce(f.fact_flow_count, 0) AS fact_flow_count,
+       coalesce(r.raw_flow_count, 0) = coalesce(f.fact_flow_count, 0) AS match
+FROM recount r FULL OUTER JOIN fact_counts f ON r.label = f.label"""))
+def q_reconcile_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact, _ = csv_fact(spark, sf_dir)
+    return V.reconcile_label_counts(spark, flows_csv(spark, sf_dir), fact)
+
+
+@register("validate_structure", with_ctes("fact", body="""
+SELECT (SELECT count(*) FROM raw) AS raw_rows, count(*) AS cleaned_rows,
+       count(*) <= (SELECT count(*) FROM raw) AS passed FROM fact"""))
+def q_validate_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact, _ = csv_fact(spark, sf_dir)
+    return V.validate_structure(S.raw_line_count(spark, flows_csv(spark, sf_dir)), fact)

@@ -54,7 +54,7 @@ def _dirty_label(rid: Column, label: Column) -> Column:
     return (
         F.when(rid % STRAY_EVERY == 0, F.lit(H_LABEL))
         .when(rid % NULL_LABEL_EVERY == 0, F.lit(None).cast("string"))
-        .when(rid % BLANK_EVERY == 0, F.lit(""))
+        .when(rid % BLANK_EVERY == 0, F.lit("  "))
         .when(rid % PAD_EVERY == 0, F.concat(F.lit(" "), label, F.lit(" ")))
         .otherwise(label)
     )
