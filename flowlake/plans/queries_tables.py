@@ -1 +1,452 @@
-"""Queries over versioned snapshot tables."""
+"""Queries over versioned snapshot tables: writes, time travel, evolution,
+retention, export and manifests.
+
+Each query first runs the transform over the flows of ``events`` into a
+fresh store under the shared work root (once per application and scale
+factor); queries that change tables work on their own copy.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from flowlake.operators import evolution as EV
+from flowlake.operators import maintenance as M
+from flowlake.operators.reconcile import except_all_both_ways, fingerprint, table_equality
+from flowlake.plans.oracle import with_ctes
+from flowlake.plans.registry import register
+from flowlake.plans.transform import run_transform
+from flowlake.session import configure, scratch_path
+from flowlake.sources.flows import raw_flows
+from flowlake.sources.snapshots import SnapshotStore
+
+_BASE: dict[tuple[str, str], tuple[SnapshotStore, DataFrame]] = {}
+
+FACT_COLS = ('"Flow_Duration", "Source_IP", "Timestamp", "Flow_Packets/s", '
+             '"Total_Length_of_Fwd_Packets", "Total_Length_of_Bwd_Packets", label, '
+             '_source_file, event_time, event_date, attack_category')
+TOP3 = ("(SELECT * FROM fact ORDER BY event_date, label, \"Flow_Duration\" LIMIT 3)")
+COUNTS = """
+counts AS (
+  SELECT 'network_events' AS "table", (SELECT count(*) FROM fact) AS row_count
+  UNION ALL SELECT 'label_counts', (SELECT count(*) FROM label_counts)
+  UNION ALL SELECT 'src_ip_window_counts', (SELECT count(*) FROM windows)
+  UNION ALL SELECT 'anomaly_threshold_counts', (SELECT count(*) FROM anomaly))"""
+
+
+def base(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, DataFrame]:
+    """Transform output for ``sf_dir`` (computed once per application)."""
+    configure(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BASE:
+        store = SnapshotStore(spark, scratch_path(spark, "warehouse"))
+        report = run_transform(spark, raw_flows(spark, sf_dir), store.namespace("security"))
+        _BASE[key] = (store.namespace("security"), report.cache())
+    return _BASE[key]
+
+
+def fresh(spark: SparkSession, name: str) -> SnapshotStore:
+    return SnapshotStore(spark, scratch_path(spark, name))
+
+
+def copy_of(spark: SparkSession, sf_dir: str, tables=("network_events",)) -> SnapshotStore:
+    src, _ = base(spark, sf_dir)
+    dst = fresh(spark, "copy")
+    for t in tables:
+        EV.seed_copy(src, dst, t)
+    return dst
+
+
+def fact_cols(df: DataFrame) -> DataFrame:
+    return df.select("Flow_Duration", "Source_IP", "Timestamp", "Flow_Packets/s",
+                     "Total_Length_of_Fwd_Packets", "Total_Length_of_Bwd_Packets", "label",
+                     "_source_file", "event_time", "event_date", "attack_category")
+
+
+# --- writes and reads --------------------------------------------------------
+
+@register("partitioned_overwrite", with_ctes("fact", body=f"SELECT {FACT_COLS} FROM fact"))
+def q_partitioned_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, _ = base(spark, sf_dir)
+    return fact_cols(store.read("network_events"))
+
+
+def _label_versions(spark: SparkSession, sf_dir: str) -> SnapshotStore:
+    """label_counts v0 = all rows, v1 = ATTACK rows only (overwrite)."""
+    src, _ = base(spark, sf_dir)
+    store = fresh(spark, "versions")
+    lc = src.read("label_counts")
+    store.overwrite("label_counts", lc, ["event_date"])
+    store.overwrite("label_counts", lc.where(F.col("attack_category") == "ATTACK"), ["event_date"])
+    return store
+
+
+@register("snapshot_read_latest", with_ctes("label_counts", body="""
+SELECT * FROM label_counts WHERE attack_category = 'ATTACK'"""))
+def q_snapshot_read_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _label_versions(spark, sf_dir).read("label_counts")
+
+
+@register("snapshot_read_version", with_ctes("label_counts", body="SELECT * FROM label_counts"))
+def q_snapshot_read_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _label_versions(spark, sf_dir).read("label_counts", version=0)
+
+
+def _evolved(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, dict]:
+    src, _ = base(spark, sf_dir)
+    demo = fresh(spark, "demo")
+    EV.seed_copy(src, demo)
+    info = EV.column_evolution(demo, "network_events", src.read("network_events"))
+    return demo, info
+
+
+@register("snapshot_read_id", with_ctes("fact", body=f"SELECT {FACT_COLS} FROM fact"))
+def q_snapshot_read_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    demo, info = _evolved(spark, sf_dir)
+    old = demo.read("network_events", snapshot_id=info["before_snapshot_id"])
+    if EV.NEW_COLUMN in old.columns:
+        raise AssertionError("snapshot read did not restore the historical schema")
+    return fact_cols(old)
+
+
+@register("table_scan", with_ctes("label_counts", body="SELECT * FROM label_counts"))
+def q_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, _ = base(spark, sf_dir)
+    view = f"label_counts_{uuid.uuid4().hex[:8]}"
+    store.read("label_counts").createOrReplaceTempView(view)
+    return spark.table(view)
+
+
+@register("snapshot_history")
+def q_snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    demo, _ = _evolved(spark, sf_dir)
+    return demo.history("network_events").select(
+        "version", "committed_at", "operation", "snapshot_id", "row_count")
+
+
+@register("required_tables_check", """
+SELECT * FROM (VALUES ('network_events', true, true), ('label_counts', true, true),
+  ('src_ip_window_counts', false, true), ('anomaly_threshold_counts', false, true))
+  AS t("table", required, present)
+WHERE EXISTS (SELECT 1 FROM events)""")
+def q_required_tables_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, _ = base(spark, sf_dir)
+    M.require_tables(store)
+    return M.table_presence(store).select("table", "required", "present")
+
+
+def _exported(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, DataFrame, DataFrame]:
+    src, _ = base(spark, sf_dir)
+    target = fresh(spark, "export")
+    first = M.export_tables(src, target)
+    second = M.export_tables(src, target)
+    return target, first, second
+
+
+@register("pinned_export_scan", with_ctes("fact", body=f"SELECT {FACT_COLS} FROM fact"))
+def q_pinned_export_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, _, _ = _exported(spark, sf_dir)
+    return fact_cols(target.read("network_events"))
+
+
+@register("create_or_replace", with_ctes("label_counts", body="SELECT * FROM label_counts"))
+def q_create_or_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, _, _ = _exported(spark, sf_dir)
+    return target.read("label_counts")
+
+
+@register("create_table_as", with_ctes("label_counts", body="SELECT * FROM label_counts"))
+def q_create_table_as(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src, _ = base(spark, sf_dir)
+    target = fresh(spark, "ctas")
+    target.create("label_counts", src.read("label_counts"), ["event_date"])
+    try:
+        target.create("label_counts", src.read("label_counts"), ["event_date"])
+        raise AssertionError("create over an existing table must fail")
+    except FileExistsError:
+        pass
+    return target.read("label_counts")
+
+
+@register("append_guard")
+def q_append_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    demo = copy_of(spark, sf_dir)
+    batch = EV.ordered_batch(demo.read("network_events")).withColumn(
+        EV.NEW_COLUMN, F.lit(0.87).cast("double"))
+    return EV.append_guard(demo, "network_events", batch)
+
+
+EVOLVED_SQL = with_ctes("fact", body=f"""
+SELECT "Flow_Duration", label, event_date, CAST(NULL AS DOUBLE) AS threat_intel_score FROM fact
+UNION ALL
+SELECT "Flow_Duration", label, event_date, CAST({{score}} AS DOUBLE) FROM {TOP3}""")
+
+
+@register("append_evolve", EVOLVED_SQL.replace("{score}", "0.87"))
+def q_append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    demo = copy_of(spark, sf_dir)
+    info = EV.merge_evolution(demo, "network_events", demo.read("network_events"))
+    if not info["blocked"]:
+        raise AssertionError("append without merge must be blocked")
+    return demo.read("network_events").select("Flow_Duration", "label", "event_date",
+                                              EV.NEW_COLUMN)
+
+
+@register("add_column", EVOLVED_SQL.replace("{score}", "0.9"))
+def q_add_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    demo, _ = _evolved(spark, sf_dir)
+    return demo.read("network_events").select("Flow_Duration", "label", "event_date",
+                                              EV.NEW_COLUMN)
+
+
+@register("append_same", with_ctes("fact", body=f"""
+SELECT "Flow_Duration", label, event_date FROM fact
+UNION ALL SELECT "Flow_Duration", label, event_date FROM {TOP3}"""))
+def q_append_same(spark: SparkSession, sf_dir: str) -> DataFrame:
+    demo = copy_of(spark, sf_dir)
+    demo.append("network_events", EV.ordered_batch(demo.read("network_events")))
+    return demo.read("network_events").select("Flow_Duration", "label", "event_date")
+
+
+@register("seed_copy", with_ctes("fact", body=f"SELECT {FACT_COLS} FROM fact"))
+def q_seed_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src, _ = base(spark, sf_dir)
+    demo = fresh(spark, "seed")
+    first = EV.seed_copy(src, demo)
+    second = EV.seed_copy(src, demo)
+    if not first or second:
+        raise AssertionError("seed must copy once")
+    return fact_cols(demo.read("network_events"))
+
+
+@register("drop_optional_output")
+def q_drop_optional_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = copy_of(spark, sf_dir, ("network_events", "label_counts", "src_ip_window_counts"))
+    return M.drop_optional_output(store, "src_ip_window_counts")
+
+
+@register("table_properties")
+def q_table_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = copy_of(spark, sf_dir, ("network_events", "label_counts"))
+    store.set_properties("label_counts", {"deleted_file_retention": "interval 14 days"})
+    store.set_properties("label_counts", M.RETENTION_PROPERTIES)
+    rows = []
+    for name in ("network_events", "label_counts"):
+        c = store.commit(name)
+        rows += [(name, c.version, k, v) for k, v in sorted(c.properties.items())]
+    return spark.createDataFrame(rows, "table string, version long, key string, value string")
+
+
+# --- retention -----------------------------------------------------------------
+
+def _retention_store(spark: SparkSession, sf_dir: str) -> SnapshotStore:
+    """Overwrite sequence BENIGN -> ATTACK -> all rows of label_counts."""
+    src, _ = base(spark, sf_dir)
+    store = fresh(spark, "retention")
+    lc = src.read("label_counts")
+    for part in (lc.where("attack_category = 'BENIGN'"), lc.where("attack_category = 'ATTACK'"), lc):
+        store.overwrite("label_counts", part, ["event_date"])
+    store.overwrite("network_events", src.read("network_events"), M.TABLES["network_events"])
+    return store
+
+
+LATER = dt.timedelta(days=8)
+_DEAD_SQL = with_ctes("label_counts", body="""
+SELECT 'label_counts' AS "table", 'segment=0' AS segment, count(*) AS segment_rows
+FROM label_counts WHERE attack_category = 'BENIGN'
+UNION ALL
+SELECT 'label_counts', 'segment=1', count(*) FROM label_counts WHERE attack_category = 'ATTACK'""")
+
+
+def _with_rows(store: SnapshotStore, dead: DataFrame) -> DataFrame:
+    hist = store.history("label_counts").select(
+        F.concat(F.lit("segment="), F.col("version")).alias("segment"),
+        F.col("added_rows").alias("segment_rows"))
+    return dead.join(hist, "segment").select("table", "segment", "segment_rows")
+
+
+@register("retention_candidates", _DEAD_SQL)
+def q_retention_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _retention_store(spark, sf_dir)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + LATER
+    return _with_rows(store, M.retention_candidates(store, "label_counts", now=now))
+
+
+@register("retention_anti_join", _DEAD_SQL)
+def q_retention_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _retention_store(spark, sf_dir)
+    dead = (M.segment_lifetimes(store, "label_counts")
+            .join(M.live_segments(store, "label_counts"), "segment", "left_anti")
+            .select(F.lit("label_counts").alias("table"), "segment"))
+    return _with_rows(store, dead)
+
+
+@register("retention_apply")
+def q_retention_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _retention_store(spark, sf_dir)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + LATER
+    run_id = f"run-{uuid.uuid4().hex[:8]}"
+    M.retention_apply(store, run_id, now=now)
+    return M.retention_apply(store, run_id, now=now).select(
+        "seq", "table", "status", "candidates", "removed_count")
+
+
+@register("audit_gate")
+def q_audit_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _retention_store(spark, sf_dir)
+    run_id = f"run-{uuid.uuid4().hex[:8]}"
+    M.retention_apply(store, run_id)
+    return M.audit_gate(store, run_id)
+
+
+# --- export and manifests ------------------------------------------------------
+
+@register("export_manifest", with_ctes("label_counts", "windows", "anomaly", extra=COUNTS, body="""
+SELECT "table", true AS present, row_count FROM counts"""))
+def q_export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, first, _ = _exported(spark, sf_dir)
+    return first.select("table", "present", "row_count")
+
+
+@register("publish_manifest", with_ctes("label_counts", "windows", "anomaly", extra=COUNTS, body="""
+SELECT "table", true AS present, row_count FROM counts"""))
+def q_publish_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src, _ = base(spark, sf_dir)
+    store = fresh(spark, "publish")
+    for name in M.TABLES:
+        EV.seed_copy(src, store, name)
+    run_id = f"run-{uuid.uuid4().hex[:8]}"
+    M.retention_apply(store, run_id)
+    return M.publish_manifest(store, run_id).select("table", "present", "row_count")
+
+
+@register("warehouse_export", with_ctes("label_counts", "windows", "anomaly", extra=COUNTS, body="""
+SELECT "table", true AS present, row_count FROM counts"""))
+def q_warehouse_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src, _ = base(spark, sf_dir)
+    target = fresh(spark, "warehouse-load")
+    today = dt.datetime.now(dt.timezone.utc).date()
+    return M.warehouse_export(src, target, today).select("table", "present", "row_count")
+
+
+@register("export_row_check", with_ctes("label_counts", "windows", "anomaly", extra=COUNTS, body="""
+SELECT "table", row_count AS source_rows, row_count AS target_rows, true AS match FROM counts"""))
+def q_export_row_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src, _ = base(spark, sf_dir)
+    target, _, _ = _exported(spark, sf_dir)
+    frames = []
+    for name in M.TABLES:
+        s = src.read(name).agg(F.count(F.lit(1)).alias("source_rows"))
+        t = target.read(name).agg(F.count(F.lit(1)).alias("target_rows")).select("target_rows").scalar()
+        frames.append(s.select(F.lit(name).alias("table"), "source_rows", t.alias("target_rows"),
+                               (F.col("source_rows") == t).alias("match")))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("idempotent_rerun", with_ctes("label_counts", "windows", "anomaly", extra=COUNTS, body="""
+SELECT "table", row_count AS first_rows, row_count AS second_rows, true AS same_rows FROM counts"""))
+def q_idempotent_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src, _ = base(spark, sf_dir)
+    target, first, second = _exported(spark, sf_dir)
+    f = first.select("table", F.col("row_count").alias("first_rows"))
+    s = second.select("table", F.col("row_count").alias("second_rows"))
+    frames = []
+    for name in M.TABLES:
+        diff = except_all_both_ways(src.read(name), target.read(name))
+        frames.append(spark.createDataFrame([(name, diff.isEmpty())], "table string, same_rows boolean"))
+    same = frames[0]
+    for fr in frames[1:]:
+        same = same.unionByName(fr)
+    return f.join(s, "table").join(same, "table").select("table", "first_rows", "second_rows",
+                                                         "same_rows")
+
+
+@register("run_report")
+def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, report = base(spark, sf_dir)
+    return report
+
+
+@register("cache_mode", with_ctes("label_counts", body="""
+SELECT m.cache_mode, lc.* FROM label_counts lc,
+  (VALUES ('full'), ('narrow'), ('none')) AS m(cache_mode)"""))
+def q_cache_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = None
+    for mode in ("full", "narrow", "none"):
+        store = fresh(spark, f"cache-{mode}")
+        run_transform(spark, raw_flows(spark, sf_dir), store, cache_mode=mode)
+        lc = store.read("label_counts").select(F.lit(mode).alias("cache_mode"), "*")
+        out = lc if out is None else out.unionByName(lc)
+    return out
+
+
+@register("table_fingerprint")
+def q_table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, _ = base(spark, sf_dir)
+    return fingerprint(store.read("network_events"))
+
+
+@register("table_equality", with_ctes("label_counts", body="""
+SELECT true AS same_schema,
+       CAST(count_if(attack_category = 'BENIGN') AS BIGINT) AS only_left,
+       CAST(0 AS BIGINT) AS only_right, count_if(attack_category = 'BENIGN') = 0 AS equal
+FROM label_counts"""))
+def q_table_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _label_versions(spark, sf_dir)
+    return table_equality(store.read("label_counts", version=0), store.read("label_counts"))
+
+
+# --- history, versions, schema diff, evolution check ---------------------------
+
+@register("ordered_history", with_ctes("fact", body="""
+SELECT h.version, h.operation, h.added_rows, n.n + h.extra AS row_count
+FROM (VALUES (0, 'CREATE', NULL, 0), (1, 'ADD COLUMNS', 0, 0), (2, 'APPEND', 3, 3))
+       AS h(version, operation, added_rows, extra),
+     (SELECT count(*) AS n FROM fact) AS n"""))
+def q_ordered_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    demo, _ = _evolved(spark, sf_dir)
+    h = demo.history("network_events")
+    return h.select(F.col("version").cast("int").alias("version"), "operation",
+                    F.when(F.col("version") == 0, F.lit(None)).otherwise(F.col("added_rows"))
+                    .cast("int").alias("added_rows"), "row_count")
+
+
+@register("latest_version", with_ctes("fact", body="""
+SELECT CAST(2 AS BIGINT) AS latest_version, count(*) + 3 AS row_count FROM fact"""))
+def q_latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    demo, _ = _evolved(spark, sf_dir)
+    h = demo.history("network_events")
+    return h.agg(F.max("version").alias("latest_version"),
+                 F.max_by("row_count", "version").alias("row_count"))
+
+
+@register("latest_snapshot", with_ctes("fact", body="""
+SELECT CAST(2 AS BIGINT) AS version, 'APPEND' AS operation, count(*) + 3 AS row_count FROM fact"""))
+def q_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    demo, _ = _evolved(spark, sf_dir)
+    return (demo.history("network_events").orderBy(F.col("version").desc()).limit(1)
+            .select("version", "operation", "row_count"))
+
+
+@register("schema_diff", with_ctes("fact", body="""
+SELECT 'threat_intel_score' AS column_name, 'double' AS data_type,
+       CAST(3 AS BIGINT) AS row_delta WHERE EXISTS (SELECT 1 FROM fact)"""))
+def q_schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    demo, info = _evolved(spark, sf_dir)
+    return EV.schema_diff(demo.read("network_events", version=info["before_version"]),
+                          demo.read("network_events"))
+
+
+@register("evolution_check", with_ctes("fact", body="""
+SELECT count(*) AS before_rows, count(*) + 3 AS after_rows, count(*) AS null_rows,
+       false AS old_has_column, true AS new_has_column, true AS passed FROM fact"""))
+def q_evolution_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    demo, info = _evolved(spark, sf_dir)
+    return EV.evolution_check(demo, "network_events", info["before_version"])
