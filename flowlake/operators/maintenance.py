@@ -98,12 +98,14 @@ def retention_candidates(store: SnapshotStore, name: str,
                          keep: dt.timedelta = DELETED_FILE_RETENTION) -> DataFrame:
     """K12 (dry run): segments not in the current version (J3 anti join)
     whose removal is older than the retention period."""
-    now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    now = now or dt.datetime.now(dt.timezone.utc)
+    if now.tzinfo is None:
+        now = now.replace(tzinfo=dt.timezone.utc)
     cutoff = now - keep
     dead = segment_lifetimes(store, name).join(live_segments(store, name), "segment", "left_anti")
     return (
         dead.where(F.col("removed_at").isNotNull()
-                   & (F.col("removed_at") < F.lit(cutoff).cast("timestamp")))
+                   & (F.col("removed_at") < F.lit(cutoff)))
         .select(F.lit(name).alias("table"), "segment", "last_version", "removed_at")
     )
 

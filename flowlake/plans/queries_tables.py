@@ -272,7 +272,7 @@ def _with_rows(store: SnapshotStore, dead: DataFrame) -> DataFrame:
 @register("retention_candidates", _DEAD_SQL)
 def q_retention_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _retention_store(spark, sf_dir)
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + LATER
+    now = dt.datetime.now(dt.timezone.utc) + LATER
     return _with_rows(store, M.retention_candidates(store, "label_counts", now=now))
 
 
@@ -288,7 +288,7 @@ def q_retention_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("retention_apply")
 def q_retention_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _retention_store(spark, sf_dir)
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + LATER
+    now = dt.datetime.now(dt.timezone.utc) + LATER
     run_id = f"run-{uuid.uuid4().hex[:8]}"
     M.retention_apply(store, run_id, now=now)
     return M.retention_apply(store, run_id, now=now).select(
