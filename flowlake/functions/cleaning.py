@@ -56,13 +56,35 @@ def date_from_path(path: Column) -> Column:
     return out.otherwise(F.lit(None).cast("date"))
 
 
+# Shape of each format above (same order).  Each pattern accepts every
+# string its format can parse (and more); the parser decides the rest.
+_DAY = r"0*([1-9]|[12][0-9]|3[01])"
+_MONTH = r"0*([1-9]|1[0-2])"
+_H24 = r"0*([0-9]|1[0-9]|2[0-3])"
+_H12 = r"0*([1-9]|1[0-2])"
+_MIN = r"[0-5][0-9]"
+_YEAR = r"[0-9]{4,}"
+TIMESTAMP_SHAPES: list[str] = [
+    rf"^{_DAY}/{_MONTH}/{_YEAR} {_H24}:{_MIN}$",
+    rf"^{_DAY}/{_MONTH}/{_YEAR} {_H24}:{_MIN}:{_MIN}$",
+    rf"^(?i){_MONTH}/{_DAY}/{_YEAR} {_H12}:{_MIN}:{_MIN} [ap]m$",
+    rf"^{_MONTH}/{_DAY}/{_YEAR} {_H24}:{_MIN}$",
+]
+
+
 def parse_timestamp_multi(text: Column) -> Column:
     """First format that parses, as a wall-clock ``timestamp_ntz``.
 
     ``try_to_timestamp`` (not ``to_timestamp``) so that a value in a later
     format yields null for the earlier formats instead of raising under ANSI.
+    A failed parse costs a JVM exception, so each format is only tried when
+    the text has that format's shape (a cheap regex test): same results,
+    several times faster when formats are mixed.
     """
-    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in TIMESTAMP_FORMATS])
+    parsed = F.coalesce(*[
+        F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(fmt)))
+        for fmt, shape in zip(TIMESTAMP_FORMATS, TIMESTAMP_SHAPES)
+    ])
     return parsed.cast("timestamp_ntz")
 
 

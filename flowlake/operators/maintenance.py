@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
 import uuid
 
 from pyspark.sql import DataFrame
@@ -132,13 +133,11 @@ def _audit_dir(store: SnapshotStore, run_id: str) -> str:
 
 
 def _audit_write(store: SnapshotStore, run_id: str, seq: int, rows: list[tuple]) -> None:
-    (
-        store.spark.createDataFrame(rows, AUDIT_SCHEMA)
-        .withColumn("seq", F.lit(seq).cast("long"))
-        .withColumn("written_at", F.current_timestamp())
-        .coalesce(1).write.mode("errorifexists")
-        .json(f"{_audit_dir(store, run_id)}/{seq:08d}")
-    )
+    """Append audit records as one new JSON file (create-if-absent)."""
+    names = [f.name for f in AUDIT_SCHEMA.fields]
+    now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z"
+    lines = [json.dumps({**dict(zip(names, r)), "seq": seq, "written_at": now}) for r in rows]
+    fs.write_new(store.spark, f"{_audit_dir(store, run_id)}/{seq:08d}.json", "\n".join(lines))
 
 
 def read_audit(store: SnapshotStore, run_id: str) -> DataFrame:
@@ -147,7 +146,7 @@ def read_audit(store: SnapshotStore, run_id: str) -> DataFrame:
     path = _audit_dir(store, run_id)
     if not fs.exists(store.spark, path):
         return store.spark.createDataFrame([], schema)
-    return store.spark.read.schema(schema).json(f"{path}/*")
+    return store.spark.read.schema(schema).json(f"{path}/*.json")
 
 
 def retention_apply(store: SnapshotStore, run_id: str, tables=tuple(TABLES),

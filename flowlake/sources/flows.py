@@ -93,13 +93,13 @@ def events_raw_flows(events: DataFrame) -> DataFrame:
 
 
 def lineitem_raw_flows(lineitem: DataFrame) -> DataFrame:
-    """Bench-size flows: one row per lineitem (N = benign), typed timestamps."""
+    """Bench-size flows: one row per lineitem (N = benign)."""
     rid = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     label = F.when(F.col("l_returnflag") == "N", F.lit("BENIGN")).otherwise(F.col("l_returnflag"))
     return lineitem.select(
         rid.alias(H_DURATION),
         F.col("l_suppkey").cast("string").alias(H_SOURCE_IP),
-        F.col("l_shipdate").alias(H_TIMESTAMP),
+        _time_text(rid, F.col("l_shipdate")).alias(H_TIMESTAMP),
         _dirty_rate(rid, F.col("l_extendedprice")).alias(H_RATE),
         F.col("l_quantity").cast("bigint").alias(H_FWD),
         F.col("l_partkey").alias(H_BWD),
