@@ -1,7 +1,7 @@
 """Schema evolution and time-travel checks on snapshot tables.
 
 The demo flows work on a copy of the fact in its own namespace, so the
-pipeline output is never mutated.
+transform output is never mutated.
 """
 
 from __future__ import annotations
@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.operators.clean import FACT_PARTITIONS
 from flowlake.sources.snapshots import SchemaMismatch, SnapshotStore
 
 NEW_COLUMN = "threat_intel_score"
@@ -96,10 +95,3 @@ def evolution_check(store: SnapshotStore, name: str, before_version: int) -> Dat
         ((F.col("after_rows") == b + 3) & (F.col("null_rows") == b)
          & F.lit(not old_has) & F.lit(new_has)).alias("passed"))
 
-
-def demo_store(store: SnapshotStore) -> SnapshotStore:
-    return store.namespace("demo")
-
-
-__all__ = ["seed_copy", "append_guard", "merge_evolution", "column_evolution", "schema_diff",
-           "evolution_check", "ordered_batch", "FACT_PARTITIONS", "NEW_COLUMN"]

@@ -28,7 +28,7 @@ raw AS (
          WHEN event_id % 107 = 0 THEN '  '
          WHEN event_id % 7 = 0 THEN ' ' || base_label || ' '
          ELSE base_label END AS label_raw,
-    'file:///data/raw/' || strftime(ts, '%A') || '-WorkingHours.pcap_ISCX.csv' AS _source_file
+    'file:///data/raw/' || strftime(ts, '%A') || '-capture.csv' AS _source_file
   FROM (SELECT *, CASE WHEN event_type = 'view' THEN 'BENIGN' ELSE event_type END AS base_label
         FROM events)
 )"""

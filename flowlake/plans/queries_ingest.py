@@ -30,7 +30,7 @@ def write_flows_csv(raw: DataFrame, path: str) -> str:
     capture = F.regexp_extract(F.col(SOURCE_FILE), r"([^/]+)$", 1)
     (
         raw.withColumn("capture", capture).drop(SOURCE_FILE)
-        .repartition("capture")
+        .hint("rebalance", "capture")  # a hot capture is split, not one task
         .write.mode("errorifexists")
         .partitionBy("capture")
         .option("header", True)
@@ -132,12 +132,12 @@ def q_sanitize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "name string, sanitized string")
 
 
-MONDAY_CAPTURE = "capture=Monday-WorkingHours.pcap_ISCX.csv"
+MONDAY_CAPTURE = "capture=Monday-capture.csv"
 
 
 @register("rows_of_source_file", with_ctes("fact", body="""
 SELECT "Flow_Duration", label FROM fact
-WHERE regexp_extract(_source_file, '([^/]+)$', 1) = 'Monday-WorkingHours.pcap_ISCX.csv'"""))
+WHERE regexp_extract(_source_file, '([^/]+)$', 1) = 'Monday-capture.csv'"""))
 def q_rows_of_source_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact, _ = csv_fact(spark, sf_dir)
     return S.rows_of_source_file(fact, MONDAY_CAPTURE).select("Flow_Duration", "label")

@@ -73,7 +73,7 @@ def _time_text(rid: Column, ts: Column) -> Column:
 
 def capture_file(ts: Column) -> Column:
     return F.concat(F.lit("file:///data/raw/"), F.date_format(ts, "EEEE"),
-                    F.lit("-WorkingHours.pcap_ISCX.csv"))
+                    F.lit("-capture.csv"))
 
 
 def events_raw_flows(events: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import shutil
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,7 +110,7 @@ def test_evolution_and_time_travel(spark, run, tmp):
     assert check.passed
     old = demo.read("network_events", snapshot_id=info["before_snapshot_id"])
     assert EV.NEW_COLUMN not in old.columns and old.count() == 8
-    assert src.read("network_events").count() == 8, "demo mutated pipeline output"
+    assert src.read("network_events").count() == 8, "demo mutated the transform output"
     ops = [r.operation for r in demo.history("network_events").collect()]
     assert ops == ["CREATE", "ADD COLUMNS", "APPEND"]
 
@@ -162,4 +161,3 @@ def test_plan_capture_prunes_columns(spark, run):
     df = A.label_counts(store.read("network_events"))
     text = plan_text(df, "formatted")
     assert "ReadSchema: struct<label:string>" in text
-    assert Path  # keep import used
