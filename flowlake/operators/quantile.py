@@ -6,14 +6,17 @@ the same value as ``percentile_disc(p)`` and ``approxQuantile(.., 0.0)``.
 Neither of those scales: ``approxQuantile`` with zero error keeps every
 sample in the merged summary on the driver, and ``percentile_disc`` keeps a
 value->count map of the whole group in one aggregation buffer.  Here the
-rank is found by bracket refinement:
+rank is found from a bracket:
 
 1. one pass: ``n`` and an approximate bracket ``[a, b]`` around rank k from
    ``percentile_approx`` (bounded sketch, merged map-side);
-2. one pass: exact counts below and inside the bracket; if k is not inside,
-   the bracket is widened (correctness never depends on the sketch);
-3. repeat on the bracket rows until it holds few distinct values, then a
-   ``groupBy(x).count()`` of the bracket and a running sum find the value.
+2. when the sketch's rank-error bound shows the bracket holds few rows, one
+   final pass: rows below ``a`` fold into a single ``-inf`` key, rows in the
+   bracket are counted per value, and a running sum finds the value; the
+   same pass reports whether the bracket really held rank k;
+3. otherwise (or if it did not), exact counts below/inside the bracket,
+   widening on a miss and narrowing on a hit, repeat until the bracket holds
+   few distinct values (correctness never depends on the sketch).
 
 Each pass is a distributed aggregate; what reaches the driver is O(1) per
 pass, and the final window sees at most ``max_candidates`` distinct values.
@@ -38,30 +41,39 @@ def _rank(p: float, n: int) -> int:
     return min(n, max(1, math.ceil(p * n)))
 
 
-def exact_percentile_frame(df: DataFrame, column: str, p: float,
-                           max_candidates: int = MAX_CANDIDATES,
-                           accuracy: int = ACCURACY) -> DataFrame | None:
-    """One-row DataFrame ``(value)`` holding the exact percentile, or None
-    when the column has no finite value."""
-    if not 0.0 <= p <= 1.0:
-        raise ValueError("percentile must be in [0, 1]")
+def _final(values: DataFrame, rank: int, bracket: tuple[float, float] | None) -> DataFrame:
+    """One pass: value counts inside the bracket (rows below it folded into
+    one ``-inf`` key), a running sum, and the first value reaching ``rank``.
+
+    ``ok`` is false when the bracket did not contain the rank."""
     x = F.col("x")
-    values = (
-        df.select(F.col(column).cast("double").alias("x"))
-        .where(x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
+    neg_inf = F.lit(float("-inf"))
+    if bracket is None:
+        key = x
+    else:
+        a, b = bracket
+        key = F.when(x < F.lit(a), neg_inf).when(x <= F.lit(b), x)
+    running = Window.orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = (
+        values.select(key.alias("key")).where(F.col("key").isNotNull())
+        .groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+        .withColumn("cum", F.sum("c").over(running))
     )
-    margin = max(20.0 / accuracy, 1e-4)
-    first = values.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(x, [max(0.0, p - margin), min(1.0, p + margin)], accuracy).alias("q"),
-    ).first()
-    n = first["n"]
-    if n == 0:
-        return None
-    k = _rank(p, n)
+    real = F.col("key") != neg_inf
+    return counted.agg(
+        F.min(F.when(real & (F.col("cum") >= F.lit(rank)), F.col("key"))).alias("value"),
+        (F.coalesce(F.sum(F.when(~real, F.col("c"))), F.lit(0)) < F.lit(rank)).alias("below_ok"),
+        (F.max("cum") >= F.lit(rank)).alias("above_ok"),
+    ).select("value", (F.col("below_ok") & F.col("above_ok")).alias("ok"))
+
+
+def _refine(values: DataFrame, rank: int, n: int, bracket, margin: float,
+            max_candidates: int, accuracy: int) -> DataFrame:
+    """Bracket refinement with exact counts until few distinct values remain."""
+    x = F.col("x")
     below = 0
     current, count = values, n
-    bracket = first["q"]
+    spark = values.sparkSession
     while count > max_candidates:
         a, b = float(bracket[0]), float(bracket[1])
         stats = current.agg(
@@ -70,7 +82,7 @@ def exact_percentile_frame(df: DataFrame, column: str, p: float,
             F.approx_count_distinct(F.when(x.between(F.lit(a), F.lit(b)), x), 0.02).alias("nd"),
         ).first()
         lt, inside = stats["lt"], stats["inside"]
-        if not (below + lt < k <= below + lt + inside):
+        if not (below + lt < rank <= below + lt + inside):
             if margin >= 0.5:
                 break
             margin = min(0.5, margin * 8)
@@ -80,24 +92,64 @@ def exact_percentile_frame(df: DataFrame, column: str, p: float,
             count = inside
             if stats["nd"] <= max_candidates // 2:
                 break
-            checkpoint_dir(df.sparkSession)
+            checkpoint_dir(spark)
             current = current.repartition(max(1, min(200, count // 1_000_000 + 1))).checkpoint()
             margin = max(20.0 / accuracy, 1e-4)
-        f = (k - below) / count
+        f = (rank - below) / count
         bracket = current.agg(
             F.percentile_approx(x, [max(0.0, f - margin), min(1.0, f + margin)], accuracy)
         ).first()[0]
-    running = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        current.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-        .withColumn("cum", F.sum("c").over(running))
-        .where(F.col("cum") >= F.lit(k - below))
-        .agg(F.min("x").alias("value"))
+    return _final(current, rank - below, None)
+
+
+def exact_percentile_frame(df: DataFrame, column: str, p: float,
+                           max_candidates: int = MAX_CANDIDATES,
+                           accuracy: int = ACCURACY, checked: bool = False) -> DataFrame | None:
+    """One-row DataFrame ``(value, ok)`` holding the exact percentile, or None
+    when the column has no finite value.
+
+    Common case, two passes: (1) ``n`` and a sketch bracket; (2) the final
+    pass over the bracket.  The sketch's rank error (n/accuracy) bounds the
+    rows strictly inside the bracket, so the final pass is only used when that
+    bound is below ``max_candidates``; otherwise, or when ``checked`` and the
+    bracket missed, exact bracket refinement runs first."""
+    if not 0.0 <= p <= 1.0:
+        raise ValueError("percentile must be in [0, 1]")
+    x = F.col("x")
+    values = (
+        df.select(F.col(column).cast("double").alias("x"))
+        .where(x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     )
+    margin = max(20.0 / accuracy, 1e-4)
+    lo_q, hi_q = max(0.0, p - margin), min(1.0, p + margin)
+    first = values.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx(x, [lo_q, hi_q], accuracy).alias("q"),
+    ).first()
+    n = first["n"]
+    if n == 0:
+        return None
+    rank = _rank(p, n)
+    if n <= max_candidates:
+        return _final(values, rank, None)
+    bound = (hi_q - lo_q + 2.0 / accuracy) * n + 2
+    if bound <= max_candidates:
+        frame = _final(values, rank, (float(first["q"][0]), float(first["q"][1])))
+        if not checked:
+            return frame
+        row = frame.first()
+        if row["ok"]:
+            return values.sparkSession.createDataFrame(
+                [(row["value"], True)], "value double, ok boolean")
+    return _refine(values, rank, n, first["q"], margin, max_candidates, accuracy)
 
 
 def exact_percentile(df: DataFrame, column: str, p: float, **kw) -> float | None:
-    frame = exact_percentile_frame(df, column, p, **kw)
+    """The exact percentile as a Python value (validated bracket)."""
+    frame = exact_percentile_frame(df, column, p, checked=True, **kw)
     if frame is None:
         return None
-    return frame.first()["value"]
+    row = frame.first()
+    if not row["ok"]:
+        raise RuntimeError("exact percentile bracket did not contain the rank")
+    return row["value"]

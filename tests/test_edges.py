@@ -133,6 +133,7 @@ def test_exact_percentile_matches_brute_force(spark, n):
         want = _brute(values, p)
         assert exact_percentile(df, "x", p) == want
         assert exact_percentile(df, "x", p, max_candidates=50, accuracy=100) == want
+        assert exact_percentile(df, "x", p, max_candidates=max(2, n // 4)) == want
         sql = df.selectExpr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY x)").first()[0]
         assert sql == want
 
