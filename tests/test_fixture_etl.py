@@ -8,12 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import FIXTURE_DIR
-from flowlake.functions.columns import prepare_columns
 from flowlake.operators import aggregates as A
 from flowlake.operators import evolution as EV
 from flowlake.operators import maintenance as M
 from flowlake.operators import validate as V
-from flowlake.operators.clean import clean, fact_columns
 from flowlake.operators.reconcile import except_all_both_ways
 from flowlake.plans.transform import run_transform
 from flowlake.sources import csv as S
