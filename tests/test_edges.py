@@ -181,3 +181,29 @@ def test_window_counts_group_null_source_ip(spark):
     out = A.src_ip_window_counts(df, {"source_ip": "ip", "total_len_fwd_packets": "f",
                                       "total_len_bwd_packets": "b"}).collect()
     assert len(out) == 1 and out[0].source_ip is None and out[0].flow_count == 2
+
+
+def test_quoted_commas_and_missing_columns(spark, tmp):
+    from flowlake.operators import validate as V
+    write(tmp, "Monday-a.csv", ['Flow Duration,Source IP,Label',
+                                '1,10.0.0.1,"Web Attack, Brute Force"',
+                                '2,10.0.0.2,BENIGN'])
+    write(tmp, "Monday-b.csv", ["Flow Duration,Label", "3,BENIGN"])
+    raw = S.csv_scan(spark, f"{tmp}/*.csv")
+    rows = {r["Flow Duration"]: r for r in raw.collect()}
+    assert rows[1]["Label"] == "Web Attack, Brute Force"
+    assert rows[3]["Source IP"] is None
+    fact = fact_of(spark, f"{tmp}/*.csv")
+    checked = {r.label: (r.raw_flow_count, r.fact_flow_count, r.match)
+               for r in V.validate_labels(spark, f"{tmp}/*.csv", fact).collect()}
+    assert checked["Web Attack, Brute Force"] == (1, 1, True)
+    assert checked["BENIGN"] == (2, 2, True)
+
+
+def test_inferred_types_ignore_stray_headers(spark, tmp):
+    write(tmp, "Monday-a.csv", ["Flow Duration,Rate,Name,Label",
+                                "1,2.5,a,BENIGN", "Flow Duration,Rate,Name,Label",
+                                "2,NaN,b,BENIGN"])
+    types = dict(S.csv_scan(spark, f"{tmp}/*.csv").dtypes)
+    assert types == {"Flow Duration": "bigint", "Rate": "double", "Name": "string",
+                     "Label": "string", "_source_file": "string"}
