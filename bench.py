@@ -78,6 +78,7 @@ def main() -> None:
     line_pq = scratch_path(spark, "bench-li-parquet")
     raw_flows(spark, sf_dir, "lineitem").write.parquet(line_pq)
     line_raw = spark.read.parquet(line_pq)
+    line_rows = line_raw.count()
 
     # headline: CSV captures -> fact snapshot -> three aggregate snapshots
     store = SnapshotStore(spark, scratch_path(spark, "bench-store"))
@@ -122,6 +123,9 @@ def main() -> None:
         "stages_transform_csv_events": stages_events,
         **extra,
         "rows_per_sec_transform_csv": round(rows / times["transform_csv_events"], 1),
+        "raw_rows_lineitem": line_rows,
+        "rows_per_sec_clean_lineitem": round(line_rows / times["clean_lineitem"], 1),
+        "rows_per_sec_csv_scan_lineitem": round(line_rows / times["csv_scan_lineitem"], 1),
     }))
 
 
