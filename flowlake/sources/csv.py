@@ -37,20 +37,25 @@ def source_path(c: Column | None = None) -> Column:
     return F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
 
 
-def header_groups(spark: SparkSession, pattern: str) -> "OrderedDict[str, list[str]]":
+def header_groups(spark: SparkSession, pattern: str,
+                  header: str | None = None) -> "OrderedDict[str, list[str]]":
+    """Files grouped by their first line.  With ``header`` given (all files
+    known to share it) no file is opened on the driver."""
     files = [p for p, _ in fs.glob_files(spark, pattern)]
     if not files:
         raise FileNotFoundError(f"no files match {pattern}")
+    if header is not None:
+        return OrderedDict([(header, files)])
     groups: OrderedDict[str, list[str]] = OrderedDict()
     for path, line in zip(files, fs.first_lines(spark, files)):
         groups.setdefault(line or "", []).append(path)
     return groups
 
 
-def read_text_columns(spark: SparkSession, pattern: str) -> DataFrame:
+def read_text_columns(spark: SparkSession, pattern: str, header: str | None = None) -> DataFrame:
     """All files as string columns (stripped, de-duplicated names) + lineage."""
     frames = []
-    for header, files in header_groups(spark, pattern).items():
+    for header, files in header_groups(spark, pattern, header).items():
         if not header:
             continue
         names = unique_names(parse_header(header))
@@ -103,12 +108,14 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def csv_scan(spark: SparkSession, pattern: str,
-             types: dict[str, str] | None = None) -> DataFrame:
+             types: dict[str, str] | None = None, header: str | None = None) -> DataFrame:
     """CSV files -> typed DataFrame with ``_source_file``.
 
     ``types`` maps (stripped) column names to Spark types; absent columns
-    are inferred with one aggregate pass."""
-    text = read_text_columns(spark, pattern)
+    are inferred with one aggregate pass.  ``header`` (the raw header line)
+    declares that every file shares it: with very many files this skips the
+    per-file header reads on the driver."""
+    text = read_text_columns(spark, pattern, header)
     known = {actual: "string" for canonical, actual in resolve_aliases(text.columns).items()
              if canonical in TEXT_CANONICALS}
     known.update(types or {})

@@ -64,7 +64,7 @@ def first_line(spark: SparkSession, path: str, limit: int = 1 << 20) -> str | No
         stream.close()
 
 
-def first_lines(spark: SparkSession, paths: list[str], threads: int = 16) -> list[str | None]:
+def first_lines(spark: SparkSession, paths: list[str], threads: int = 64) -> list[str | None]:
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths) or 1))) as pool:
         return list(pool.map(lambda p: first_line(spark, p), paths))
 

@@ -207,3 +207,10 @@ def test_inferred_types_ignore_stray_headers(spark, tmp):
     types = dict(S.csv_scan(spark, f"{tmp}/*.csv").dtypes)
     assert types == {"Flow Duration": "bigint", "Rate": "double", "Name": "string",
                      "Label": "string", "_source_file": "string"}
+
+
+def test_declared_header_skips_header_reads(spark, tmp):
+    write(tmp, "Monday-a.csv", [HEADER, "1,10.0.0.1,3/7/2017 9:01,1,1,1,BENIGN"])
+    declared = S.csv_scan(spark, f"{tmp}/*.csv", header=HEADER).drop("_source_file")
+    grouped = S.csv_scan(spark, f"{tmp}/*.csv").drop("_source_file")
+    assert declared.collect() == grouped.collect()
