@@ -156,3 +156,14 @@ def test_history_and_time_travel_by_id(spark, tmp):
     old = store.read("t", snapshot_id=hist[0].snapshot_id)
     assert [r.label for r in old.collect()] == ["A"]
     assert store.read("t").where(F.col("label") == "C").count() == 1
+
+
+def test_snapshot_read_excludes_obsolete_files(spark, tmp):
+    store = SnapshotStore(spark, tmp)
+    df = spark.createDataFrame([(dt.date(2017, 7, 3), "OLD")], "event_date date, label string")
+    store.overwrite("t", df, ["event_date"])
+    store.overwrite("t", df.selectExpr("event_date", "'NEW' AS label"), ["event_date"])
+    assert fs.exists(spark, f"{store.path('t')}/data/segment=0")  # still on disk
+    assert [r.label for r in store.read("t").collect()] == ["NEW"]
+    back = store.read("t")
+    assert dict(back.dtypes)["event_date"] == "date"
