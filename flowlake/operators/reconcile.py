@@ -21,6 +21,28 @@ def except_all_both_ways(left: DataFrame, right: DataFrame) -> DataFrame:
     return only_left.unionByName(only_right)
 
 
+def difference_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows whose multiplicity differs, with both multiplicities.
+
+    One shuffle for both directions (``exceptAll`` twice costs two): both
+    sides tagged, unioned, grouped by every column.  Partial aggregation
+    collapses repeated rows map-side, and no row is replicated, so a value
+    repeated a billion times is one group, not a billion output rows."""
+    cols = [F.col(f"`{c}`") for c in left.columns]
+    tagged = left.select(*cols, F.lit(1).alias("_in_left"), F.lit(0).alias("_in_right")).unionByName(
+        right.select(*cols, F.lit(0).alias("_in_left"), F.lit(1).alias("_in_right")))
+    return (
+        tagged.groupBy(*cols)
+        .agg(F.sum("_in_left").alias("left_rows"), F.sum("_in_right").alias("right_rows"))
+        .where(F.col("left_rows") != F.col("right_rows"))
+    )
+
+
+def multiset_equal(left: DataFrame, right: DataFrame) -> bool:
+    """Same rows with the same multiplicities (a LIMIT 1 job on the diff)."""
+    return difference_counts(left, right.select(*left.columns)).isEmpty()
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """Order- and partition-independent checksum of all rows.
 
@@ -38,10 +60,12 @@ def fingerprint(df: DataFrame) -> DataFrame:
 def table_equality(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: schema equality, row counts and full multiset equality."""
     same_schema = left.schema.simpleString() == right.schema.simpleString()
-    diff = except_all_both_ways(left, right)
+    diff = difference_counts(left, right.select(*left.columns))
     counts = diff.agg(
-        F.count_if(F.col("side") == "left").cast("bigint").alias("only_left"),
-        F.count_if(F.col("side") == "right").cast("bigint").alias("only_right"),
+        F.coalesce(F.sum(F.greatest(F.col("left_rows") - F.col("right_rows"), F.lit(0))),
+                   F.lit(0)).cast("bigint").alias("only_left"),
+        F.coalesce(F.sum(F.greatest(F.col("right_rows") - F.col("left_rows"), F.lit(0))),
+                   F.lit(0)).cast("bigint").alias("only_right"),
     )
     return counts.select(
         F.lit(same_schema).alias("same_schema"),

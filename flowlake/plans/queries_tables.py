@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from flowlake.operators import evolution as EV
 from flowlake.operators import maintenance as M
-from flowlake.operators.reconcile import except_all_both_ways, fingerprint, table_equality
+from flowlake.operators.reconcile import fingerprint, multiset_equal, table_equality
 from flowlake.plans.oracle import with_ctes
 from flowlake.plans.registry import register
 from flowlake.plans.transform import run_transform
@@ -377,8 +377,8 @@ def q_idempotent_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = second.select("table", F.col("row_count").alias("second_rows"))
     frames = []
     for name in M.TABLES:
-        diff = except_all_both_ways(src.read(name), target.read(name))
-        frames.append(spark.createDataFrame([(name, diff.isEmpty())], "table string, same_rows boolean"))
+        same_rows = multiset_equal(src.read(name), target.read(name))
+        frames.append(spark.createDataFrame([(name, same_rows)], "table string, same_rows boolean"))
     same = frames[0]
     for fr in frames[1:]:
         same = same.unionByName(fr)

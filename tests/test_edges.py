@@ -214,3 +214,19 @@ def test_declared_header_skips_header_reads(spark, tmp):
     declared = S.csv_scan(spark, f"{tmp}/*.csv", header=HEADER).drop("_source_file")
     grouped = S.csv_scan(spark, f"{tmp}/*.csv").drop("_source_file")
     assert declared.collect() == grouped.collect()
+
+
+def test_difference_counts_match_except_all(spark):
+    from flowlake.operators.reconcile import (
+        difference_counts, except_all_both_ways, multiset_equal, table_equality,
+    )
+    left = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], "k int, v string")
+    right = spark.createDataFrame([(1, "a"), (2, None), (2, None), (4, "d")], "k int, v string")
+    diff = {(r.k, r.v): (r.left_rows, r.right_rows) for r in difference_counts(left, right).collect()}
+    assert diff == {(1, "a"): (2, 1), (2, None): (1, 2), (3, "c"): (1, 0), (4, "d"): (0, 1)}
+    rows = except_all_both_ways(left, right).collect()
+    assert sorted((r.side, r.k) for r in rows) == [("left", 1), ("left", 3), ("right", 2), ("right", 4)]
+    eq = table_equality(left, right).first()
+    assert (eq.only_left, eq.only_right, eq.equal) == (2, 2, False)
+    assert multiset_equal(left, left.orderBy("k"))
+    assert table_equality(left, left).first().equal
