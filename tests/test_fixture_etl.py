@@ -159,3 +159,11 @@ def test_plan_capture_prunes_columns(spark, run):
     df = A.label_counts(store.read("network_events"))
     text = plan_text(df, "formatted")
     assert "ReadSchema: struct<label:string>" in text
+
+
+def test_unclustered_fact_write_gives_same_tables(spark, run, raw_dir, tmp):
+    src, _ = run
+    store = SnapshotStore(spark, tmp)
+    run_transform(spark, S.csv_scan(spark, f"{raw_dir}/*.csv"), store, cluster_fact=False)
+    for name in M.TABLES:
+        assert except_all_both_ways(src.read(name), store.read(name)).isEmpty(), name
