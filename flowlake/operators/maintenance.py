@@ -94,19 +94,32 @@ def live_segments(store: SnapshotStore, name: str) -> DataFrame:
     return store.spark.createDataFrame([(s,) for s in c.segments], "segment string")
 
 
+def orphan_segments(store: SnapshotStore, name: str) -> DataFrame:
+    """Segment folders no commit references (a write that died before its
+    commit record), dated by the folder's modification time."""
+    listed = store.spark.createDataFrame(
+        [(n, ms) for n, ms in fs.list_dirs_with_mtime(store.spark, f"{store.path(name)}/data")
+         if n.startswith("segment=")], "segment string, mtime_ms long")
+    known = segment_lifetimes(store, name).select("segment")
+    return listed.join(known, "segment", "left_anti").select(
+        "segment", F.lit(None).cast("long").alias("last_version"),
+        F.timestamp_millis("mtime_ms").alias("removed_at"))
+
+
 def retention_candidates(store: SnapshotStore, name: str,
                          now: dt.datetime | None = None,
                          keep: dt.timedelta = DELETED_FILE_RETENTION) -> DataFrame:
     """K12 (dry run): segments not in the current version (J3 anti join)
-    whose removal is older than the retention period."""
+    whose removal is older than the retention period, plus uncommitted
+    (orphan) segment folders older than it."""
     now = now or dt.datetime.now(dt.timezone.utc)
     if now.tzinfo is None:
         now = now.replace(tzinfo=dt.timezone.utc)
     cutoff = now - keep
     dead = segment_lifetimes(store, name).join(live_segments(store, name), "segment", "left_anti")
     return (
-        dead.where(F.col("removed_at").isNotNull()
-                   & (F.col("removed_at") < F.lit(cutoff)))
+        dead.unionByName(orphan_segments(store, name))
+        .where(F.col("removed_at").isNotNull() & (F.col("removed_at") < F.lit(cutoff)))
         .select(F.lit(name).alias("table"), "segment", "last_version", "removed_at")
     )
 

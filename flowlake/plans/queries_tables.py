@@ -274,17 +274,21 @@ def _retention_store(spark: SparkSession, sf_dir: str) -> SnapshotStore:
 
 LATER = dt.timedelta(days=8)
 _DEAD_SQL = with_ctes("label_counts", body="""
-SELECT 'label_counts' AS "table", 'segment=0' AS segment, count(*) AS segment_rows
+SELECT 'label_counts' AS "table", CAST(0 AS BIGINT) AS segment_version, count(*) AS segment_rows
 FROM label_counts WHERE attack_category = 'BENIGN'
 UNION ALL
-SELECT 'label_counts', 'segment=1', count(*) FROM label_counts WHERE attack_category = 'ATTACK'""")
+SELECT 'label_counts', CAST(1 AS BIGINT), count(*) FROM label_counts
+WHERE attack_category = 'ATTACK'""")
 
 
 def _with_rows(store: SnapshotStore, dead: DataFrame) -> DataFrame:
+    """Segment -> the version that wrote it (name prefix) -> rows it added."""
     hist = store.history("label_counts").select(
-        F.concat(F.lit("segment="), F.col("version")).alias("segment"),
-        F.col("added_rows").alias("segment_rows"))
-    return dead.join(hist, "segment").select("table", "segment", "segment_rows")
+        F.col("version").alias("segment_version"), F.col("added_rows").alias("segment_rows"))
+    written_by = F.regexp_extract("segment", r"^segment=(\d+)-", 1).cast("bigint")
+    return (dead.withColumn("segment_version", written_by)
+            .join(hist, "segment_version")
+            .select("table", "segment_version", "segment_rows"))
 
 
 @register("retention_candidates", _DEAD_SQL)

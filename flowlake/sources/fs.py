@@ -106,3 +106,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return sorted(st.getPath().getName() for st in fs.listStatus(p))
+
+
+def list_dirs_with_mtime(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, modification time in ms) of the sub-folders of ``path``."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted((st.getPath().getName(), int(st.getModificationTime()))
+                  for st in fs.listStatus(p) if st.isDirectory())

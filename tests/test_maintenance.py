@@ -31,11 +31,11 @@ def aged(spark, tmp):
 
 
 def test_candidates_exclude_current_and_recent(aged):
-    got = sorted(r.segment for r in M.retention_candidates(aged, "label_counts").collect())
-    assert got == ["segment=0"]
+    got = sorted(r.last_version for r in M.retention_candidates(aged, "label_counts").collect())
+    assert got == [0]
     dead = M.segment_lifetimes(aged, "label_counts").join(
         M.live_segments(aged, "label_counts"), "segment", "left_anti")
-    assert sorted(r.segment for r in dead.collect()) == ["segment=0", "segment=1"]
+    assert sorted(r.last_version for r in dead.collect()) == [0, 1]
 
 
 def test_retention_removes_once_and_keeps_reads(aged):
@@ -163,7 +163,22 @@ def test_snapshot_read_excludes_obsolete_files(spark, tmp):
     df = spark.createDataFrame([(dt.date(2017, 7, 3), "OLD")], "event_date date, label string")
     store.overwrite("t", df, ["event_date"])
     store.overwrite("t", df.selectExpr("event_date", "'NEW' AS label"), ["event_date"])
-    assert fs.exists(spark, f"{store.path('t')}/data/segment=0")  # still on disk
+    assert fs.exists(spark, f"{store.path('t')}/data/{store.commit('t', 0).segments[0]}")
     assert [r.label for r in store.read("t").collect()] == ["NEW"]
     back = store.read("t")
     assert dict(back.dtypes)["event_date"] == "date"
+
+
+def test_orphan_segment_is_a_candidate_once_old(spark, tmp):
+    store = SnapshotStore(spark, tmp)
+    store.overwrite("t", labels(spark, "A"))
+    # a write whose job died before its commit: data on disk, no commit record
+    labels(spark, "LOST").write.parquet(f"{store.path('t')}/data/segment=1-deadbeef")
+    assert [r.label for r in store.read("t").collect()] == ["A"]
+    assert M.retention_candidates(store, "t").count() == 0  # too recent
+    later = dt.datetime.now(UTC) + dt.timedelta(days=8)
+    got = [(r.segment, r.last_version) for r in M.retention_candidates(store, "t", now=later).collect()]
+    assert got == [("segment=1-deadbeef", None)]
+    # the next real commit reuses no orphan name: it takes the next version number
+    store.overwrite("t", labels(spark, "B"))
+    assert store.latest_version("t") == 1
