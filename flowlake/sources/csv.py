@@ -25,6 +25,14 @@ from flowlake.sources import fs
 # Type lattice tried by inference, narrowest first.  Integers are read as
 # bigint so a later file with larger values cannot overflow the column.
 _CANDIDATE_TYPES = ("bigint", "double")
+# Text shapes that always convert: up to 18 digits always fit a bigint; a
+# decimal/scientific number or an inf/nan literal always parses as double.
+# Values of other shapes count as text (a 19-digit integer infers as double).
+_SHAPES = {
+    "bigint": r"^[+-]?[0-9]{1,18}$",
+    "double": r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+              r"|^[+-]?(?i:inf|infinity)$|^(?i:nan)$",
+}
 
 
 def parse_header(line: str) -> list[str]:
@@ -76,26 +84,30 @@ def read_text_columns(spark: SparkSession, pattern: str, header: str | None = No
 
 
 def infer_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, str]:
-    """Narrowest of int/bigint/double that every value of a column fits.
+    """Narrowest of bigint/double that every value of a column fits.
 
     One aggregate pass.  Empty values, and values equal to the column's own
-    name (stray header rows), do not count against a type."""
+    name (stray header rows), do not count against a type.  Each cell gets a
+    code (0 absent, 1 bigint, 2 double, 3 text) and each column keeps its
+    maximum: one small aggregate per column.  The codes come from regexes
+    only: a failed ``try_cast`` costs a JVM exception per cell."""
     columns = [c for c in (columns or df.columns) if c != SOURCE_FILE]
-    aggs = []
+    if not columns:
+        return {}
+    codes = []
     for i, c in enumerate(columns):
         v = F.trim(F.col(f"`{c}`"))
         present = v.isNotNull() & (v != F.lit("")) & (v != F.lit(c.strip()))
-        aggs.append(F.count_if(present).alias(f"n{i}"))
-        for t in _CANDIDATE_TYPES:
-            aggs.append(F.count_if(present & v.try_cast(t).isNull()).alias(f"{t}{i}"))
-    row = df.agg(*aggs).first()
-    types = {}
-    for i, c in enumerate(columns):
-        if row[f"n{i}"] == 0:
-            types[c] = "string"
-            continue
-        types[c] = next((t for t in _CANDIDATE_TYPES if row[f"{t}{i}"] == 0), "string")
-    return types
+        code = (
+            F.when(~present, F.lit(0))
+            .when(v.rlike(_SHAPES["bigint"]), F.lit(1))
+            .when(v.rlike(_SHAPES["double"]), F.lit(2))
+            .otherwise(F.lit(3))
+        )
+        codes.append(code.cast("tinyint").alias(f"c{i}"))
+    row = df.select(*codes).agg(*[F.max(f"c{i}").alias(f"c{i}") for i in range(len(columns))]).first()
+    names = {1: "bigint", 2: "double"}
+    return {c: names.get(row[f"c{i}"] or 0, "string") for i, c in enumerate(columns)}
 
 
 def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
