@@ -453,8 +453,7 @@ def q_latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT CAST(2 AS BIGINT) AS version, 'APPEND' AS operation, count(*) + 3 AS row_count FROM fact"""))
 def q_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     demo, _ = _evolved(spark, sf_dir)
-    return (demo.history("network_events").orderBy(F.col("version").desc()).limit(1)
-            .select("version", "operation", "row_count"))
+    return demo.history("network_events", limit=1).select("version", "operation", "row_count")
 
 
 @register("schema_diff", with_ctes("fact", body="""

@@ -182,3 +182,10 @@ def test_orphan_segment_is_a_candidate_once_old(spark, tmp):
     # the next real commit reuses no orphan name: it takes the next version number
     store.overwrite("t", labels(spark, "B"))
     assert store.latest_version("t") == 1
+
+
+def test_history_last_n(spark, tmp):
+    store = SnapshotStore(spark, tmp)
+    for v in ("A", "B", "C"):
+        store.overwrite("t", labels(spark, v))
+    assert [r.version for r in store.history("t", limit=2).collect()] == [2, 1]
