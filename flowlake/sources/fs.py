@@ -52,10 +52,15 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 def first_line(spark: SparkSession, path: str, limit: int = 1 << 20) -> str | None:
-    """The first line of a file (bounded read)."""
+    """The first line of a file (bounded read), decompressed when the file
+    name says so (``.gz``, ``.bz2``, ...) the same way Spark's readers do."""
     jvm = _jvm(spark)
     fs, p = _fs(spark, path)
     stream = fs.open(p)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"), 65536)
         line = reader.readLine()

@@ -230,3 +230,16 @@ def test_difference_counts_match_except_all(spark):
     assert (eq.only_left, eq.only_right, eq.equal) == (2, 2, False)
     assert multiset_equal(left, left.orderBy("k"))
     assert table_equality(left, left).first().equal
+
+
+def test_gzipped_captures(spark, tmp):
+    import gzip
+    body = "\n".join([HEADER, "1,10.0.0.1,3/7/2017 9:01,1.5,1,1,BENIGN",
+                      "2,10.0.0.2,3/7/2017 9:02,2.5,1,1,DDoS"]) + "\n"
+    with gzip.open(Path(tmp) / "Monday-a.csv.gz", "wt") as f:
+        f.write(body)
+    raw = S.csv_scan(spark, f"{tmp}/*.csv.gz")
+    assert dict(raw.dtypes)["Flow Packets/s"] == "double"
+    fact = fact_of(spark, f"{tmp}/*.csv.gz")
+    assert sorted(r.label for r in fact.collect()) == ["BENIGN", "DDoS"]
+    assert S.raw_line_count(spark, f"{tmp}/*.csv.gz").first()[0] == 2
