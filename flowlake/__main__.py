@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> int:
     from flowlake.plans.transform import run_transform
     from flowlake.session import configure
     from flowlake.sources import csv as S
+    from flowlake.sources import fs
     from flowlake.sources.snapshots import SnapshotStore
 
     parser = argparse.ArgumentParser(prog="flowlake")
@@ -41,6 +42,7 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--cache-mode", choices=["full", "narrow", "none"], default="none")
     t.add_argument("--no-cluster-fact", action="store_true",
                    help="skip the fact rebalance (inputs already one capture day per file)")
+    t.add_argument("--plans-dir", default=None, help="write each table's query plan here")
     v = sub.add_parser("validate", help="raw-text recount vs fact; exit 1 on a mismatch")
     v.add_argument("--raw", required=True)
     v.add_argument("--root", required=True)
@@ -65,9 +67,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = configure(SparkSession.builder.appName(f"flowlake-{args.command}").getOrCreate())
     store = SnapshotStore(spark, args.root)
     if args.command == "transform":
+        plans: dict[str, str] | None = {} if args.plans_dir else None
         report = run_transform(spark, S.csv_scan(spark, args.raw), store,
                                cache_mode=args.cache_mode,
-                               cluster_fact=not args.no_cluster_fact)
+                               cluster_fact=not args.no_cluster_fact, plans=plans)
+        for name, text in (plans or {}).items():
+            fs.write_new(spark, f"{args.plans_dir.rstrip('/')}/{name}.txt", text)
         _print(_rows(report)[0])
     elif args.command == "validate":
         fact = store.read("network_events")

@@ -13,14 +13,19 @@ def test_cli_transform_validate_export_retain_publish(spark, tmp, capsys):
     raw = f"{tmp}/raw"
     shutil.copytree(FIXTURE_DIR, raw)
     root, target = f"{tmp}/tables", f"{tmp}/export"
-    assert main(["transform", "--raw", f"{raw}/*.csv", "--root", root]) == 0
+    assert main(["transform", "--raw", f"{raw}/*.csv", "--root", root,
+                 "--plans-dir", f"{tmp}/plans"]) == 0
     report = json.loads(capsys.readouterr().out)
+    assert "Physical Plan" in open(f"{tmp}/plans/label_counts.txt").read()
     assert report["cleaned_rows"] == 8 and report["threshold_packets_per_sec"] == 4.0
     assert main(["validate", "--raw", f"{raw}/*.csv", "--root", root]) == 0
     assert json.loads(capsys.readouterr().out)["passed"] is True
     assert main(["export", "--root", root, "--target", target]) == 0
     exported = {r["table"]: r["row_count"] for r in json.loads(capsys.readouterr().out)}
     assert exported["network_events"] == 8
+    assert main(["warehouse", "--root", root, "--target", f"{tmp}/wh", "--date", "2024-02-01"]) == 0
+    loaded = {r["table"]: r["row_count"] for r in json.loads(capsys.readouterr().out)}
+    assert loaded["label_counts"] == 3
     assert main(["retain", "--root", root, "--run-id", "r1"]) == 0
     capsys.readouterr()
     assert main(["publish", "--root", root, "--run-id", "r1"]) == 0
