@@ -53,6 +53,8 @@ def main() -> None:
     csv_clean, _ = csv_fact(spark, sf_dir)
     sections = [
         ("Cleaning from CSV captures (one Project + Filter over the scan)", csv_clean),
+        ("Fact write input: rows clustered by partition value (REBALANCE, AQE splits hot values)",
+         csv_clean.hint("rebalance", "event_date", "attack_category")),
         ("label_counts over the fact snapshot", A.label_counts(fact)),
         ("src_ip_window_counts over the fact snapshot", A.src_ip_window_counts(fact, cols)),
         ("Benign rates for the exact percentile (partition pruning)", A.benign_rates(fact, RATE)),
