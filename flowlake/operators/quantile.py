@@ -1,155 +1,137 @@
 """Exact discrete percentile (A4) without funnelling the column into one task.
 
-The value returned is the k-th smallest non-null value with k = ceil(p*n),
+The value returned is the k-th smallest finite value with k = ceil(p*n),
 the same value as ``percentile_disc(p)`` and ``approxQuantile(.., 0.0)``.
 
 Neither of those scales: ``approxQuantile`` with zero error keeps every
-sample in the merged summary on the driver, and ``percentile_disc`` keeps a
-value->count map of the whole group in one aggregation buffer.  Here the
-rank is found from a bracket:
-
-1. one pass: ``n`` and an approximate bracket ``[a, b]`` around rank k from
-   ``percentile_approx`` (bounded sketch, merged map-side);
-2. when the sketch's rank-error bound shows the bracket holds few rows, one
-   final pass: rows below ``a`` fold into a single ``-inf`` key, rows in the
-   bracket are counted per value, and a running sum finds the value; the
-   same pass reports whether the bracket really held rank k;
-3. otherwise (or if it did not), exact counts below/inside the bracket,
-   widening on a miss and narrowing on a hit, repeat until the bracket holds
-   few distinct values (correctness never depends on the sketch).
-
-Each pass is a distributed aggregate; what reaches the driver is O(1) per
-pass, and the final window sees at most ``max_candidates`` distinct values.
-Large intermediate brackets are checkpointed to the shared checkpoint
-folder, so later passes do not rescan the source and survive lost executors.
+sample in the merged summary on the driver, ``percentile_disc`` keeps a
+value->count map of the whole group in one aggregation buffer, and even
+``percentile_approx`` merges one sketch per map task in a single final task
+(hundreds of thousands of sketches over a 100 TB scan).  Here the rank is
+found with exact histograms, each an ordinary ``groupBy().count()`` with
+partial aggregation, so no step ever runs in one task over the whole data:
+
+1. one pass: counts per *magnitude band* (64 bands per power of two,
+   ``floor(log2|x| * 64)``; the key is monotone in x).  A running sum over
+   the band rows (a few thousand at most) picks the band holding rank k and
+   gives n, the rows below it and the band's exact min and max;
+2. while that range holds more than ``max_candidates`` rows: a histogram of
+   ``buckets`` equal-width buckets over the range narrows it the same way
+   (each round shrinks it by about ``buckets``); large ranges are
+   checkpointed to the shared checkpoint folder for the next round;
+3. a final pass counts the remaining values one by one and a running sum
+   finds the value.
+
+Every count is exact, so correctness never depends on an estimate.  What
+reaches the driver is one row per pass.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlake.session import checkpoint_dir
 
 MAX_CANDIDATES = 50_000
-ACCURACY = 10_000
+BUCKETS = 4096
+BANDS_PER_OCTAVE = 64
+CHECKPOINT_ROWS = 10_000_000
+# Keys of positive values start above every negative key: bands of finite
+# doubles lie in [-1075, 1024) octaves.
+_BAND_OFFSET = 1100 * BANDS_PER_OCTAVE
 
 
 def _rank(p: float, n: int) -> int:
     return min(n, max(1, math.ceil(p * n)))
 
 
-def _final(values: DataFrame, rank: int, bracket: tuple[float, float] | None) -> DataFrame:
-    """One pass: value counts inside the bracket (rows below it folded into
-    one ``-inf`` key), a running sum, and the first value reaching ``rank``.
+def _band_key(x: Column) -> Column:
+    """Monotone in x: negatives (by falling magnitude) < 0 < positives."""
+    band = F.floor(F.log2(F.abs(x)) * F.lit(BANDS_PER_OCTAVE)) + F.lit(_BAND_OFFSET + 1)
+    return F.when(x > 0, band).when(x < 0, -band).otherwise(F.lit(0)).cast("long")
 
-    ``ok`` is false when the bracket did not contain the rank."""
-    x = F.col("x")
-    neg_inf = F.lit(float("-inf"))
-    if bracket is None:
-        key = x
-    else:
-        a, b = bracket
-        key = F.when(x < F.lit(a), neg_inf).when(x <= F.lit(b), x)
+
+def _pick(hist: DataFrame, rank: Column | int) -> DataFrame:
+    """Bucket rows (key, c, lo, hi) -> the one row whose running count
+    reaches ``rank``, with ``before`` = rows in earlier buckets and ``n``."""
     running = Window.orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counted = (
-        values.select(key.alias("key")).where(F.col("key").isNotNull())
-        .groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-        .withColumn("cum", F.sum("c").over(running))
-    )
-    real = F.col("key") != neg_inf
-    return counted.agg(
-        F.min(F.when(real & (F.col("cum") >= F.lit(rank)), F.col("key"))).alias("value"),
-        (F.coalesce(F.sum(F.when(~real, F.col("c"))), F.lit(0)) < F.lit(rank)).alias("below_ok"),
-        (F.max("cum") >= F.lit(rank)).alias("above_ok"),
-    ).select("value", (F.col("below_ok") & F.col("above_ok")).alias("ok"))
+    whole = Window.partitionBy()
+    h = (hist.withColumn("cum", F.sum("c").over(running))
+         .withColumn("n", F.sum("c").over(whole)))
+    r = rank if isinstance(rank, Column) else F.lit(rank)
+    return h.where((F.col("cum") - F.col("c") < r) & (r <= F.col("cum"))).select(
+        "lo", "hi", "c", (F.col("cum") - F.col("c")).alias("before"), "n")
 
 
-def _refine(values: DataFrame, rank: int, n: int, bracket, margin: float,
-            max_candidates: int, accuracy: int) -> DataFrame:
-    """Bracket refinement with exact counts until few distinct values remain."""
+def _final(values: DataFrame, lo: float, hi: float, rank: int) -> DataFrame:
+    """One pass over [lo, hi]: per-value counts, running sum, the value at rank."""
     x = F.col("x")
-    below = 0
-    current, count = values, n
-    spark = values.sparkSession
-    while count > max_candidates:
-        a, b = float(bracket[0]), float(bracket[1])
-        stats = current.agg(
-            F.count_if(x < F.lit(a)).alias("lt"),
-            F.count_if(x.between(F.lit(a), F.lit(b))).alias("inside"),
-            F.approx_count_distinct(F.when(x.between(F.lit(a), F.lit(b)), x), 0.02).alias("nd"),
-        ).first()
-        lt, inside = stats["lt"], stats["inside"]
-        if not (below + lt < rank <= below + lt + inside):
-            if margin >= 0.5:
-                break
-            margin = min(0.5, margin * 8)
-        else:
-            below += lt
-            current = current.where(x.between(F.lit(a), F.lit(b)))
-            count = inside
-            if stats["nd"] <= max_candidates // 2:
-                break
-            checkpoint_dir(spark)
-            current = current.repartition(max(1, min(200, count // 1_000_000 + 1))).checkpoint()
-            margin = max(20.0 / accuracy, 1e-4)
-        f = (rank - below) / count
-        bracket = current.agg(
-            F.percentile_approx(x, [max(0.0, f - margin), min(1.0, f + margin)], accuracy)
-        ).first()[0]
-    return _final(current, rank - below, None)
+    running = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        values.where(x.between(F.lit(lo), F.lit(hi)))
+        .groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+        .withColumn("cum", F.sum("c").over(running))
+        .agg(F.min(F.when(F.col("cum") >= F.lit(rank), F.col("x"))).alias("value"),
+             (F.max("cum") >= F.lit(rank)).alias("ok"))
+    )
 
 
 def exact_percentile_frame(df: DataFrame, column: str, p: float,
                            max_candidates: int = MAX_CANDIDATES,
-                           accuracy: int = ACCURACY, checked: bool = False) -> DataFrame | None:
-    """One-row DataFrame ``(value, ok)`` holding the exact percentile, or None
-    when the column has no finite value.
-
-    Common case, two passes: (1) ``n`` and a sketch bracket; (2) the final
-    pass over the bracket.  The sketch's rank error (n/accuracy) bounds the
-    rows strictly inside the bracket, so the final pass is only used when that
-    bound is below ``max_candidates``; otherwise, or when ``checked`` and the
-    bracket missed, exact bracket refinement runs first."""
+                           buckets: int = BUCKETS) -> DataFrame | None:
+    """One-row DataFrame ``(value, ok)`` with the exact percentile, or None
+    when the column has no finite value.  The narrowing passes run eagerly;
+    the returned frame is the (lazy) final pass."""
     if not 0.0 <= p <= 1.0:
         raise ValueError("percentile must be in [0, 1]")
+    if buckets < 2:
+        raise ValueError("need at least two buckets")
     x = F.col("x")
     values = (
         df.select(F.col(column).cast("double").alias("x"))
         .where(x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     )
-    margin = max(20.0 / accuracy, 1e-4)
-    lo_q, hi_q = max(0.0, p - margin), min(1.0, p + margin)
-    first = values.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(x, [lo_q, hi_q], accuracy).alias("q"),
-    ).first()
-    n = first["n"]
-    if n == 0:
+    bands = values.groupBy(_band_key(x).alias("key")).agg(
+        F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    # rank = ceil(p * n) on the band rows themselves (n is their sum); the
+    # same double arithmetic as math.ceil(p * n) below
+    n_col = F.sum("c").over(Window.partitionBy())
+    rank_col = F.greatest(F.lit(1), F.least(n_col, F.ceil(F.lit(p) * n_col)))
+    hit = _pick(bands.withColumn("rank", rank_col), F.col("rank")).first()
+    if hit is None:
         return None
-    rank = _rank(p, n)
-    if n <= max_candidates:
-        return _final(values, rank, None)
-    bound = (hi_q - lo_q + 2.0 / accuracy) * n + 2
-    if bound <= max_candidates:
-        frame = _final(values, rank, (float(first["q"][0]), float(first["q"][1])))
-        if not checked:
-            return frame
-        row = frame.first()
-        if row["ok"]:
-            return values.sparkSession.createDataFrame(
-                [(row["value"], True)], "value double, ok boolean")
-    return _refine(values, rank, n, first["q"], margin, max_candidates, accuracy)
+    n = hit["n"]
+    rank = _rank(p, n) - hit["before"]
+    lo, hi, count = hit["lo"], hit["hi"], hit["c"]
+    current = values
+    spark = values.sparkSession
+    while count > max_candidates and lo < hi:
+        width = hi - lo
+        bucket = F.least(F.floor((x - F.lit(lo)) / F.lit(width) * F.lit(buckets)),
+                         F.lit(buckets - 1)).cast("long")
+        in_range = current.where(x.between(F.lit(lo), F.lit(hi)))
+        hist = in_range.groupBy(bucket.alias("key")).agg(
+            F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        hit = _pick(hist, rank).first()
+        rank -= hit["before"]
+        lo, hi, count = hit["lo"], hit["hi"], hit["c"]
+        if count > CHECKPOINT_ROWS and lo < hi:
+            checkpoint_dir(spark)
+            current = in_range.where(x.between(F.lit(lo), F.lit(hi))).checkpoint()
+    if lo == hi:
+        return spark.createDataFrame([(float(lo), True)], "value double, ok boolean")
+    return _final(current, lo, hi, rank)
 
 
 def exact_percentile(df: DataFrame, column: str, p: float, **kw) -> float | None:
-    """The exact percentile as a Python value (validated bracket)."""
-    frame = exact_percentile_frame(df, column, p, checked=True, **kw)
+    """The exact percentile as a Python value."""
+    frame = exact_percentile_frame(df, column, p, **kw)
     if frame is None:
         return None
     row = frame.first()
     if not row["ok"]:
-        raise RuntimeError("exact percentile bracket did not contain the rank")
+        raise RuntimeError("exact percentile: rank not found in the final range")
     return row["value"]

@@ -132,7 +132,7 @@ def test_exact_percentile_matches_brute_force(spark, n):
     for p in (0.0, 0.01, 0.25, 0.5, 0.99, 1.0):
         want = _brute(values, p)
         assert exact_percentile(df, "x", p) == want
-        assert exact_percentile(df, "x", p, max_candidates=50, accuracy=100) == want
+        assert exact_percentile(df, "x", p, max_candidates=50, buckets=4) == want
         assert exact_percentile(df, "x", p, max_candidates=max(2, n // 4)) == want
         sql = df.selectExpr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY x)").first()[0]
         assert sql == want
@@ -243,3 +243,14 @@ def test_gzipped_captures(spark, tmp):
     fact = fact_of(spark, f"{tmp}/*.csv.gz")
     assert sorted(r.label for r in fact.collect()) == ["BENIGN", "DDoS"]
     assert S.raw_line_count(spark, f"{tmp}/*.csv.gz").first()[0] == 2
+
+
+def test_exact_percentile_mixed_signs_and_ties(spark):
+    rnd = random.Random(7)
+    values = ([rnd.choice([-1.0, 1.0]) * rnd.paretovariate(0.8) for _ in range(700)]
+              + [0.0] * 50 + [-3.5] * 120 + [1e-300, -1e-300, 2.0 ** 70])
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for p in (0.0, 0.1, 0.37, 0.5, 0.9, 1.0):
+        want = _brute(values, p)
+        assert exact_percentile(df, "x", p) == want
+        assert exact_percentile(df, "x", p, max_candidates=8, buckets=3) == want
