@@ -17,9 +17,11 @@ ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
 from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from flowlake.operators import aggregates as A  # noqa: E402
 from flowlake.operators import validate as V  # noqa: E402
+from flowlake.operators.quantile import _band_key  # noqa: E402
 from flowlake.plans.facts import build_fact  # noqa: E402
 from flowlake.plans.queries_ingest import csv_fact, flows_csv  # noqa: E402
 from flowlake.plans.transform import run_transform  # noqa: E402
@@ -58,6 +60,10 @@ def main() -> None:
         ("label_counts over the fact snapshot", A.label_counts(fact)),
         ("src_ip_window_counts over the fact snapshot", A.src_ip_window_counts(fact, cols)),
         ("Benign rates for the exact percentile (partition pruning)", A.benign_rates(fact, RATE)),
+        ("Exact percentile, pass 1: exact counts per magnitude band (partial aggregation)",
+         A.benign_rates(fact, RATE).select(F.col(RATE).alias("x"))
+         .groupBy(_band_key(F.col("x")).alias("key"))
+         .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))),
         (f"anomaly_threshold_counts (threshold {threshold} as a literal)",
          A.anomaly_threshold_counts(fact, cols, threshold)),
         ("validate_labels: raw-text recount full-outer-joined with the fact",
