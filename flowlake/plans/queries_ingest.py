@@ -73,10 +73,13 @@ def q_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.drop(SOURCE_FILE)
 
 
-@register("source_lineage")
+@register("source_lineage", with_ctes("raw", body="""
+SELECT "Flow_Duration", regexp_extract(_source_file, '([^/]+)$', 1) AS source_name FROM raw"""))
 def q_source_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per row, the capture it came from, taken from the decoded file path."""
     raw = S.csv_scan(spark, flows_csv(spark, sf_dir))
-    return raw.select(F.col("Flow Duration").alias("Flow_Duration"), SOURCE_FILE)
+    return raw.select(F.col("Flow Duration").alias("Flow_Duration"),
+                      V.source_name(F.col(SOURCE_FILE)).alias("source_name"))
 
 
 @register("raw_line_count", with_ctes("raw", body="SELECT count(*) AS raw_rows FROM raw"))
