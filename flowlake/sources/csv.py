@@ -36,7 +36,9 @@ _SHAPES = {
 
 
 def parse_header(line: str) -> list[str]:
-    return next(_csv.reader(io.StringIO(line)))
+    """Header cells of one CSV line (quotes handled; a UTF-8 byte-order mark
+    in front of the first name is dropped)."""
+    return next(_csv.reader(io.StringIO(line.lstrip("\ufeff"))))
 
 
 def source_path(c: Column | None = None) -> Column:
