@@ -258,6 +258,6 @@ def test_exact_percentile_mixed_signs_and_ties(spark):
 
 def test_byte_order_mark_in_header(spark, tmp):
     p = Path(tmp) / "Monday-bom.csv"
-    p.write_text("﻿" + HEADER + "\n1,10.0.0.1,3/7/2017 9:01,1,1,1,BENIGN\n", encoding="utf-8")
+    p.write_text("\ufeff" + HEADER + "\n1,10.0.0.1,3/7/2017 9:01,1,1,1,BENIGN\n", encoding="utf-8")
     fact = fact_of(spark, f"{tmp}/*.csv")
     assert [r["Flow_Duration"] for r in fact.collect()] == [1]
