@@ -29,7 +29,7 @@ H_BWD = " Total Length of Bwd Packets"
 H_LABEL = " Label"
 
 # Dirt is keyed on the row id so both the Spark build and the SQL oracle
-# produce it identically (moduli are primes; first matching rule wins).
+# produce it identically (prime moduli; first matching rule wins).
 INF_EVERY, NAN_EVERY, NEG_INF_EVERY = 97, 89, 83
 STRAY_EVERY, NULL_LABEL_EVERY, BLANK_EVERY, PAD_EVERY = 101, 103, 107, 7
 NO_IP_EVERY = 61
