@@ -167,3 +167,10 @@ def test_unclustered_fact_write_gives_same_tables(spark, run, raw_dir, tmp):
     run_transform(spark, S.csv_scan(spark, f"{raw_dir}/*.csv"), store, cluster_fact=False)
     for name in M.TABLES:
         assert except_all_both_ways(src.read(name), store.read(name)).isEmpty(), name
+
+
+def test_transform_leaves_session_settings_alone(spark, raw_dir, tmp):
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key, None)
+    run_transform(spark, S.csv_scan(spark, f"{raw_dir}/*.csv"), SnapshotStore(spark, tmp))
+    assert spark.conf.get(key, None) == before
