@@ -11,6 +11,7 @@ import datetime as dt
 import hashlib
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -240,19 +241,23 @@ def export_tables(source: SnapshotStore, target: SnapshotStore,
     for name in REQUIRED_TABLES:
         if not source.present(name):
             raise MissingTable(f"missing required table {name}")
-    rows = []
-    for name, parts in tables.items():
+    def export_one(name: str, parts: list[str]) -> tuple:
         if not source.present(name):
             target.drop(name)
-            rows.append((name, False, None, None, None, None))
-            continue
+            return (name, False, None, None, None, None)
         pinned = source.commit(name)
         data = source.read(name, version=pinned.version)
         version = target.create_or_replace(name, data, parts,
                                            {"compression": "gzip", "format_version": "2"})
         written = target.commit(name, version)
         export_row_check(pinned.row_count, written.row_count, name)
-        rows.append((name, True, pinned.version, version, written.snapshot_id, written.row_count))
+        return (name, True, pinned.version, version, written.snapshot_id, written.row_count)
+
+    # tables are independent: their copy jobs run side by side; the manifest
+    # is published only after every one of them has passed its row check
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        futures = [pool.submit(export_one, name, parts) for name, parts in tables.items()]
+        rows = [f.result() for f in futures]
     manifest = spark.createDataFrame(rows, MANIFEST_SCHEMA)
     manifest.coalesce(1).write.mode("errorifexists").json(marker)
     return manifest
