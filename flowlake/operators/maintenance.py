@@ -316,29 +316,32 @@ def warehouse_export(source: SnapshotStore, target: SnapshotStore, run_date: dt.
     for name in REQUIRED_TABLES:
         if not source.present(name):
             raise MissingTable(f"required table missing: {name}")
-    rows = []
-    for name in tables:
+
+    def load_one(name: str) -> tuple:
         if not source.present(name):
             target.drop(name)
-            rows.append((name, False, None, None))
-            continue
+            return (name, False, None, None)
         pinned = source.commit(name)
         data = source.read(name, version=pinned.version)
         if "label" not in data.columns:
             raise ValueError(f"{name} has no label column; rebuild it")
         staged = (data.withColumn("ingest_date", F.lit(run_date).cast("date"))
                   .sortWithinPartitions("label"))
-        prior = spark.conf.get("spark.sql.parquet.outputTimestampType")
-        spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
-        try:
-            version = target.create_or_replace(name, staged, ["ingest_date"],
-                                               {"compression": "gzip"})
-        finally:
-            spark.conf.set("spark.sql.parquet.outputTimestampType", prior)
+        version = target.create_or_replace(name, staged, ["ingest_date"], {"compression": "gzip"})
         loaded = target.commit(name, version).row_count
         export_row_check(pinned.row_count, loaded, name)
         expire_partitions(target, name, run_date)
-        rows.append((name, True, pinned.version, loaded))
+        return (name, True, pinned.version, loaded)
+
+    # microsecond timestamps for the whole load; tables load side by side
+    prior = spark.conf.get("spark.sql.parquet.outputTimestampType")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    try:
+        with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+            futures = [pool.submit(load_one, name) for name in tables]
+            rows = [f.result() for f in futures]
+    finally:
+        spark.conf.set("spark.sql.parquet.outputTimestampType", prior)
     return spark.createDataFrame(rows, "table string, present boolean, source_version long, "
                                        "row_count long")
 
