@@ -24,8 +24,6 @@ from flowlake.session import configure, scratch_path
 from flowlake.sources.flows import raw_flows
 from flowlake.sources.snapshots import SnapshotStore
 
-_BASE: dict[tuple[str, str], tuple[SnapshotStore, DataFrame]] = {}
-
 FACT_COLS = ('"Flow_Duration", "Source_IP", "Timestamp", "Flow_Packets/s", '
              '"Total_Length_of_Fwd_Packets", "Total_Length_of_Bwd_Packets", label, '
              '_source_file, event_time, event_date, attack_category')
@@ -53,15 +51,13 @@ def _once(name: str):
     return wrap
 
 
+@_once("base")
 def base(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, DataFrame]:
     """Transform output for ``sf_dir`` (computed once per application)."""
     configure(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _BASE:
-        store = SnapshotStore(spark, scratch_path(spark, "warehouse"))
-        report = run_transform(spark, raw_flows(spark, sf_dir), store.namespace("security"))
-        _BASE[key] = (store.namespace("security"), report.cache())
-    return _BASE[key]
+    store = SnapshotStore(spark, scratch_path(spark, "warehouse")).namespace("security")
+    report = run_transform(spark, raw_flows(spark, sf_dir), store)
+    return store, report.cache()
 
 
 def fresh(spark: SparkSession, name: str) -> SnapshotStore:
