@@ -43,6 +43,10 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--no-cluster-fact", action="store_true",
                    help="skip the fact rebalance (inputs already one capture day per file)")
     t.add_argument("--plans-dir", default=None, help="write each table's query plan here")
+    t.add_argument("--types", default=None,
+                   help='JSON {"column": "type"}; listed columns skip the inference pass')
+    t.add_argument("--header", default=None,
+                   help="the header line shared by every file (skips per-file header reads)")
     v = sub.add_parser("validate", help="raw-text recount vs fact; exit 1 on a mismatch")
     v.add_argument("--raw", required=True)
     v.add_argument("--root", required=True)
@@ -68,7 +72,9 @@ def main(argv: list[str] | None = None) -> int:
     store = SnapshotStore(spark, args.root)
     if args.command == "transform":
         plans: dict[str, str] | None = {} if args.plans_dir else None
-        report = run_transform(spark, S.csv_scan(spark, args.raw), store,
+        types = json.loads(args.types) if args.types else None
+        scan = S.csv_scan(spark, args.raw, types=types, header=args.header)
+        report = run_transform(spark, scan, store,
                                cache_mode=args.cache_mode,
                                cluster_fact=not args.no_cluster_fact, plans=plans)
         for name, text in (plans or {}).items():

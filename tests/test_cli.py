@@ -33,3 +33,15 @@ def test_cli_transform_validate_export_retain_publish(spark, tmp, capsys):
     assert manifest["label_counts"] == 3
     assert main(["evolve", "--root", root, "--demo-root", f"{tmp}/demo"]) == 0
     assert json.loads(capsys.readouterr().out)["passed"] is True
+
+
+def test_cli_transform_with_declared_types_and_header(spark, tmp, capsys):
+    raw = f"{tmp}/raw"
+    shutil.copytree(FIXTURE_DIR, raw)
+    header = open(f"{raw}/Monday-fixture.csv").readline().rstrip("\n")
+    types = {"Flow Duration": "bigint", "Flow Packets/s": "double",
+             "Total Length of Fwd Packets": "bigint", "Total Length of Bwd Packets": "bigint"}
+    assert main(["transform", "--raw", f"{raw}/*.csv", "--root", f"{tmp}/t",
+                 "--types", json.dumps(types), "--header", header]) == 0
+    report = json.loads(capsys.readouterr().out)
+    assert report["cleaned_rows"] == 8 and report["threshold_packets_per_sec"] == 4.0
