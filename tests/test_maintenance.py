@@ -212,3 +212,16 @@ def test_rebalanced_write_splits_a_hot_partition_value(spark, tmp):
     per_date = {str(r.event_date): r["count"] for r in files.groupBy("event_date").count().collect()}
     assert per_date["2017-07-03"] > 1, per_date      # the hot value was split
     assert store.read("t").count() == 300_000        # nothing dropped
+
+
+def test_compact_many_appends(spark, tmp):
+    store = SnapshotStore(spark, tmp)
+    store.overwrite("t", labels(spark, "A"))
+    for v in ("B", "C", "D"):
+        store.append("t", labels(spark, v))
+    assert len(store.commit("t").segments) == 4
+    version = store.compact("t")
+    assert store.commit("t").segments and len(store.commit("t").segments) == 1
+    assert store.commit("t", version).operation == "COMPACT"
+    assert sorted(r.label for r in store.read("t").collect()) == ["A", "B", "C", "D"]
+    assert store.compact("t") is None  # already one segment
