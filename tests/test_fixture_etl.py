@@ -174,3 +174,15 @@ def test_transform_leaves_session_settings_alone(spark, raw_dir, tmp):
     before = spark.conf.get(key, None)
     run_transform(spark, S.csv_scan(spark, f"{raw_dir}/*.csv"), SnapshotStore(spark, tmp))
     assert spark.conf.get(key, None) == before
+
+
+def test_plan_capture_with_concurrent_writes_restores_stdout(spark, raw_dir, tmp):
+    import sys
+    before = sys.stdout
+    plans: dict[str, str] = {}
+    for i in range(3):
+        run_transform(spark, S.csv_scan(spark, f"{raw_dir}/*.csv"),
+                      SnapshotStore(spark, f"{tmp}/{i}"), plans=plans)
+        assert sys.stdout is before
+    assert set(plans) == set(M.TABLES)
+    assert all("Physical Plan" in text for text in plans.values())
