@@ -261,3 +261,17 @@ def test_byte_order_mark_in_header(spark, tmp):
     p.write_text("\ufeff" + HEADER + "\n1,10.0.0.1,3/7/2017 9:01,1,1,1,BENIGN\n", encoding="utf-8")
     fact = fact_of(spark, f"{tmp}/*.csv")
     assert [r["Flow_Duration"] for r in fact.collect()] == [1]
+
+
+def test_guards_raise(spark, tmp):
+    from flowlake.sources.snapshots import TableNotFound
+    df = spark.createDataFrame([(1.0,)], "x double")
+    with pytest.raises(ValueError):
+        exact_percentile(df, "x", 1.5)
+    with pytest.raises(ValueError):
+        exact_percentile(df, "x", 0.5, buckets=1)
+    store = SnapshotStore(spark, tmp)
+    with pytest.raises(TableNotFound):
+        store.append("missing", df)
+    with pytest.raises(SchemaMismatch):
+        store.overwrite("t", spark.createDataFrame([(1,)], "segment long"))
