@@ -116,6 +116,8 @@ def exact_percentile_frame(df: DataFrame, column: str, p: float,
         hist = in_range.groupBy(bucket.alias("key")).agg(
             F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
         hit = _pick(hist, rank).first()
+        if hit is None:  # counts are exact, so the rank always falls in a bucket
+            raise RuntimeError(f"exact percentile: rank {rank} not found in [{lo}, {hi}]")
         rank -= hit["before"]
         lo, hi, count = hit["lo"], hit["hi"], hit["c"]
         if count > CHECKPOINT_ROWS and lo < hi:
