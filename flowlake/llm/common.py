@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,21 @@ def worker_state(name: str, build):
     return getattr(home, name)
 
 
+def sorted_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Whole groups of rows that arrive sorted by ``keys``; one group is held at a time."""
+    held: list[pd.DataFrame] = []
+    key = None
+    for batch in batches:
+        for k, part in batch.groupby(keys, sort=False, dropna=False):
+            if held and k != key:
+                yield pd.concat(held) if len(held) > 1 else held[0]
+                held = []
+            key = k
+            held.append(part)
+    if held:
+        yield pd.concat(held) if len(held) > 1 else held[0]
+
+
 # --- vectorised word hashing ------------------------------------------------
 
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -71,9 +88,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-def word_hashes(texts: list[bytes]) -> list[np.ndarray]:
-    """For each text, one 64-bit hash per word; words are runs of bytes other
-    than space and 0x09-0x0D.  Texts are hashed about a megabyte at a time."""
+BLANK_BYTES = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+#: All but ASCII letters and digits and the bytes of other characters.
+PUNCTUATION_BYTES = ~np.array([chr(b).isalnum() or b > 127 for b in range(256)])
+
+
+def word_hashes(texts: list[bytes], gaps: np.ndarray = BLANK_BYTES) -> list[np.ndarray]:
+    """For each text, one 64-bit hash per word; words are runs of bytes outside
+    ``gaps`` (space and 0x09-0x0D).  Texts are hashed about a megabyte at a time."""
     out: list[np.ndarray] = []
     group: list[bytes] = []
     size = 0
@@ -81,18 +103,18 @@ def word_hashes(texts: list[bytes]) -> list[np.ndarray]:
         group.append(t)
         size += len(t) + 1
         if size >= _CHUNK:
-            out += _hash_group(group)
+            out += _hash_group(group, gaps)
             group, size = [], 0
     if group:
-        out += _hash_group(group)
+        out += _hash_group(group, gaps)
     return out
 
 
-def _hash_group(group: list[bytes]) -> list[np.ndarray]:
+def _hash_group(group: list[bytes], gaps: np.ndarray) -> list[np.ndarray]:
     buf = np.frombuffer(b"\n".join(group) + b"\n", np.uint8)
     n = len(buf)
     up, down = worker_state("powers", lambda: _powers(2 * _CHUNK)) if n < 2 * _CHUNK else _powers(n + 1)
-    gap = (buf == 32) | ((buf >= 9) & (buf <= 13))
+    gap = gaps[buf]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], gap)).astype(np.int8)))
     starts, ends = edge[0::2], edge[1::2]
     total = np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * up[:n], dtype=np.uint64)

@@ -5,12 +5,18 @@ lower-cased; a document's set holds its distinct 5-word shingles as 64-bit hashe
 words: the whole sequence as one element; no words: empty, linked with nothing).
 Two documents link when 100 * intersection >= 75 * union.
 
-1. One pass over the text: set size, set fingerprint and the prefix, the set's
-   n - ceil(0.75 n) + 1 smallest hashes.  Linked sets share a prefix element.
-   Copies (equal sets) are one node; per batch only the first sends its prefix.
-2. Prefix elements that two or more nodes hold get the smallest such node as their
-   centre (one partial aggregate: a hot element is summed map-side).  Nodes and
-   centres give blocks: any two nodes that share an element meet in its block.
+1. One pass over the text: set size n, set fingerprint and the set's smallest hashes.
+   Of a linked pair the smaller set lacks at most n/7 of its elements in the other, the
+   larger at most n/4.  So the first k common elements lie among the smaller set's first
+   n/7 + k elements (its core) and among the larger one's first n/4 + k (its prefix).
+   k is a tenth of the set.  Copies (equal sets) are one node; per batch only the first
+   sends its prefix.
+2. Elements that two nodes hold, one of them in its core, are counted per node.  A node
+   with fewer than k such elements in its core is nobody's smaller partner; one with
+   fewer than the least k of its partners among those cores is nobody's larger one.
+   Both are exact bounds: documents that merely share a passage end here.  The elements
+   left get their smallest holder as centre (partial aggregates: a hot element is summed
+   map-side), and centres give blocks: two nodes that share an element meet in its block.
    Blocks whose sets are together large are cut into chunks, and chunks meet pairwise.
 3. Per block (or pair of chunks): inverted lists, and for each set the T-occurrence
    search.  T is the least overlap any partner needs.  Its longest lists (hot
@@ -40,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.llm.common import mix, ordered_hash, sequence_hash, word_hashes, written
+from flowlake.llm.common import mix, ordered_hash, sequence_hash, sorted_groups, word_hashes, written
 from flowlake.llm.components import components
 
 WIDTH = 5
@@ -71,6 +77,19 @@ def fingerprint(values: np.ndarray) -> int:
     return int(mix(np.array([total + np.uint64(len(values))], np.uint64)).view(np.int64)[0])
 
 
+def common_needed(n: int) -> int:
+    """k: common elements looked for in the core of a set of n."""
+    return max(1, n // 10)
+
+
+def core_size(n: int, percent: int = PERCENT) -> int:
+    return n - required(n, n, percent) + common_needed(n)
+
+
+def prefix_size(n: int, percent: int = PERCENT) -> int:
+    return n - -(-percent * n // 100) + common_needed(n)
+
+
 def required(n: int, m: int, percent: int = PERCENT) -> int:
     """Least intersection of sets of n and m elements that link."""
     return -(-percent * (n + m) // (100 + percent))
@@ -82,7 +101,8 @@ def _long_lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``__id, n, fp, prefix``; the prefix only at a fingerprint's first row of a batch."""
+    """``__id, n, fp, core, prefix`` (the core is the prefix's first ``core`` elements);
+    the prefix only at a fingerprint's first row of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,12 +115,13 @@ def _signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     n = len(s)
                     first = n and fp not in seen
                     seen.add(fp)
-                    prefixes.append(s[:n - (-(-percent * n // 100)) + 1] if first else s[:0])
+                    prefixes.append(s[:prefix_size(n, percent)] if first else s[:0])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(fps, pa.int64()), _long_lists(prefixes)], ["__id", "n", "fp", "prefix"])
+                     pa.array(fps, pa.int64()), pa.array([core_size(len(s), percent) for s in sets], pa.int64()),
+                     _long_lists(prefixes)], ["__id", "n", "fp", "core", "prefix"])
 
-    return docs.mapInArrow(run, f"__id {docs.schema['__id'].dataType.simpleString()}, n long, fp long, prefix array<long>")
+    return docs.mapInArrow(run, f"__id {docs.schema['__id'].dataType.simpleString()}, n long, fp long, core long, prefix array<long>")
 
 
 def _bitmap(keys: DataFrame, col: str) -> np.ndarray:
@@ -122,20 +143,24 @@ def bitmap_has(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def _filtered_postings(signatures: DataFrame, bits) -> DataFrame:
-    """(element, fp, n) rows of the prefix elements that the bitmap lets through."""
+    """(element, fp, n, core) rows of the prefix elements that the bitmap lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(2)
+            lists = batch.column(3)
             sizes = np.diff(lists.offsets.to_numpy())
             values = lists.flatten().to_numpy()
+            rank = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             keep = bitmap_has(bits.value, values)
             pick = np.repeat(np.arange(len(sizes)), sizes)[keep]
+            core = batch.column(2).to_numpy()[pick]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(values[keep]), pa.array(batch.column(1).to_numpy()[pick]),
-                 pa.array(batch.column(0).to_numpy()[pick])], ["element", "fp", "n"])
+                 pa.array(batch.column(0).to_numpy()[pick]), pa.array(rank[keep] < core)],
+                ["element", "fp", "n", "core"])
 
-    return signatures.select("n", "fp", "prefix").mapInArrow(run, "element long, fp long, n long")
+    return signatures.select("n", "fp", "core", "prefix").mapInArrow(
+        run, "element long, fp long, n long, core boolean")
 
 
 def _member_sets(docs: DataFrame, bits, width: int) -> DataFrame:
@@ -241,19 +266,9 @@ def _search_blocks(rows: DataFrame, percent: int) -> DataFrame:
                 t_occurrence_links(sets, part["chunk"].to_numpy() if cross else None, percent)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        key = None
-        for batch in batches:
-            links = []
-            for k, part in batch.groupby(["centre", "i", "j"], sort=False):
-                if k != key and held:
-                    links += search(pd.concat(held))
-                    held = []
-                key = k
-                held.append(part)
-            yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
-        if held:
-            yield pd.DataFrame(search(pd.concat(held)), columns=["a", "b"], dtype="int64")
+        for block in sorted_groups(batches, ["centre", "i", "j"]):
+            if links := search(block):
+                yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return (rows.repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j", "fp")
             .mapInPandas(run, "a long, b long"))
@@ -268,16 +283,29 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     plain = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     signatures = written(_signatures(plain, width, percent), "signatures")
 
-    shared = written(signatures.select(F.explode("prefix").alias("element"), "fp")
-                     .groupBy("element").agg(F.min("fp").alias("centre"), F.max("fp").alias("__last"))
-                     .filter("centre <> __last").select("element", "centre"), "shared")
+    held = signatures.select("fp", "core", F.posexplode("prefix").alias("rank", "element"))
+    shared = written(held.groupBy("element")
+                     .agg(F.min("fp").alias("__first"), F.max("fp").alias("__last"),
+                          F.max((F.col("rank") < F.col("core")).cast("int")).alias("__core"))
+                     .filter("__first <> __last and __core = 1").select("element"), "shared")
     some = spark.sparkContext.broadcast(_bitmap(shared, "element"))
-    postings = _filtered_postings(signatures, some)
-    members = written(postings.join(shared, "element").groupBy("centre", "fp")
+    hits = written(_filtered_postings(signatures, some).join(shared, "element")
+                   .groupBy("element", "fp").agg(F.max("n").alias("n"), F.max("core").alias("core")), "hits")
+    least = lambda n: F.greatest(F.floor(n / 10), F.lit(1))  # noqa: E731  common_needed
+    small = (hits.filter("core").groupBy("fp").agg(F.count("*").alias("__k"), F.max("n").alias("n"))
+             .filter(F.col("__k") >= least(F.col("n"))).select("fp"))
+    centres = (hits.filter("core").join(small, "fp", "left_semi").groupBy("element")
+               .agg(F.min("fp").alias("centre")))
+    near = written(hits.join(centres, "element").select("fp", "n", "centre"), "near")
+    large = (near.groupBy("fp").agg(F.count("*").alias("__k"), F.max("n").alias("n"))
+             .filter(F.col("__k") >= least(F.ceil(F.col("n") * percent / 100))).select("fp"))
+    members = written(near.join(large, "fp", "left_semi").groupBy("centre", "fp")
                       .agg(F.max("n").alias("n")), "members")
 
     chunks = (members.groupBy("centre").agg(F.sum("n").alias("__total"))
-              .select("centre", F.ceil(F.col("__total") / CHUNK_ELEMENTS).cast("int").alias("chunks")))
+              .filter(F.count("*") > 1) if False else members.groupBy("centre")
+             .agg(F.sum("n").alias("__total"), F.count("*").alias("__nodes")).filter("__nodes > 1")
+             .select("centre", F.ceil(F.col("__total") / CHUNK_ELEMENTS).cast("int").alias("chunks")))
     chunk = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
     placed = members.join(chunks, "centre").withColumn("chunk", chunk)
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm import (language_id, line_dedup, ngram_join, packing, token_count, url_filter)
+from flowlake.llm import (decontaminate, html_extract, language_id, license_scan, line_dedup, ngram_join,
+                          packing, token_count, url_filter, vector_dedup)
 from flowlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +35,37 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+VECTOR_SQL = r"""
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+ok AS (
+  SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS norm FROM e
+  WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+  ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.93),
+reach(a, b) AS (SELECT vec_id, vec_id FROM e UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT r.a AS vec_id, CAST(coalesce(any_value(c.n), 0) AS BIGINT) AS n_links, min(r.b) AS component_id,
+       r.a = min(r.b) AS kept
+FROM reach r LEFT JOIN counted c ON c.a = r.a GROUP BY r.a
+"""
+
+
+@query("op2_embedding_near_dedup", VECTOR_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.dedup_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_html_extraction")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    out = html_extract.extract(pages, html_extract.fit(pages))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 LINE_DEDUP_SQL = r"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 lines AS (
@@ -57,6 +89,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op5_license_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (document, license found)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (license_scan.with_licenses(docs).select("doc_id", F.explode("licenses").alias("l"))
+            .select("doc_id", "l.*"))
+
+
 @query("op6_language_id")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -67,6 +107,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          F.lit(False)).alias("held_out"), "lang_pred", "score"))
 
 
+@query("op7_benchmark_decontamination")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (document, benchmark item found in it)."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 NGRAM_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
