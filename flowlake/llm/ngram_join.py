@@ -202,7 +202,7 @@ def t_occurrence_links(sets: list[np.ndarray], side: np.ndarray | None = None,
         n = int(sizes[q])
         need = -(-percent * n // 100)            # T: a partner holds 0.75 n at least
         tokens = own[q][lengths[own[q]] > 1]
-        if len(tokens) < need:
+        if len(tokens) < max(need, 1):
             continue
         tokens = tokens[np.argsort(lengths[tokens], kind="stable")]
         longest = int(lengths[tokens[-1]])
@@ -302,10 +302,9 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     members = written(near.join(large, "fp", "left_semi").groupBy("centre", "fp")
                       .agg(F.max("n").alias("n")), "members")
 
-    chunks = (members.groupBy("centre").agg(F.sum("n").alias("__total"))
-              .filter(F.count("*") > 1) if False else members.groupBy("centre")
-             .agg(F.sum("n").alias("__total"), F.count("*").alias("__nodes")).filter("__nodes > 1")
-             .select("centre", F.ceil(F.col("__total") / CHUNK_ELEMENTS).cast("int").alias("chunks")))
+    chunks = (members.groupBy("centre")
+              .agg(F.sum("n").alias("__total"), F.count("*").alias("__nodes")).filter("__nodes > 1")
+              .select("centre", F.ceil(F.col("__total") / CHUNK_ELEMENTS).cast("int").alias("chunks")))
     chunk = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
     placed = members.join(chunks, "centre").withColumn("chunk", chunk)
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
