@@ -17,13 +17,14 @@ Two documents link when 100 * intersection >= 75 * union.
    Both are exact bounds: documents that merely share a passage end here.  The elements
    left get their smallest holder as centre (partial aggregates: a hot element is summed
    map-side), and centres give blocks: two nodes that share an element meet in its block.
+   A block whose nodes all lie in another one is left out.
    Blocks whose sets are together large are cut into chunks, and chunks meet pairwise.
 3. Per block (or pair of chunks): inverted lists, and for each set the T-occurrence
-   search.  T is the least overlap any partner needs.  Its longest lists (hot
-   passages) are left out; the short ones are heap-merged, and documents that
-   reach T less the lists left out are looked up in the long ones by binary search
-   until they reach the overlap that the pair needs or can't any more.
-   Documents already connected to the searching one are left out of its lists, so
+   search for partners of its size or more.  T is the least overlap any of them needs.
+   The longest lists (hot passages) are left out; the short ones are heap-merged with
+   skips, and documents that reach T less the lists left out are looked up in the long
+   ones by binary search until they reach the overlap that the pair needs or can't any
+   more.  Documents already connected to the searching one are left out of its lists, so
    a group of thousands of near copies costs one comparison each, not one a pair.
 4. Components of the links; each node's result goes back to its copies.
 
@@ -37,8 +38,8 @@ from __future__ import annotations
 
 import heapq
 import math
+from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -186,69 +187,99 @@ def _member_sets(docs: DataFrame, bits, width: int) -> DataFrame:
 def t_occurrence_links(sets: list[np.ndarray], side: np.ndarray | None = None,
                        percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links that connect all linked sets (a spanning forest of them), as index
-    pairs.  With ``side``, only sets of different sides are compared."""
-    count = len(sets)
-    sizes = np.array([len(s) for s in sets], np.int64)
-    _, token = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(count), sizes)
-    order = np.argsort(token, kind="stable")
-    posting = owner[order]
-    lengths = np.bincount(token)
-    starts = np.cumsum(lengths) - lengths
-    own = np.split(token, np.cumsum(sizes)[:-1])
-    group = np.arange(count)
+    pairs.  With ``side``, only sets of different sides are compared.
+
+    Sets are ranked by size and each asks for partners of higher rank only.  Elements
+    held by the same sets share one inverted list, whose weight for a set is the number
+    of the set's elements behind it."""
+    by_size = np.argsort([len(s) for s in sets], kind="stable")
+    sizes = np.array([len(sets[i]) for i in by_size], np.int64)
+    _, token = np.unique(np.concatenate([sets[i] for i in by_size]), return_inverse=True)
+    if not len(token):
+        return []
+    side = None if side is None else np.asarray(side)[by_size]
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    posting = owner[np.argsort(token, kind="stable")]
+    held = np.bincount(token)
+    begin = np.cumsum(held) - held
+    mixed = np.add.reduceat(mix(posting.astype(np.uint64) + np.uint64(1)), begin)
+    _, first, kind = np.unique(mixed, return_index=True, return_inverse=True)
+    begin, held = begin[first], held[first]
+    own = np.split(kind[token], np.cumsum(sizes)[:-1])
+    group = np.arange(len(sets))
     links = []
-    for q in np.argsort(sizes, kind="stable"):
-        n = int(sizes[q])
-        need = -(-percent * n // 100)            # T: a partner holds 0.75 n at least
-        tokens = own[q][lengths[own[q]] > 1]
-        if len(tokens) < max(need, 1):
+    for q, n in enumerate(sizes.tolist()):
+        last = int(np.searchsorted(sizes, 100 * n // percent, "right"))   # partners are no larger
+        open_ = group[q + 1:last] != group[q]
+        if side is not None:
+            open_ &= side[q + 1:last] != side[q]
+        if not n or not open_.any():
             continue
-        tokens = tokens[np.argsort(lengths[tokens], kind="stable")]
-        longest = int(lengths[tokens[-1]])
-        left_out = min(need - 1, int(need / (MU * math.log2(longest) + 1)))
-        short, long_ = tokens[:len(tokens) - left_out], tokens[len(tokens) - left_out:]
-        lists = [posting[s:s + k] for s, k in zip(starts[short], lengths[short])]
-        lists = _others(lists, group, q, side, sizes)
-        if not lists:
+        need = required(n, n, percent)        # T: the least overlap with a set of n or more
+        lists, weight = np.unique(own[q], return_counts=True)
+        some = held[lists] > 1
+        lists, weight = lists[some], weight[some]
+        if weight.sum() < need:
             continue
-        for p, hits in _merge(lists):
-            if hits < need - left_out or group[p] == group[q]:
-                continue
-            want, rest = required(n, int(sizes[p]), percent), len(long_)
-            if 100 * min(n, int(sizes[p])) < percent * max(n, int(sizes[p])):
+        order = np.argsort(-held[lists], kind="stable")
+        lists, weight = lists[order], weight[order]
+        budget = min(need - 1, int(need / (MU * math.log2(held[lists[0]]) + 1)))
+        long_ = int(np.searchsorted(np.cumsum(weight), budget, "right"))   # the longest lists
+        left_out = int(weight[:long_].sum())
+        short, rank = [], []
+        for s, k, w in zip(begin[lists[long_:]].tolist(), held[lists[long_:]].tolist(), weight[long_:].tolist()):
+            one = posting[s:s + k]
+            one = one[np.searchsorted(one, q, "right"):np.searchsorted(one, last)]
+            one = one[open_[one - q - 1]]
+            if len(one):
+                short.append(one.tolist())
+                rank.append(w)
+        probes = sorted(zip(weight[:long_].tolist(), begin[lists[:long_]].tolist(), held[lists[:long_]].tolist()),
+                        reverse=True)
+        for p, hits in merge_skip(short, rank, need - left_out):
+            if group[p] == group[q]:
                 continue
-            for s, k in zip(starts[long_], lengths[long_]):
+            want, rest = required(n, int(sizes[p]), percent), left_out
+            for w, s, k in probes:
                 if hits >= want or hits + rest < want:
                     break
-                rest -= 1
-                at = s + np.searchsorted(posting[s:s + k], p)
-                hits += at < s + k and posting[at] == p
+                rest -= w
+                at = bisect_left(posting, p, s, s + k)
+                if at < s + k and posting[at] == p:
+                    hits += w
             if hits >= want:
-                links.append((int(q), int(p)))
+                links.append((int(by_size[q]), int(by_size[p])))
                 group[group == group[p]] = group[q]
     return links
 
 
-def _others(lists: list[np.ndarray], group: np.ndarray, q: int, side, sizes) -> list[np.ndarray]:
-    """The lists without q's own group (and side), empty ones dropped."""
-    flat = np.concatenate(lists)
-    keep = group[flat] != group[q]
-    if side is not None:
-        keep &= side[flat] != side[q]
-    if not keep.any():
-        return []
-    ends = np.cumsum([len(x) for x in lists])
-    kept = np.concatenate(([0], np.cumsum(keep)))[np.concatenate(([0], ends))]
-    flat = flat[keep]
-    return [flat[a:b] for a, b in zip(kept[:-1], kept[1:]) if b > a]
-
-
-def _merge(lists: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Heap-merge of ascending lists: (document, lists that hold it)."""
-    if len(lists) == 1:
-        return [(int(p), 1) for p in lists[0]]
-    return [(p, sum(1 for _ in same)) for p, same in groupby(heapq.merge(*(x.tolist() for x in lists)))]
+def merge_skip(lists: list[list[int]], weight: list[int], need: int) -> Iterator[tuple[int, int]]:
+    """Heap-merge of ascending lists: (document, weight of the lists that hold it) where
+    that is ``need`` or more.  Lists that can't reach it together jump ahead."""
+    at = [0] * len(lists)
+    heap = [(x[0], i) for i, x in enumerate(lists)]
+    heapq.heapify(heap)
+    while heap:
+        doc, hits, popped = heap[0][0], 0, []
+        while heap and heap[0][0] == doc:
+            i = heapq.heappop(heap)[1]
+            popped.append(i)
+            hits += weight[i]
+        to = doc + 1
+        if hits >= need:
+            yield doc, hits
+        else:
+            while heap and hits + weight[heap[0][1]] < need:
+                i = heapq.heappop(heap)[1]
+                popped.append(i)
+                hits += weight[i]
+            if not heap:
+                return
+            to = heap[0][0]
+        for i in popped:
+            at[i] = bisect_left(lists[i], to, at[i])
+            if at[i] < len(lists[i]):
+                heapq.heappush(heap, (lists[i][at[i]], i))
 
 
 def _search_blocks(rows: DataFrame, percent: int) -> DataFrame:
@@ -274,6 +305,22 @@ def _search_blocks(rows: DataFrame, percent: int) -> DataFrame:
             .mapInPandas(run, "a long, b long"))
 
 
+def _outer_blocks(members: DataFrame) -> DataFrame:
+    """``centre, __total, __nodes`` of the blocks of (centre, fp, n) rows that hold two
+    nodes or more and whose nodes aren't all in a block of a smaller centre."""
+    sizes = written(members.groupBy("centre").agg(F.sum("n").alias("__total"), F.count("*").alias("__nodes"))
+                    .filter("__nodes > 1"), "blocks")
+    nodes = sizes.select("centre", "__nodes")
+    around = (members.select(F.col("fp").alias("centre"), F.col("centre").alias("__outer")).filter("__outer < centre")
+              .join(nodes, "centre").join(nodes.toDF("__outer", "__around"), "__outer")
+              .filter("__around >= __nodes").select("centre", "__outer", "__nodes"))
+    covered = (members.select("centre", "fp").join(around, "centre")
+               .join(members.select(F.col("centre").alias("__outer"), "fp"), ["__outer", "fp"], "left_semi")
+               .groupBy("centre", "__outer").agg(F.count("*").alias("__k"), F.max("__nodes").alias("__nodes"))
+               .filter("__k = __nodes").select("centre"))
+    return sizes.join(covered, "centre", "left_anti")
+
+
 # --- the operator ------------------------------------------------------------
 
 def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -302,8 +349,8 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     members = written(near.join(large, "fp", "left_semi").groupBy("centre", "fp")
                       .agg(F.max("n").alias("n")), "members")
 
-    chunks = (members.groupBy("centre")
-              .agg(F.sum("n").alias("__total"), F.count("*").alias("__nodes")).filter("__nodes > 1")
+    blocks = _outer_blocks(members)
+    chunks = (blocks
               .select("centre", F.ceil(F.col("__total") / CHUNK_ELEMENTS).cast("int").alias("chunks")))
     chunk = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
     placed = members.join(chunks, "centre").withColumn("chunk", chunk)
