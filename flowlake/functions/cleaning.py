@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-# Weekday keyword in a capture file's path -> capture date.
+# Weekday keyword in a capture file's name -> capture date.
 # When several match, the later entry in this list wins.
 FILENAME_DATE_HINTS: list[tuple[str, str]] = [
     ("monday", "2017-07-03"),
@@ -42,12 +42,20 @@ def is_floating(data_type) -> bool:
     return isinstance(data_type, (DoubleType, FloatType))
 
 
+def capture_name(path: Column) -> Column:
+    """Name of the capture a row came from: the file's base name, or the value of its
+    ``capture=`` folder where captures are stored as folders."""
+    folder = F.regexp_extract(path, r"/capture=([^/]+)/[^/]+$", 1)
+    return F.when(folder != "", folder).otherwise(F.regexp_extract(path, r"([^/]*)$", 1))
+
+
 def date_from_path(path: Column) -> Column:
-    """Capture date hinted by a weekday keyword anywhere in the path; else null.
+    """Capture date hinted by a weekday keyword in the capture's name; else null.
 
-    Built as one CASE with the last hint checked first ("last match wins").
+    Folder names don't count.  One CASE with the last hint checked first ("last match
+    wins").
     """
-    lowered = F.lower(path)
+    lowered = F.lower(capture_name(path))
     out = None
     for keyword, day in reversed(FILENAME_DATE_HINTS):
         cond = lowered.contains(keyword)

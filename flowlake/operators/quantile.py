@@ -15,12 +15,13 @@ partial aggregation, so no step ever runs in one task over the whole data:
    ``floor(log2|x| * 64)``; the key is monotone in x).  A running sum over
    the band rows (a few thousand at most) picks the band holding rank k and
    gives n, the rows below it and the band's exact min and max;
-2. while that range holds more than ``max_candidates`` rows: a histogram of
-   ``buckets`` equal-width buckets over the range narrows it the same way
-   (each round shrinks it by about ``buckets``); large ranges are
-   checkpointed to the shared checkpoint folder for the next round;
+2. ``rounds`` passes, always: a histogram of ``buckets`` equal-width buckets over
+   the range narrows it the same way;
 3. a final pass counts the remaining values one by one and a running sum
-   finds the value.
+   finds the value.  A band holds 2**46 doubles, so after two rounds of 65,536
+   buckets at most 2**14 different values are left, whatever the input holds.
+
+The passes are the same at every size; only a range of a single value ends early.
 
 Every count is exact, so correctness never depends on an estimate.  What
 reaches the driver is one row per pass.
@@ -33,12 +34,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlake.session import checkpoint_dir
-
-MAX_CANDIDATES = 50_000
-BUCKETS = 4096
+ROUNDS = 2
+BUCKETS = 65_536
 BANDS_PER_OCTAVE = 64
-CHECKPOINT_ROWS = 10_000_000
 # Keys of positive values start above every negative key: bands of finite
 # doubles lie in [-1075, 1024) octaves.
 _BAND_OFFSET = 1100 * BANDS_PER_OCTAVE
@@ -79,8 +77,7 @@ def _final(values: DataFrame, lo: float, hi: float, rank: int) -> DataFrame:
     )
 
 
-def exact_percentile_frame(df: DataFrame, column: str, p: float,
-                           max_candidates: int = MAX_CANDIDATES,
+def exact_percentile_frame(df: DataFrame, column: str, p: float, rounds: int = ROUNDS,
                            buckets: int = BUCKETS) -> DataFrame | None:
     """One-row DataFrame ``(value, ok)`` with the exact percentile, or None
     when the column has no finite value.  The narrowing passes run eagerly;
@@ -91,7 +88,7 @@ def exact_percentile_frame(df: DataFrame, column: str, p: float,
         raise ValueError("need at least two buckets")
     x = F.col("x")
     values = (
-        df.select(F.col(column).cast("double").alias("x"))
+        df.select(F.col(column).try_cast("double").alias("x"))
         .where(x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     )
     bands = values.groupBy(_band_key(x).alias("key")).agg(
@@ -105,27 +102,24 @@ def exact_percentile_frame(df: DataFrame, column: str, p: float,
         return None
     n = hit["n"]
     rank = _rank(p, n) - hit["before"]
-    lo, hi, count = hit["lo"], hit["hi"], hit["c"]
-    current = values
-    spark = values.sparkSession
-    while count > max_candidates and lo < hi:
+    lo, hi = hit["lo"], hit["hi"]
+    for _ in range(rounds):
+        if lo == hi:
+            break
         width = hi - lo
         bucket = F.least(F.floor((x - F.lit(lo)) / F.lit(width) * F.lit(buckets)),
                          F.lit(buckets - 1)).cast("long")
-        in_range = current.where(x.between(F.lit(lo), F.lit(hi)))
+        in_range = values.where(x.between(F.lit(lo), F.lit(hi)))
         hist = in_range.groupBy(bucket.alias("key")).agg(
             F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
         hit = _pick(hist, rank).first()
         if hit is None:  # counts are exact, so the rank always falls in a bucket
             raise RuntimeError(f"exact percentile: rank {rank} not found in [{lo}, {hi}]")
         rank -= hit["before"]
-        lo, hi, count = hit["lo"], hit["hi"], hit["c"]
-        if count > CHECKPOINT_ROWS and lo < hi:
-            checkpoint_dir(spark)
-            current = in_range.where(x.between(F.lit(lo), F.lit(hi))).checkpoint()
+        lo, hi = hit["lo"], hit["hi"]
     if lo == hi:
-        return spark.createDataFrame([(float(lo), True)], "value double, ok boolean")
-    return _final(current, lo, hi, rank)
+        return values.sparkSession.createDataFrame([(float(lo), True)], "value double, ok boolean")
+    return _final(values, lo, hi, rank)
 
 
 def exact_percentile(df: DataFrame, column: str, p: float, **kw) -> float | None:

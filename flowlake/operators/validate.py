@@ -1,9 +1,9 @@
 """Independent recount from raw CSV text (V1) and the structural check (V2).
 
 The recount does not reuse the cleaning code: it parses each raw line with
-``from_csv`` (its own, positional read of the label cell), applies the
-documented row rules itself (trimmed label, not null, not ``Label``) and
-groups by source name and label.  Comparing it with the fact by a full
+``from_csv`` (its own, positional read of the cells), applies the documented row
+rules itself (trimmed label, not null, not ``Label``; a time in one of the accepted
+formats or a weekday in the capture's name) and groups by capture and label.  Comparing it with the fact by a full
 outer join shows every label whose rows the cleaning step kept or dropped
 differently from the documented rules.
 """
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowlake.functions.cleaning import FILENAME_DATE_HINTS, TIMESTAMP_FORMATS, capture_name
 from flowlake.functions.columns import resolve_aliases, unique_names
 from flowlake.operators.clean import SOURCE_FILE
 from flowlake.operators.reconcile import reconcile_counts
@@ -20,9 +21,17 @@ from flowlake.sources.csv import header_groups, parse_header, source_path
 
 
 def source_name(path: Column) -> Column:
-    """Name of the capture: the partition-style folder value or file name."""
-    folder = F.regexp_extract(path, r"([^/=]+)/[^/]+$", 1)
-    return F.when(folder != "", folder).otherwise(F.regexp_extract(path, r"([^/]+)$", 1))
+    """Name of the capture, from its decoded path."""
+    return capture_name(path)
+
+
+def _dated(time: Column | None, capture: Column) -> Column:
+    """A row counts as dated by its capture's weekday or by a readable time."""
+    days = "|".join(day for day, _ in FILENAME_DATE_HINTS)
+    dated = capture.rlike(f"(?i){days}")
+    if time is None:
+        return dated
+    return dated | F.coalesce(*[F.try_to_timestamp(time, F.lit(f)) for f in TIMESTAMP_FORMATS]).isNotNull()
 
 
 def raw_label_recount(spark: SparkSession, pattern: str) -> DataFrame:
@@ -30,22 +39,22 @@ def raw_label_recount(spark: SparkSession, pattern: str) -> DataFrame:
     frames = []
     for header, files in header_groups(spark, pattern).items():
         names = unique_names(parse_header(header))
-        label_name = resolve_aliases(names).get("label")
-        if label_name is None:
+        found = resolve_aliases(names)
+        if "label" not in found:
             raise ValueError(f"no label column in header of {files[0]}")
-        pos = names.index(label_name)
         ddl = ", ".join(f"c{i} STRING" for i in range(len(names)))
-        lines = spark.read.text(files).select(
-            F.from_csv("value", ddl).getField(f"c{pos}").alias("cell"),
-            source_name(source_path()).alias("source_name"),
-        )
-        frames.append(lines)
+        cells = spark.read.text(files).select(
+            F.from_csv("value", ddl).alias("cells"), source_name(source_path()).alias("source_name"))
+        cell = lambda name: F.col(f"cells.c{names.index(found[name])}")
+        frames.append(cells.select(
+            cell("label").alias("cell"), "source_name",
+            _dated(cell("timestamp") if "timestamp" in found else None, F.col("source_name")).alias("dated")))
     out = frames[0]
     for df in frames[1:]:
         out = out.unionByName(df)
     label = F.trim(F.col("cell"))
     return (
-        out.where(label.isNotNull() & (label != F.lit("Label")))
+        out.where(label.isNotNull() & (label != F.lit("Label")) & F.col("dated"))
         .groupBy("source_name", label.alias("label"))
         .agg(F.count(F.lit(1)).alias("raw_flow_count"))
     )

@@ -250,16 +250,17 @@ def q_limit_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("except_all_both_ways", with_ctes("fact", extra="""
-kept AS (SELECT label, count(*) AS flow_count FROM fact GROUP BY label),
-labelled AS (SELECT label, count(*) AS flow_count FROM parsed
-             WHERE label IS NOT NULL AND label <> 'Label' GROUP BY label)""", body="""
-SELECT 'left' AS side, * FROM (SELECT * FROM kept EXCEPT ALL SELECT * FROM labelled)
+kept AS (SELECT event_date, label FROM fact),
+timed AS (SELECT CAST(event_time AS DATE) AS event_date, label FROM parsed
+          WHERE label IS NOT NULL AND label <> 'Label' AND event_time IS NOT NULL)""", body="""
+SELECT 'left' AS side, * FROM (SELECT * FROM kept EXCEPT ALL SELECT * FROM timed)
 UNION ALL
-SELECT 'right' AS side, * FROM (SELECT * FROM labelled EXCEPT ALL SELECT * FROM kept)"""))
+SELECT 'right' AS side, * FROM (SELECT * FROM timed EXCEPT ALL SELECT * FROM kept)"""))
 def q_except_all_both_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_date, label) rows, many of them alike: the fact against its timed rows."""
     fact, _ = flows_fact(spark, sf_dir)
     raw, cols = prepared_raw(spark, sf_dir)
-    label = K.trimmed_label(raw, cols)
-    labelled = (raw.where(K.keep_labelled(label)).groupBy(label.alias("label"))
-                .agg(F.count(F.lit(1)).alias("flow_count")))
-    return except_all_both_ways(A.label_totals(fact), labelled)
+    label, ts = K.trimmed_label(raw, cols), K.event_time(raw, cols)
+    timed = (raw.where(K.keep_labelled(label) & ts.isNotNull())
+             .select(F.to_date(ts).alias("event_date"), label.alias("label")))
+    return except_all_both_ways(fact.select("event_date", "label"), timed)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlake.functions.columns import (
-    REQUIRED_COLUMNS, prepare_columns, resolve_aliases, sanitize_names, strip_headers,
+    REQUIRED_COLUMNS, prepare_columns, require_columns, resolve_aliases, sanitize_names, strip_headers,
 )
 from flowlake.operators.clean import SOURCE_FILE, clean, fact_columns
 from flowlake.operators import validate as V
@@ -97,13 +97,34 @@ def _header_rows(spark: SparkSession, sf_dir: str) -> list[str]:
     return S.parse_header(next(iter(groups)))
 
 
-@register("strip_headers")
+def _filled_cells(df: DataFrame, names: list[tuple[str, str]]) -> DataFrame:
+    """A row per (name, what became of it): how many rows have a value there."""
+    counts = df.agg(*[F.count(F.col(f"`{new}`")).alias(f"c{i}") for i, (_, new) in enumerate(names)])
+    pairs = F.array(*[F.struct(F.lit(old).alias("raw_name"), F.lit(new).alias("name"),
+                               F.col(f"c{i}").alias("non_null_rows")) for i, (old, new) in enumerate(names)])
+    return counts.select(F.explode(pairs).alias("p")).select("p.*")
+
+
+def _filled_sql(rows: list[tuple[str, str, str]]) -> str:
+    return with_ctes("raw", body="\nUNION ALL ".join(
+        f"SELECT '{old}' AS raw_name, '{new}' AS name, count({cell}) AS non_null_rows FROM raw"
+        for old, new, cell in rows))
+
+
+#: header as written, stripped, and its cell in the oracle's raw rows.
+_HEADERS = [(" Flow Duration", "Flow Duration", '"Flow_Duration"'), (" Source IP", "Source IP", '"Source_IP"'),
+            (" Timestamp", "Timestamp", '"Timestamp"'), (" Flow Packets/s", "Flow Packets/s", "rate_raw"),
+            (" Total Length of Fwd Packets", "Total Length of Fwd Packets", '"Total_Length_of_Fwd_Packets"'),
+            (" Total Length of Bwd Packets", "Total Length of Bwd Packets", '"Total_Length_of_Bwd_Packets"'),
+            (" Label", "Label", "label_raw")]
+
+
+@register("strip_headers", _filled_sql(_HEADERS))
 def q_strip_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_names = _header_rows(spark, sf_dir)
     text = S.read_text_columns(spark, flows_csv(spark, sf_dir))
-    stripped = strip_headers(text.toDF(*(raw_names + [SOURCE_FILE]))).columns
-    rows = list(zip(range(len(raw_names)), raw_names, stripped))
-    return spark.createDataFrame(rows, "position int, raw_name string, name string")
+    stripped = strip_headers(text.toDF(*(raw_names + [SOURCE_FILE])))
+    return _filled_cells(stripped, list(zip(raw_names, stripped.columns)))
 
 
 @register("resolve_aliases", with_ctes("parsed", body="""
@@ -118,24 +139,25 @@ def q_resolve_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(*[F.col(f"`{actual}`").alias(canonical) for canonical, actual in cols.items()])
 
 
-@register("require_columns")
+@register("require_columns", _filled_sql([
+    ("flow_duration", "Flow Duration", '"Flow_Duration"'), ("label", "Label", "label_raw")]))
 def q_require_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = S.csv_scan(spark, flows_csv(spark, sf_dir))
-    cols = resolve_aliases(raw.columns)
-    rows = [(c, cols.get(c), c in cols) for c in REQUIRED_COLUMNS]
-    return spark.createDataFrame(rows, "canonical string, actual string, found boolean")
+    """The required columns, the header each was found under and its filled cells."""
+    text = S.read_text_columns(spark, flows_csv(spark, sf_dir))
+    cols = resolve_aliases(text.columns)
+    require_columns(cols)
+    return _filled_cells(text, [(c, cols[c]) for c in REQUIRED_COLUMNS]).select("raw_name", "name", "non_null_rows")
 
 
-@register("sanitize_names")
+@register("sanitize_names", _filled_sql([
+    (new, new.replace(" ", "_"), cell) for _, new, cell in _HEADERS]))
 def q_sanitize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = S.csv_scan(spark, flows_csv(spark, sf_dir))
-    cols = resolve_aliases(raw.columns)
-    renamed, _ = sanitize_names(raw, cols)
-    rows = list(zip(raw.columns, renamed.columns))
-    return spark.createDataFrame(rows, "name string, sanitized string")
+    text = S.read_text_columns(spark, flows_csv(spark, sf_dir)).drop(SOURCE_FILE)
+    renamed, _ = sanitize_names(text, resolve_aliases(text.columns))
+    return _filled_cells(renamed, list(zip(text.columns, renamed.columns)))
 
 
-MONDAY_CAPTURE = "capture=Monday-capture.csv"
+MONDAY_CAPTURE = "Monday-capture.csv"
 
 
 @register("rows_of_source_file", with_ctes("fact", body="""
@@ -150,7 +172,8 @@ _RECOUNT = """
 recount AS (
   SELECT regexp_extract(_source_file, '([^/]+)$', 1) AS source_name, label,
          count(*) AS raw_flow_count
-  FROM parsed WHERE label IS NOT NULL AND label <> 'Label' GROUP BY ALL),
+  FROM parsed WHERE label IS NOT NULL AND label <> 'Label'
+    AND (event_time IS NOT NULL OR file_date IS NOT NULL) GROUP BY ALL),
 fact_counts AS (
   SELECT regexp_extract(_source_file, '([^/]+)$', 1) AS source_name, label,
          count(*) AS fact_flow_count
@@ -172,7 +195,8 @@ def q_validate_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("reconcile_label_counts", with_ctes("fact", extra="""
 recount AS (SELECT label, count(*) AS raw_flow_count FROM parsed
-            WHERE label IS NOT NULL AND label <> 'Label' GROUP BY label),
+            WHERE label IS NOT NULL AND label <> 'Label'
+              AND (event_time IS NOT NULL OR file_date IS NOT NULL) GROUP BY label),
 fact_counts AS (SELECT label, count(*) AS fact_flow_count FROM fact GROUP BY label)""", body="""
 SELECT coalesce(r.label, f.label) AS label,
        coalesce(r.raw_flow_count, 0) AS raw_flow_count,

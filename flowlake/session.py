@@ -31,10 +31,13 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; set a private one only if unset."""
+    """The cluster's checkpoint folder.  Where none is set, a local session gets a
+    private one; on a cluster that is an error, as executors share no local folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="flowlake-ckpt-")
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():

@@ -1,11 +1,11 @@
 """Multi-file CSV scan with header grouping, lineage and line counts.
 
 Files are grouped by their own header line, so files with different
-headers are read by name, never by position.  Every column is read as text
-(no schema-inference pass inside the reader); types come from the caller or
-from one distributed aggregate that ignores stray header rows, and values
-are converted with ``try_cast`` so a stray or junk value becomes null
-instead of turning the whole column into text.
+headers are read by name, never by position.  Every column is read as text;
+the canonical columns have declared types, others those the caller gives (text
+without one), and values are converted with ``try_cast``: a stray header or junk
+value becomes null in its own cell.  Type inference for the other columns is one
+distributed aggregate, on request only.
 """
 
 from __future__ import annotations
@@ -18,21 +18,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from flowlake.functions.columns import TEXT_CANONICALS, resolve_aliases, unique_names
+from flowlake.functions.cleaning import capture_name
+from flowlake.functions.columns import CANONICAL_TYPES, resolve_aliases, unique_names
 from flowlake.operators.clean import SOURCE_FILE
 from flowlake.sources import fs
 
-# Type lattice tried by inference, narrowest first.  Integers are read as
-# bigint so a later file with larger values cannot overflow the column.
-_CANDIDATE_TYPES = ("bigint", "double")
-# Text shapes that always convert: up to 18 digits always fit a bigint; a
-# decimal/scientific number or an inf/nan literal always parses as double.
-# Values of other shapes count as text (a 19-digit integer infers as double).
-_SHAPES = {
-    "bigint": r"^[+-]?[0-9]{1,18}$",
-    "double": r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-              r"|^[+-]?(?i:inf|infinity)$|^(?i:nan)$",
-}
+# Text shapes that inference knows.  Integers beyond a bigint are decimals, so no
+# digit is lost; numbers of other shapes and inf/nan literals are doubles.
+_INTEGER = r"^[+-]?0*([0-9]{1,38})$"
+_NUMBER = (r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+           r"|^[+-]?(?i:inf|infinity)$|^(?i:nan)$")
+_BIGINT_MAX = str(2 ** 63 - 1)
+_INFERRED = ("string", "bigint", "decimal(38,0)", "double", "string")
 
 
 def parse_header(line: str) -> list[str]:
@@ -58,7 +55,10 @@ def header_groups(spark: SparkSession, pattern: str,
         return OrderedDict([(header, files)])
     groups: OrderedDict[str, list[str]] = OrderedDict()
     for path, line in zip(files, fs.first_lines(spark, files)):
-        groups.setdefault(line or "", []).append(path)
+        if line and line.strip("\ufeff \t\r"):  # an empty capture has no rows
+            groups.setdefault(line, []).append(path)
+    if not groups:
+        raise ValueError(f"all files of {pattern} are empty: no header to read")
     return groups
 
 
@@ -66,8 +66,6 @@ def read_text_columns(spark: SparkSession, pattern: str, header: str | None = No
     """All files as string columns (stripped, de-duplicated names) + lineage."""
     frames = []
     for header, files in header_groups(spark, pattern, header).items():
-        if not header:
-            continue
         names = unique_names(parse_header(header))
         schema = StructType([StructField(n, StringType(), True) for n in names])
         df = (
@@ -86,11 +84,11 @@ def read_text_columns(spark: SparkSession, pattern: str, header: str | None = No
 
 
 def infer_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, str]:
-    """Narrowest of bigint/double that every value of a column fits.
+    """Narrowest of bigint, decimal(38,0) and double that every value of a column fits.
 
     One aggregate pass.  Empty values, and values equal to the column's own
     name (stray header rows), do not count against a type.  Each cell gets a
-    code (0 absent, 1 bigint, 2 double, 3 text) and each column keeps its
+    code (0 absent, 1 bigint, 2 decimal, 3 double, 4 text) and each column keeps its
     maximum: one small aggregate per column.  The codes come from regexes
     only: a failed ``try_cast`` costs a JVM exception per cell."""
     columns = [c for c in (columns or df.columns) if c != SOURCE_FILE]
@@ -100,16 +98,18 @@ def infer_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, st
     for i, c in enumerate(columns):
         v = F.trim(F.col(f"`{c}`"))
         present = v.isNotNull() & (v != F.lit("")) & (v != F.lit(c.strip()))
+        digits = F.regexp_extract(v, _INTEGER, 1)
+        fits = (F.length(digits) < 19) | ((F.length(digits) == 19) & (digits <= F.lit(_BIGINT_MAX)))
         code = (
             F.when(~present, F.lit(0))
-            .when(v.rlike(_SHAPES["bigint"]), F.lit(1))
-            .when(v.rlike(_SHAPES["double"]), F.lit(2))
-            .otherwise(F.lit(3))
+            .when((digits != "") & fits, F.lit(1))
+            .when(digits != "", F.lit(2))
+            .when(v.rlike(_NUMBER), F.lit(3))
+            .otherwise(F.lit(4))
         )
         codes.append(code.cast("tinyint").alias(f"c{i}"))
     row = df.select(*codes).agg(*[F.max(f"c{i}").alias(f"c{i}") for i in range(len(columns))]).first()
-    names = {1: "bigint", 2: "double"}
-    return {c: names.get(row[f"c{i}"] or 0, "string") for i, c in enumerate(columns)}
+    return {c: _INFERRED[row[f"c{i}"] or 0] for i, c in enumerate(columns)}
 
 
 def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -117,25 +117,35 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     for c in df.columns:
         t = types.get(c, "string")
         col = F.col(f"`{c}`")
-        cols.append(col if t == "string" else F.trim(col).try_cast(t).alias(c))
+        cols.append(col if t == "string" else _converted(F.trim(col), t).alias(c))
     return df.select(*cols)
 
 
+def _converted(text: Column, data_type: str) -> Column:
+    """``try_cast``; a whole number written with a point (``12.0``) is an integer too."""
+    if data_type != "bigint":
+        return text.try_cast(data_type)
+    pointed = F.when(text.contains(".") | text.contains("e") | text.contains("E"),
+                     text.try_cast("double").try_cast("bigint"))
+    return F.coalesce(F.when(text.rlike(_INTEGER), text.try_cast("bigint")), pointed)
+
+
 def csv_scan(spark: SparkSession, pattern: str,
-             types: dict[str, str] | None = None, header: str | None = None) -> DataFrame:
+             types: dict[str, str] | None = None, header: str | None = None,
+             infer: bool = False) -> DataFrame:
     """CSV files -> typed DataFrame with ``_source_file``.
 
-    ``types`` maps (stripped) column names to Spark types; absent columns
-    are inferred with one aggregate pass.  ``header`` (the raw header line)
+    Canonical columns have their declared types; ``types`` maps further (stripped)
+    column names to Spark types, or overrides.  Other columns are text, unless ``infer``
+    asks for one aggregate pass over them.  ``header`` (the raw header line)
     declares that every file shares it: with very many files this skips the
     per-file header reads on the driver."""
     text = read_text_columns(spark, pattern, header)
-    known = {actual: "string" for canonical, actual in resolve_aliases(text.columns).items()
-             if canonical in TEXT_CANONICALS}
+    known = {actual: CANONICAL_TYPES[canonical]
+             for canonical, actual in resolve_aliases(text.columns).items()}
     known.update(types or {})
-    missing = [c for c in text.columns if c not in known and c != SOURCE_FILE]
-    if missing:
-        known.update(infer_types(text, missing))
+    if infer:
+        known.update(infer_types(text, [c for c in text.columns if c not in known]))
     return apply_types(text, known)
 
 
@@ -162,9 +172,8 @@ def smallest_file(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def rows_of_source_file(df: DataFrame, name: str) -> DataFrame:
-    """Rows whose source path has ``name`` as one of its path segments.
+    """Rows of the capture called ``name``.
 
-    Equality on a decoded segment, so ``Monday x.csv`` matches its own file
-    and ``a.csv`` does not also match ``aa.csv``."""
-    segments = F.split(F.col(SOURCE_FILE), "/")
-    return df.where(F.array_contains(segments, F.lit(name)))
+    Equality on the capture's decoded name, so ``Monday x.csv`` matches its own file,
+    ``a.csv`` does not also match ``aa.csv``, and folders don't count."""
+    return df.where(capture_name(F.col(SOURCE_FILE)) == F.lit(name))

@@ -6,6 +6,7 @@ file, directory deletes.  Data is always read by Spark tasks.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
@@ -51,9 +52,13 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().toString() for st in fs.listStatus(p) if st.isDirectory())
 
 
-def first_line(spark: SparkSession, path: str, limit: int = 1 << 20) -> str | None:
-    """The first line of a file (bounded read), decompressed when the file
-    name says so (``.gz``, ``.bz2``, ...) the same way Spark's readers do."""
+HEADER_BYTES = 1 << 20
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a file, decompressed when the file name says so (``.gz``,
+    ``.bz2``, ...) the same way Spark's readers do.  A line that doesn't end within
+    HEADER_BYTES is no header: an error, never a cut or a read of the whole file."""
     jvm = _jvm(spark)
     fs, p = _fs(spark, path)
     stream = fs.open(p)
@@ -62,9 +67,16 @@ def first_line(spark: SparkSession, path: str, limit: int = 1 << 20) -> str | No
     if codec is not None:
         stream = codec.createInputStream(stream)
     try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"), 65536)
-        line = reader.readLine()
-        return None if line is None else line[:limit]
+        head = b""
+        while b"\n" not in head and b"\r" not in head:
+            block = bytes(stream.readNBytes(1 << 16))
+            head += block
+            if not block:
+                break
+            if len(head) > HEADER_BYTES:
+                raise ValueError(f"{path}: no line break in the first {HEADER_BYTES} bytes")
+        lines = head.splitlines()
+        return lines[0].decode("utf-8", "replace") if lines else None
     finally:
         stream.close()
 
@@ -80,13 +92,25 @@ def delete(spark: SparkSession, path: str) -> bool:
 
 
 def write_new(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small file; fails if it already exists (no overwrite)."""
+    """Create a small file, whole or not at all; fails if it already exists.
+
+    The text goes to a hidden name first and is then renamed, so a crash leaves no
+    half-written file under ``path``.  Two writers racing for one name are told apart
+    where renames are atomic (HDFS, local disks); on object stores a table
+    must have one writer."""
     fs, p = _fs(spark, path)
-    out = fs.create(p, False)
+    if fs.exists(p):
+        raise FileExistsError(f"{path} exists")
+    folder, _, name = path.rpartition("/")
+    staged = _jvm(spark).org.apache.hadoop.fs.Path(f"{folder}/.{name}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(staged, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    if fs.exists(p) or not fs.rename(staged, p):
+        fs.delete(staged, False)
+        raise FileExistsError(f"{path} exists")
 
 
 def read_text(spark: SparkSession, path: str) -> str:

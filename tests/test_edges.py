@@ -59,6 +59,55 @@ def test_files_with_different_headers_are_read_by_name(spark, tmp):
     assert rows[2]["Label"] == "DDoS" and rows[2]["Flow Packets/s"] == 7.5
 
 
+def test_one_bad_cell_is_null_and_nothing_else(spark, tmp):
+    write(tmp, "Monday-a.csv", [
+        HEADER,
+        "1234567890123456789,10.0.0.1,3/7/2017 9:01,n/a,1,2,BENIGN",
+        "Flow Duration,Src IP,Timestamp,Flow Packets/s,TotLen Fwd Pkts,TotLen Bwd Pkts,Label",
+        "2,10.0.0.1,3/7/2017 9:02,-Infinity,12.0,x,BENIGN",
+        "3,10.0.0.1,3/7/2017 9:03,2.5,4,5,BENIGN"])
+    raw = S.csv_scan(spark, f"{tmp}/*.csv")
+    types = dict(raw.dtypes)
+    assert (types["Flow Duration"], types["Flow Packets/s"]) == ("bigint", "double")
+    rows = {r["Flow_Duration"]: r for r in fact_of(spark, f"{tmp}/*.csv").collect()}
+    assert set(rows) == {1234567890123456789, 2, 3}
+    assert rows[1234567890123456789]["Flow_Packets/s"] is None and rows[2]["Flow_Packets/s"] is None
+    assert rows[2]["Total_Length_of_Fwd_Packets"] == 12 and rows[2]["Total_Length_of_Bwd_Packets"] is None
+    assert exact_percentile(raw.select(F.col("Timestamp")), "Timestamp", 0.5) is None
+
+
+def test_inference_keeps_every_digit(spark, tmp):
+    write(tmp, "Monday-a.csv", ["Flow Duration,Label,A,B,C", "1,x,9223372036854775807,9223372036854775808,1e3",
+                                "2,x,-5,7,8"])
+    types = dict(S.csv_scan(spark, f"{tmp}/*.csv", infer=True).dtypes)
+    assert (types["A"], types["B"], types["C"]) == ("bigint", "decimal(38,0)", "double")
+
+
+def test_empty_captures_and_endless_headers(spark, tmp):
+    from flowlake.operators import validate as V
+    from flowlake.sources import fs
+    Path(tmp, "Friday-empty.csv").write_text("")
+    with pytest.raises(ValueError, match="empty"):
+        S.csv_scan(spark, f"{tmp}/*.csv")
+    write(tmp, "Monday-a.csv", [HEADER, "1,10.0.0.1,3/7/2017 9:01,1,1,1,BENIGN"])
+    fact = fact_of(spark, f"{tmp}/*.csv")
+    assert [r.match for r in V.validate_labels(spark, f"{tmp}/*.csv", fact).collect()] == [True]
+    Path(tmp, "endless.txt").write_text("a" * (fs.HEADER_BYTES + (1 << 17)))
+    with pytest.raises(ValueError, match="no line break"):
+        fs.first_line(spark, f"{tmp}/endless.txt")
+
+
+def test_gate_sees_a_row_in_the_wrong_file(spark, tmp):
+    from flowlake.operators import validate as V
+    for name in ("Monday-x.csv", "Tuesday-y.csv", "z.csv"):
+        write(tmp, name, [HEADER, f"1,10.0.0.1,{'junk' if name == 'z.csv' else '3/7/2017 9:01'},1,1,1,BENIGN"])
+    fact = fact_of(spark, f"{tmp}/*.csv")
+    good = V.validate_labels(spark, f"{tmp}/*.csv", fact).collect()
+    assert {r.source_name for r in good} == {"Monday-x.csv", "Tuesday-y.csv"} and all(r.match for r in good)
+    moved = fact.withColumn("_source_file", F.regexp_replace("_source_file", "Monday-x", "Tuesday-y"))
+    assert not any(r.match for r in V.validate_labels(spark, f"{tmp}/*.csv", moved).collect())
+
+
 def test_duplicate_headers_are_suffixed_first_wins():
     names = unique_names(["Label", " Label", "Flow Duration"])
     assert names == ["Label", "Label__1", "Flow Duration"]
@@ -69,6 +118,9 @@ def test_sanitize_collision_and_missing_required(spark):
     df = spark.createDataFrame([(1, 2, "x")], ["a b", "a_b", "Label"])
     with pytest.raises(ColumnError):
         sanitize_names(df, {})
+    with pytest.raises(ColumnError):
+        sanitize_names(spark.createDataFrame([(1, 2)], ["A b", "a_b"]), {})
+    assert resolve_aliases(["tot fwd pkts", "Total Fwd Packets", "x"]) == {"total_fwd_packets": "Total Fwd Packets"}
     with pytest.raises(ColumnError):
         prepare_columns(spark.createDataFrame([("x",)], ["Label"]))
 
@@ -108,6 +160,13 @@ def test_filename_date_last_keyword_wins(spark):
     assert got == ["2017-07-07", "2017-07-03", None]
 
 
+def test_folder_names_set_no_date(spark):
+    df = spark.createDataFrame([("/friday-backfill/Monday-x.csv",), ("/friday/x.csv",),
+                                ("/r/capture=Tuesday-friday.csv/part-0.csv",)], "p string")
+    got = [str(r[0]) if r[0] else None for r in df.select(C.date_from_path(F.col("p"))).collect()]
+    assert got == ["2017-07-03", None, "2017-07-07"]
+
+
 def test_byte_sum_overflow_is_null_not_failure(spark):
     big = 2 ** 63 - 1
     df = spark.createDataFrame([(big, 1), (1, 2)], "f long, b long")
@@ -132,8 +191,8 @@ def test_exact_percentile_matches_brute_force(spark, n):
     for p in (0.0, 0.01, 0.25, 0.5, 0.99, 1.0):
         want = _brute(values, p)
         assert exact_percentile(df, "x", p) == want
-        assert exact_percentile(df, "x", p, max_candidates=50, buckets=4) == want
-        assert exact_percentile(df, "x", p, max_candidates=max(2, n // 4)) == want
+        assert exact_percentile(df, "x", p, rounds=5, buckets=4) == want
+        assert exact_percentile(df, "x", p, rounds=0) == want
         sql = df.selectExpr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY x)").first()[0]
         assert sql == want
 
@@ -194,17 +253,18 @@ def test_quoted_commas_and_missing_columns(spark, tmp):
     assert rows[1]["Label"] == "Web Attack, Brute Force"
     assert rows[3]["Source IP"] is None
     fact = fact_of(spark, f"{tmp}/*.csv")
-    checked = {r.label: (r.raw_flow_count, r.fact_flow_count, r.match)
+    checked = {(r.source_name, r.label): (r.raw_flow_count, r.fact_flow_count, r.match)
                for r in V.validate_labels(spark, f"{tmp}/*.csv", fact).collect()}
-    assert checked["Web Attack, Brute Force"] == (1, 1, True)
-    assert checked["BENIGN"] == (2, 2, True)
+    assert checked == {("Monday-a.csv", "Web Attack, Brute Force"): (1, 1, True),
+                       ("Monday-a.csv", "BENIGN"): (1, 1, True), ("Monday-b.csv", "BENIGN"): (1, 1, True)}
 
 
 def test_inferred_types_ignore_stray_headers(spark, tmp):
     write(tmp, "Monday-a.csv", ["Flow Duration,Rate,Name,Label",
                                 "1,2.5,a,BENIGN", "Flow Duration,Rate,Name,Label",
                                 "2,NaN,b,BENIGN"])
-    types = dict(S.csv_scan(spark, f"{tmp}/*.csv").dtypes)
+    assert dict(S.csv_scan(spark, f"{tmp}/*.csv").dtypes)["Rate"] == "string"
+    types = dict(S.csv_scan(spark, f"{tmp}/*.csv", infer=True).dtypes)
     assert types == {"Flow Duration": "bigint", "Rate": "double", "Name": "string",
                      "Label": "string", "_source_file": "string"}
 
@@ -253,7 +313,7 @@ def test_exact_percentile_mixed_signs_and_ties(spark):
     for p in (0.0, 0.1, 0.37, 0.5, 0.9, 1.0):
         want = _brute(values, p)
         assert exact_percentile(df, "x", p) == want
-        assert exact_percentile(df, "x", p, max_candidates=8, buckets=3) == want
+        assert exact_percentile(df, "x", p, rounds=4, buckets=3) == want
 
 
 def test_byte_order_mark_in_header(spark, tmp):
