@@ -13,7 +13,7 @@ import json
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType, BooleanType, LongType, StringType, StructField, StructType, TimestampType,
@@ -204,7 +204,7 @@ def retention_apply(store: SnapshotStore, run_id: str, tables=tuple(TABLES),
                                            None, None, None, None, None, None, None)])
     except Exception as exc:
         _audit_write(store, run_id, seq, [(run_id, store.root, "*", attempt, "failed", None, None,
-                                           None, None, None, None, None, str(exc)[:2000])])
+                                           None, None, None, None, None, str(exc))])
         raise
     return read_audit(store, run_id).where(F.col("attempt") == attempt).orderBy("seq")
 
@@ -217,7 +217,7 @@ def audit_gate(store: SnapshotStore, run_id: str) -> DataFrame:
     last_run = (audit.where(F.col("table") == "*").orderBy(F.col("seq").desc())
                 .select("status", "root", "attempt").first())
     if last_run is None or last_run["status"] != "complete" or last_run["root"] != store.root:
-        raise StaleAudit("retention audit is missing, incomplete or belongs to another run/root")
+        raise StaleAudit(f"no finished retention run {run_id!r} is recorded for {store.root}")
     final = audit.where((F.col("attempt") == last_run["attempt"]) & (F.col("table") != "*")
                         & (F.col("status") == "complete"))
     return final.select("run_id", "root", "table", "present",
@@ -235,12 +235,11 @@ def export_tables(source: SnapshotStore, target: SnapshotStore,
     """Pin each source version, replace the target table, check counts,
     publish one manifest after all tables (old marker removed first)."""
     spark = source.spark
+    require_tables(source)   # a refused export leaves the last manifest alone
     marker = f"{target.root}/_manifest"
     if fs.exists(spark, marker):
         fs.delete(spark, marker)
-    for name in REQUIRED_TABLES:
-        if not source.present(name):
-            raise MissingTable(f"missing required table {name}")
+
     def export_one(name: str, parts: list[str]) -> tuple:
         if not source.present(name):
             target.drop(name)
@@ -266,19 +265,23 @@ def export_tables(source: SnapshotStore, target: SnapshotStore,
 def export_row_check(expected: int, actual: int, name: str) -> None:
     """V3: source rows must equal target rows."""
     if expected != actual:
-        raise RowCountMismatch(f"{name}: expected {expected} rows, got {actual}")
+        raise RowCountMismatch(f"{name}: {actual} rows arrived of {expected}")
 
 
 def publish_manifest(store: SnapshotStore, run_id: str | None = None,
                      tables=tuple(TABLES)) -> DataFrame:
     """Version + counted rows per table; with ``run_id`` the retention
-    audit must agree on presence and version (full outer join on table)."""
+    audit must agree on presence and version (full outer join on table).
+
+    Versions are pinned: rows are counted in the version that is reported.  The
+    checked manifest is stored with its time and audit run (``published``) and returned
+    as it was stored."""
     spark = store.spark
     frames = []
     for name in tables:
         if store.present(name):
             c = store.commit(name)
-            frames.append(store.read(name).agg(F.count(F.lit(1)).alias("row_count")).select(
+            frames.append(store.read(name, version=c.version).agg(F.count(F.lit(1)).alias("row_count")).select(
                 F.lit(name).alias("table"), F.lit(True).alias("present"),
                 F.lit(c.version).cast("long").alias("version"), "row_count"))
         else:
@@ -289,7 +292,7 @@ def publish_manifest(store: SnapshotStore, run_id: str | None = None,
     for f in frames[1:]:
         manifest = manifest.unionByName(f)
     if run_id is None:
-        return manifest
+        return _publish(store, manifest, None)
     audited = audit_gate(store, run_id).select(
         "table", F.col("present").alias("audited_present"),
         F.col("version").alias("audited_version"))
@@ -299,8 +302,29 @@ def publish_manifest(store: SnapshotStore, run_id: str | None = None,
         | (F.col("present") & ~F.col("version").eqNullSafe(F.col("audited_version"))))
     changed = [r["table"] for r in bad.select("table").collect()]
     if changed:
-        raise StaleAudit(f"tables changed after retention: {changed}; rerun retention")
-    return manifest
+        raise StaleAudit(f"run retention again: {changed} differ from the audited versions")
+    return _publish(store, manifest, run_id)
+
+
+PUBLISHED_SCHEMA = "table string, present boolean, version long, row_count long, run_id string, " \
+                   "audit string, published_at timestamp"
+
+
+def _publish(store: SnapshotStore, manifest: DataFrame, run_id: str | None) -> DataFrame:
+    """Store one manifest (a row per table) as one new JSON file and read it back."""
+    now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z"
+    audit = None if run_id is None else _audit_dir(store, run_id)
+    lines = [json.dumps({**r.asDict(), "run_id": run_id, "audit": audit, "published_at": now})
+             for r in manifest.collect()]
+    path = f"{store.root}/_published/{now.replace(':', '')}-{uuid.uuid4().hex[:8]}.json"
+    fs.write_new(store.spark, path, "\n".join(lines))
+    return store.spark.read.schema(PUBLISHED_SCHEMA).json(path)
+
+
+def published(store: SnapshotStore) -> DataFrame:
+    """Every manifest published for this root, newest last."""
+    return (store.spark.read.schema(PUBLISHED_SCHEMA).json(f"{store.root}/_published/*.json")
+            .orderBy("published_at", "table"))
 
 
 # -- warehouse export (K17) -------------------------------------------------------
@@ -309,13 +333,12 @@ def warehouse_export(source: SnapshotStore, target: SnapshotStore, run_date: dt.
                      tables=tuple(TABLES)) -> DataFrame:
     """Replace each warehouse table with the pinned source snapshot.
 
-    Daily ingestion partition, rows clustered by ``label`` within each file,
-    gzip, microsecond timestamps, loaded-rows check, ``label`` required.
+    Daily ingestion partition, every file sorted by ``label``, gzip, microsecond
+    timestamps, loaded-rows check, ``label`` required.  No shuffle: each task sorts
+    and writes its own rows, all of one ingestion date.
     Partitions older than the expiry are removed from the warehouse."""
     spark = source.spark
-    for name in REQUIRED_TABLES:
-        if not source.present(name):
-            raise MissingTable(f"required table missing: {name}")
+    require_tables(source)
 
     def load_one(name: str) -> tuple:
         if not source.present(name):
@@ -324,10 +347,12 @@ def warehouse_export(source: SnapshotStore, target: SnapshotStore, run_date: dt.
         pinned = source.commit(name)
         data = source.read(name, version=pinned.version)
         if "label" not in data.columns:
-            raise ValueError(f"{name} has no label column; rebuild it")
+            raise ValueError(f"can't cluster {name}: no label column")
+        # the partition column leads, so that the writer keeps this order
         staged = (data.withColumn("ingest_date", F.lit(run_date).cast("date"))
-                  .sortWithinPartitions("label"))
-        version = target.create_or_replace(name, staged, ["ingest_date"], {"compression": "gzip"})
+                  .sortWithinPartitions("ingest_date", "label"))
+        version = target.create_or_replace(name, staged, ["ingest_date"], {"compression": "gzip"},
+                                           cluster=False)
         loaded = target.commit(name, version).row_count
         export_row_check(pinned.row_count, loaded, name)
         expire_partitions(target, name, run_date)
@@ -348,18 +373,32 @@ def warehouse_export(source: SnapshotStore, target: SnapshotStore, run_date: dt.
 
 def expire_partitions(store: SnapshotStore, name: str, today: dt.date,
                       days: int = WAREHOUSE_PARTITION_EXPIRY_DAYS) -> DataFrame:
-    """Keep only ingestion dates within the expiry window (a new version)."""
-    c = store.commit(name)
-    cutoff = today - dt.timedelta(days=days)
-    data = store.read(name)
-    expired = data.where(F.col("ingest_date") < F.lit(cutoff))
-    if expired.isEmpty():
-        return data
-    store.overwrite(name, data.where(F.col("ingest_date") >= F.lit(cutoff)),
-                    c.partition_columns, operation="EXPIRE PARTITIONS")
+    """Leave out loads older than the expiry window: a new version without their
+    segments.  Each load is a segment of one ingestion date, so no row is rewritten."""
+    oldest = f"ingest_date={today - dt.timedelta(days=days)}"
+    segments = store.commit(name).segments
+    live = [s for s in segments
+            if any(day >= oldest for day in fs.list_names(store.spark, f"{store.path(name)}/data/{s}")
+                   if day.startswith("ingest_date="))]
+    if len(live) < len(segments):
+        store.keep_segments(name, live, "EXPIRE PARTITIONS")
     return store.read(name)
 
 
+def unordered_files(store: SnapshotStore, name: str, column: str = "label") -> DataFrame:
+    """Files of the current version in which ``column`` falls from a row to the next
+    (none after ``warehouse_export``).  Rows are compared in file order, within tasks."""
+    spark = store.spark
+    data = f"{store.path(name)}/data"
+    rows = spark.read.option("basePath", data).parquet(*[f"{data}/{s}" for s in store.commit(name).segments])
+    placed = rows.select(F.col(column).alias("__v"), F.col("_metadata.file_path").alias("file_path"),
+                         F.col("_metadata.row_index").alias("__at"))
+    runs = placed.groupBy("file_path", "__v").agg(F.min("__at").alias("__first"), F.max("__at").alias("__last"))
+    after = F.lag("__last").over(Window.partitionBy("file_path").orderBy(F.asc_nulls_first("__v")))
+    return (runs.withColumn("__before", after).filter(F.col("__before") > F.col("__first"))
+            .select("file_path").distinct())
+
+
 def drop_optional_output(store: SnapshotStore, name: str) -> DataFrame:
     """K9: remove a stale optional table; returns one row describing it."""
     if name in REQUIRED_TABLES:

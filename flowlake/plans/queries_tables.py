@@ -186,12 +186,26 @@ def q_create_table_as(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read("label_counts")
 
 
-@register("append_guard")
+@register("snapshot_history_rows", with_ctes("fact", body="""
+SELECT CAST(0 AS BIGINT) AS version, 'CREATE' AS operation, count(*) AS row_count FROM fact
+UNION ALL SELECT 1, 'ADD COLUMNS', count(*) FROM fact
+UNION ALL SELECT 2, 'APPEND', count(*) + 3 FROM fact"""))
+def q_snapshot_history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 without its times and ids, which differ from run to run."""
+    demo, _ = _evolved(spark, sf_dir)
+    return demo.history("network_events").select("version", "operation", "row_count")
+
+
+@register("append_guard", with_ctes("fact", body="""
+SELECT true AS blocked, count(*) AS rows_before, count(*) AS rows_after FROM fact"""))
 def q_append_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     demo = copy_of(spark, sf_dir)
     batch = EV.ordered_batch(demo.read("network_events")).withColumn(
         EV.NEW_COLUMN, F.lit(0.87).cast("double"))
-    return EV.append_guard(demo, "network_events", batch)
+    before = demo.commit("network_events").row_count
+    blocked = EV.append_guard(demo, "network_events", batch).first()["blocked"]
+    return demo.read("network_events").agg(F.count(F.lit(1)).alias("rows_after")).select(
+        F.lit(blocked).alias("blocked"), F.lit(before).cast("long").alias("rows_before"), "rows_after")
 
 
 EVOLVED_SQL = with_ctes("fact", body=f"""
@@ -237,13 +251,25 @@ def q_seed_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_cols(demo.read("network_events"))
 
 
-@register("drop_optional_output")
+@register("drop_optional_output", with_ctes("windows", body="""
+SELECT 'src_ip_window_counts' AS "table", true AS was_present, count(*) AS rows_before, false AS present,
+       count(*) AS rows_of_old_version FROM windows"""))
 def q_drop_optional_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dropped table is gone for readers; its last version can still be read."""
     store = copy_of(spark, sf_dir, ("network_events", "label_counts", "src_ip_window_counts"))
-    return M.drop_optional_output(store, "src_ip_window_counts")
-
-
-@register("table_properties")
+    before = store.commit("src_ip_window_counts")
+    out = M.drop_optional_output(store, "src_ip_window_counts")
+    old = store.read("src_ip_window_counts", version=before.version).agg(F.count(F.lit(1)))
+    return out.select("table", "was_present", F.lit(before.row_count).cast("long").alias("rows_before"),
+                      "present", old.scalar().alias("rows_of_old_version"))
+
+
+@register("table_properties", with_ctes("label_counts", body="""
+SELECT t."table", p.key, p.value, t.row_count
+FROM (SELECT 'network_events' AS "table", (SELECT count(*) FROM fact) AS row_count
+      UNION ALL SELECT 'label_counts', (SELECT count(*) FROM label_counts)) t,
+     (VALUES ('compression', 'snappy'), ('deleted_file_retention', 'interval 7 days'),
+             ('log_retention', 'interval 30 days')) AS p(key, value)"""))
 def q_table_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = copy_of(spark, sf_dir, ("network_events", "label_counts"))
     store.set_properties("label_counts", {"deleted_file_retention": "interval 14 days"})
@@ -251,8 +277,8 @@ def q_table_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = []
     for name in ("network_events", "label_counts"):
         c = store.commit(name)
-        rows += [(name, c.version, k, v) for k, v in sorted(c.properties.items())]
-    return spark.createDataFrame(rows, "table string, version long, key string, value string")
+        rows += [(name, k, v, c.row_count) for k, v in sorted(c.properties.items())]
+    return spark.createDataFrame(rows, "table string, key string, value string, row_count long")
 
 
 # --- retention -----------------------------------------------------------------
@@ -303,22 +329,42 @@ def q_retention_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_rows(store, dead)
 
 
-@register("retention_apply")
+_RETAINED_TABLES = """
+SELECT 'network_events' AS "table", true AS present, CAST(0 AS BIGINT) AS removed_count,
+       (SELECT count(*) FROM fact) AS row_count
+UNION ALL SELECT 'label_counts', true, {removed}, (SELECT count(*) FROM label_counts)
+UNION ALL SELECT 'src_ip_window_counts', false, 0, NULL
+UNION ALL SELECT 'anomaly_threshold_counts', false, 0, NULL"""
+
+
+def _with_current_rows(store: SnapshotStore, audit: DataFrame) -> DataFrame:
+    """Audit rows with the rows that each live table still has after the run."""
+    counted = None
+    for name in ("network_events", "label_counts"):
+        rows = store.read(name).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table"), "row_count")
+        counted = rows if counted is None else counted.unionByName(rows)
+    return audit.join(counted, "table", "left").select("table", "present", "removed_count", "row_count")
+
+
+@register("retention_apply", with_ctes("label_counts", body=_RETAINED_TABLES.replace("{removed}", "2")))
 def q_retention_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments that the first run removed per table, and the rows that stay."""
     store = _retention_store(spark, sf_dir)
     now = dt.datetime.now(dt.timezone.utc) + LATER
-    run_id = f"run-{uuid.uuid4().hex[:8]}"
-    M.retention_apply(store, run_id, now=now)
-    return M.retention_apply(store, run_id, now=now).select(
-        "seq", "table", "status", "candidates", "removed_count")
+    audit = M.retention_apply(store, f"run-{uuid.uuid4().hex[:8]}", now=now)
+    return _with_current_rows(store, audit.filter("status = 'complete' AND table <> '*'"))
 
 
-@register("audit_gate")
+@register("audit_gate", with_ctes("label_counts", body=_RETAINED_TABLES.replace("{removed}", "0")))
 def q_audit_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a second, empty-handed run of the same id leaves for the gate to pass."""
     store = _retention_store(spark, sf_dir)
+    now = dt.datetime.now(dt.timezone.utc) + LATER
     run_id = f"run-{uuid.uuid4().hex[:8]}"
-    M.retention_apply(store, run_id)
-    return M.audit_gate(store, run_id)
+    M.retention_apply(store, run_id, now=now)
+    M.retention_apply(store, run_id, now=now)
+    return _with_current_rows(store, M.audit_gate(store, run_id))
 
 
 # --- export and manifests ------------------------------------------------------
@@ -339,16 +385,20 @@ def q_publish_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         EV.seed_copy(src, store, name)
     run_id = f"run-{uuid.uuid4().hex[:8]}"
     M.retention_apply(store, run_id)
-    return M.publish_manifest(store, run_id).select("table", "present", "row_count")
+    M.publish_manifest(store, run_id)
+    return M.published(store).select("table", "present", "row_count")
 
 
 @register("warehouse_export", with_ctes("label_counts", "windows", "anomaly", extra=COUNTS, body="""
-SELECT "table", true AS present, row_count FROM counts"""))
+SELECT "table", true AS present, row_count, true AS ordered FROM counts"""))
 def q_warehouse_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, _ = base(spark, sf_dir)
     target = fresh(spark, "warehouse-load")
     today = dt.datetime.now(dt.timezone.utc).date()
-    return M.warehouse_export(src, target, today).select("table", "present", "row_count")
+    loaded = M.warehouse_export(src, target, today).select("table", "present", "row_count")
+    ordered = spark.createDataFrame([(t, M.unordered_files(target, t).isEmpty()) for t in M.TABLES],
+                                    "table string, ordered boolean")
+    return loaded.join(ordered, "table")
 
 
 @register("export_row_check", with_ctes("label_counts", "windows", "anomaly", extra=COUNTS, body="""
@@ -405,10 +455,19 @@ def q_cache_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-@register("table_fingerprint")
+@register("table_fingerprint", with_ctes("fact", body="""
+SELECT count(*) AS rows, true AS same_when_repartitioned, count(*) = 0 AS same_without_first FROM fact"""))
 def q_table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact's checksum against that of the same rows dealt anew, and of all but
+    the first day's rows."""
     store, _ = base(spark, sf_dir)
-    return fingerprint(store.read("network_events"))
+    fact = store.read("network_events")
+    first_day = fact.agg(F.min("event_date")).scalar()
+    own = fingerprint(fact).select(F.struct("*").alias("own"))
+    dealt = fingerprint(fact.repartition(7, "label")).select(F.struct("*")).scalar()
+    fewer = fingerprint(fact.where(F.col("event_date") > first_day)).select(F.struct("*")).scalar()
+    return own.select("own.rows", own["own"].eqNullSafe(dealt).alias("same_when_repartitioned"),
+                      own["own"].eqNullSafe(fewer).alias("same_without_first"))
 
 
 @register("table_equality", with_ctes("label_counts", body="""

@@ -5,7 +5,7 @@ same cleaning and the same ``groupBy(window)`` run on a streaming source.
 A watermark on ``event_time`` bounds the aggregation state and lets Spark
 emit each 5-minute window once, when it can no longer change (append
 mode).  Each micro-batch is appended to a snapshot table; the batch id is
-recorded in the commit properties, so a batch replayed after a failure is
+recorded in the commit that appends it, so a batch replayed after a failure is
 not appended twice.
 """
 
@@ -62,8 +62,7 @@ def _append_batch(store: SnapshotStore, name: str, partition_by: list[str]):
             last = store.commit(name).properties.get(key)
             if last is not None and int(last) >= batch_id:
                 return  # replay of a batch that is already committed
-            store.append(name, batch)
-            store.set_properties(name, {key: str(batch_id)})
+            store.append(name, batch, properties={key: str(batch_id)})
         else:
             store.overwrite(name, batch, partition_by, {key: str(batch_id)})
     return sink

@@ -105,6 +105,65 @@ def test_warehouse_export(spark, tmp):
     assert wh.read("label_counts").count() == 1
 
 
+def test_warehouse_files_are_sorted_by_label(spark, tmp):
+    src, wh = SnapshotStore(spark, tmp + "/src"), SnapshotStore(spark, tmp + "/wh")
+    one_row_tables(spark, src)
+    many = spark.range(0, 4000, numPartitions=3).select(
+        F.lit(dt.date(2017, 7, 3)).alias("event_date"),
+        F.concat(F.lit("l"), F.pmod(F.xxhash64("id"), F.lit(5)).cast("string")).alias("label"),
+        F.col("id").alias("flow_count"))
+    src.overwrite("label_counts", many, ["event_date"])
+    M.warehouse_export(src, wh, dt.date(2024, 2, 1))
+    assert M.unordered_files(wh, "label_counts").isEmpty()
+    assert not M.unordered_files(src, "label_counts").isEmpty()
+    assert wh.read("label_counts").count() == 4000
+
+
+def test_expiry_drops_old_loads_without_rewriting(spark, tmp):
+    wh = SnapshotStore(spark, tmp)
+    load = lambda day: spark.createDataFrame([("A", dt.date(2024, 1, day))], "label string, ingest_date date")
+    wh.overwrite("t", load(1), ["ingest_date"])
+    wh.append("t", load(20))
+    segments = wh.commit("t").segments
+    M.expire_partitions(wh, "t", dt.date(2024, 1, 25), days=10)
+    assert wh.commit("t").segments == segments[1:] and wh.commit("t").row_count == 1
+    assert [r.ingest_date.day for r in wh.read("t").collect()] == [20]
+
+
+def test_refused_export_keeps_the_last_manifest(spark, tmp):
+    src, target = SnapshotStore(spark, tmp + "/src"), SnapshotStore(spark, tmp + "/target")
+    one_row_tables(spark, src)
+    tables = {name: ["event_date"] for name in M.TABLES}
+    M.export_tables(src, target, tables)
+    src.drop("label_counts")
+    with pytest.raises(M.MissingTable):
+        M.export_tables(src, target, tables)
+    assert fs.exists(spark, f"{target.root}/_manifest/_SUCCESS")
+
+
+def test_half_written_commit_is_not_seen(spark, tmp, monkeypatch):
+    store = SnapshotStore(spark, tmp)
+    store.overwrite("t", labels(spark, "A"))
+    from pathlib import Path
+    Path(f"{tmp}/t/commits/.00000000000000000001.json.dead.tmp").write_text("")
+    assert [r.label for r in store.read("t").collect()] == ["A"]
+    store.overwrite("t", labels(spark, "B"))
+    assert [r.label for r in store.read("t").collect()] == ["B"]
+    with pytest.raises(FileExistsError):
+        fs.write_new(spark, f"{tmp}/t/commits/{1:020d}.json", "{}")
+
+
+def test_replayed_stream_batch_is_appended_once(spark, tmp):
+    from flowlake.streaming.windows import _append_batch
+    store = SnapshotStore(spark, tmp)
+    sink = _append_batch(store, "t", [])
+    sink(labels(spark, "A"), 0)
+    sink(labels(spark, "B"), 1)
+    sink(labels(spark, "B"), 1)
+    assert sorted(r.label for r in store.read("t").collect()) == ["A", "B"]
+    assert store.latest_version("t") == 1
+
+
 def test_warehouse_export_guards(spark, tmp, monkeypatch):
     src = SnapshotStore(spark, tmp + "/src")
     one_row_tables(spark, src)
@@ -133,6 +192,9 @@ def test_publish_manifest_refuses_changed_tables(spark, tmp):
     M.retention_apply(store, "run-9")
     manifest = {r.table: r.row_count for r in M.publish_manifest(store, "run-9").collect()}
     assert manifest == {name: 1 for name in M.TABLES}
+    stored = M.published(store).collect()
+    assert {r.table: (r.row_count, r.run_id) for r in stored} == {name: (1, "run-9") for name in M.TABLES}
+    assert all(r.published_at is not None and r.audit for r in stored)
     store.overwrite("label_counts", df.union(df), ["event_date"])
     with pytest.raises(M.StaleAudit):
         M.publish_manifest(store, "run-9")
