@@ -11,6 +11,7 @@ import argparse
 import datetime as dt
 import json
 import sys
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,11 +41,13 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--raw", required=True, help="glob of the CSV captures")
     t.add_argument("--root", required=True, help="snapshot root")
     t.add_argument("--cache-mode", choices=["full", "narrow", "none"], default="none")
-    t.add_argument("--no-cluster-fact", action="store_true",
-                   help="skip the fact rebalance (inputs already one capture day per file)")
+    t.add_argument("--cluster-fact", action="store_true",
+                   help="rebalance the fact by day before its write (captures that mix many days)")
     t.add_argument("--plans-dir", default=None, help="write each table's query plan here")
     t.add_argument("--types", default=None,
-                   help='JSON {"column": "type"}; listed columns skip the inference pass')
+                   help='JSON {"column": "type"} for columns beyond the canonical ones')
+    t.add_argument("--infer", action="store_true",
+                   help="infer the types of other columns with one pass over the text")
     t.add_argument("--header", default=None,
                    help="the header line shared by every file (skips per-file header reads)")
     v = sub.add_parser("validate", help="raw-text recount vs fact; exit 1 on a mismatch")
@@ -73,10 +76,13 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "transform":
         plans: dict[str, str] | None = {} if args.plans_dir else None
         types = json.loads(args.types) if args.types else None
-        scan = S.csv_scan(spark, args.raw, types=types, header=args.header)
+        began = time.perf_counter()
+        scan = S.csv_scan(spark, args.raw, types=types, header=args.header, infer=args.infer)
+        read_seconds = time.perf_counter() - began
         report = run_transform(spark, scan, store,
                                cache_mode=args.cache_mode,
-                               cluster_fact=not args.no_cluster_fact, plans=plans)
+                               cluster_fact=args.cluster_fact, plans=plans,
+                               read_seconds=read_seconds)
         for name, text in (plans or {}).items():
             fs.write_new(spark, f"{args.plans_dir.rstrip('/')}/{name}.txt", text)
         _print(_rows(report)[0])

@@ -17,12 +17,12 @@ def test_cli_transform_validate_export_retain_publish(spark, tmp, capsys):
                  "--plans-dir", f"{tmp}/plans"]) == 0
     report = json.loads(capsys.readouterr().out)
     assert "Physical Plan" in open(f"{tmp}/plans/label_counts.txt").read()
-    assert report["cleaned_rows"] == 8 and report["threshold_packets_per_sec"] == 4.0
+    assert report["cleaned_rows"] == 10 and report["threshold_packets_per_sec"] == 6.5
     assert main(["validate", "--raw", f"{raw}/*.csv", "--root", root]) == 0
     assert json.loads(capsys.readouterr().out)["passed"] is True
     assert main(["export", "--root", root, "--target", target]) == 0
     exported = {r["table"]: r["row_count"] for r in json.loads(capsys.readouterr().out)}
-    assert exported["network_events"] == 8
+    assert exported["network_events"] == 10
     assert main(["warehouse", "--root", root, "--target", f"{tmp}/wh", "--date", "2024-02-01"]) == 0
     loaded = {r["table"]: r["row_count"] for r in json.loads(capsys.readouterr().out)}
     assert loaded["label_counts"] == 3
@@ -44,4 +44,4 @@ def test_cli_transform_with_declared_types_and_header(spark, tmp, capsys):
     assert main(["transform", "--raw", f"{raw}/*.csv", "--root", f"{tmp}/t",
                  "--types", json.dumps(types), "--header", header]) == 0
     report = json.loads(capsys.readouterr().out)
-    assert report["cleaned_rows"] == 8 and report["threshold_packets_per_sec"] == 4.0
+    assert report["cleaned_rows"] == 10 and report["threshold_packets_per_sec"] == 6.5

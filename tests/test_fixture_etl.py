@@ -1,4 +1,4 @@
-"""End-to-end on the golden 10-row capture: expected values fixed by hand."""
+"""End-to-end on the golden 12-row capture: expected values fixed by hand."""
 
 from __future__ import annotations
 
@@ -35,15 +35,15 @@ def run(spark, raw_dir, tmp_path_factory):
 def test_cleaned_rows_and_nulls(run):
     store, report = run
     events = store.read("network_events")
-    assert events.count() == 8
-    assert report.first()["cleaned_rows"] == 8
+    assert events.count() == 10
+    assert report.first()["cleaned_rows"] == 10
     assert events.where(F.col("Flow_Packets/s").isNull()).count() == 2
 
 
 def test_label_counts(run):
     store, _ = run
     rows = store.read("label_counts").collect()
-    assert {r.label: r.flow_count for r in rows} == {"BENIGN": 5, "DDoS": 2, "PortScan": 1}
+    assert {r.label: r.flow_count for r in rows} == {"BENIGN": 5, "Bot": 4, "Infiltration": 1}
     assert {str(r.event_date) for r in rows} == {"2017-07-03"}
 
 
@@ -53,18 +53,20 @@ def test_anomaly_threshold(run):
     assert len(rows) == 1
     r = rows[0]
     assert (r.label, r.source_ip, r.anomalous_flow_count, r.threshold_packets_per_sec) == \
-        ("DDoS", "192.0.2.3", 2, 4.0)
-    assert report.first()["threshold_packets_per_sec"] == 4.0
+        ("Bot", "198.51.100.9", 3, 6.5)
+    assert report.first()["threshold_packets_per_sec"] == 6.5
 
 
 def test_window_counts(run):
     store, _ = run
     rows = store.read("src_ip_window_counts").collect()
     assert sorted((r.source_ip, r.flow_count, r.total_bytes, r.attack_flow_count) for r in rows) == [
-        ("192.0.2.1", 2, 80, 0),
-        ("192.0.2.2", 3, 270, 0),
-        ("192.0.2.3", 2, 280, 2),
-        ("192.0.2.4", 1, 170, 1),
+        ("198.51.100.7", 3, 42, 0),
+        ("198.51.100.8", 1, 3, 0),
+        ("198.51.100.8", 1, 7, 1),
+        ("198.51.100.8", 1, 111, 0),
+        ("198.51.100.9", 1, 10, 1),
+        ("198.51.100.9", 3, 285, 3),
     ]
     assert {str(r.window_date) for r in rows} == {"2017-07-03"}
 
@@ -80,9 +82,9 @@ def test_validation_matches(spark, run, raw_dir):
     fact = store.read("network_events")
     labels = V.validate_labels(spark, f"{raw_dir}/*.csv", fact).collect()
     assert all(r.match for r in labels)
-    assert {r.label: r.raw_flow_count for r in labels} == {"BENIGN": 5, "DDoS": 2, "PortScan": 1}
+    assert {r.label: r.raw_flow_count for r in labels} == {"BENIGN": 5, "Bot": 4, "Infiltration": 1}
     structure = V.validate_structure(S.raw_line_count(spark, f"{raw_dir}/*.csv"), fact).first()
-    assert (structure.raw_rows, structure.cleaned_rows, structure.passed) == (10, 8, True)
+    assert (structure.raw_rows, structure.cleaned_rows, structure.passed) == (12, 10, True)
 
 
 def test_export_twice_is_idempotent(spark, run, tmp):
@@ -104,11 +106,11 @@ def test_evolution_and_time_travel(spark, run, tmp):
     assert not EV.seed_copy(src, demo)
     info = EV.column_evolution(demo, "network_events", src.read("network_events"))
     check = EV.evolution_check(demo, "network_events", info["before_version"]).first()
-    assert (check.before_rows, check.after_rows, check.null_rows) == (8, 11, 8)
+    assert (check.before_rows, check.after_rows, check.null_rows) == (10, 13, 10)
     assert check.passed
     old = demo.read("network_events", snapshot_id=info["before_snapshot_id"])
-    assert EV.NEW_COLUMN not in old.columns and old.count() == 8
-    assert src.read("network_events").count() == 8, "demo mutated the transform output"
+    assert EV.NEW_COLUMN not in old.columns and old.count() == 10
+    assert src.read("network_events").count() == 10, "demo mutated the transform output"
     ops = [r.operation for r in demo.history("network_events").collect()]
     assert ops == ["CREATE", "ADD COLUMNS", "APPEND"]
 
@@ -120,8 +122,8 @@ def test_merge_schema_append(spark, run, tmp):
     info = EV.merge_evolution(demo, "network_events", demo.read("network_events"))
     assert info["blocked"]
     cur = demo.read("network_events")
-    assert cur.count() == 11
-    assert cur.where(F.col(EV.NEW_COLUMN).isNull()).count() == 8
+    assert cur.count() == 13
+    assert cur.where(F.col(EV.NEW_COLUMN).isNull()).count() == 10
     assert EV.NEW_COLUMN not in demo.read("network_events", version=0).columns
 
 
@@ -147,7 +149,7 @@ def test_cache_modes_agree(spark, raw_dir, tmp):
     for mode in ("full", "narrow", "none"):
         store = SnapshotStore(spark, f"{tmp}/{mode}")
         report = run_transform(spark, S.csv_scan(spark, f"{raw_dir}/*.csv"), store, cache_mode=mode)
-        assert report.first()["cleaned_rows"] == 8
+        assert report.first()["cleaned_rows"] == 10
         outs.append(store.read("src_ip_window_counts"))
     assert except_all_both_ways(outs[0], outs[1]).isEmpty()
     assert except_all_both_ways(outs[1], outs[2]).isEmpty()
