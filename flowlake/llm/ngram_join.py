@@ -11,7 +11,8 @@ Two documents link when 100 * intersection >= 75 * union.
    n/7 + k elements (its core) and among the larger one's first n/4 + k (its prefix).
    k is a tenth of the set.  Copies (equal sets) are one node; per batch only the first
    sends its prefix.
-2. Elements that two nodes hold, one of them in its core, are counted per node.  A node
+2. Elements that two nodes hold, one of them in its core, are found by one shuffle of the
+   postings (those of the hottest elements stay where they are) and counted per node.  A node
    with fewer than k such elements in its core is nobody's smaller partner; one with
    fewer than the least k of its partners among those cores is nobody's larger one.
    Both are exact bounds: documents that merely share a passage end here.  The elements
@@ -46,6 +47,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from flowlake.llm.common import mix, ordered_hash, sequence_hash, sorted_groups, word_hashes, written
 from flowlake.llm.components import components
@@ -53,7 +55,9 @@ from flowlake.llm.components import components
 WIDTH = 5
 PERCENT = 75
 CHUNK_ELEMENTS = 3_000_000   # set elements that one side of a block may hold
-BITMAP_BITS = 1 << 23        # fixed size of the filter sent to the workers
+BITMAP_BITS = 1 << 25        # fixed size of the filter sent to the workers
+HOT_ELEMENTS = 100_000       # an element with more than this share of the postings is hot
+HOT_SLICE = 64               # one set in so many tells the hot elements
 MU = 0.0085                  # DivideSkip's weight of a heap step against a probe
 
 
@@ -143,25 +147,31 @@ def bitmap_has(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
-def _filtered_postings(signatures: DataFrame, bits) -> DataFrame:
-    """(element, fp, n, core) rows of the prefix elements that the bitmap lets through."""
+def _shared_postings(signatures: DataFrame) -> DataFrame:
+    """(element, fp, n, core), once each, of the prefix elements that two sets hold, one
+    of them in its core.  Postings meet in one shuffle by element.  Those of the hottest
+    elements don't move: which of them count is a partial aggregate of at most
+    HOT_ELEMENTS rows.  The slice of sets that tells the hottest only decides the way."""
+    held = signatures.select("fp", "n", "core", F.posexplode("prefix").alias("rank", "element")).select(
+        "element", "fp", F.when(F.col("rank") < F.col("core"), F.col("n")).otherwise(-F.col("n")).alias("m"))
+    some = (signatures.filter(F.pmod(F.xxhash64("fp"), F.lit(HOT_SLICE)) == 0)
+            .select(F.explode("prefix").alias("element")).groupBy("element").agg(F.count("*").alias("__n")))
+    total = some.agg(F.sum("__n")).first()[0] or 0
+    hot = written(some.filter(F.col("__n") > max(1.0, total / HOT_ELEMENTS)).select("element"), "hot")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(3)
-            sizes = np.diff(lists.offsets.to_numpy())
-            values = lists.flatten().to_numpy()
-            rank = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            keep = bitmap_has(bits.value, values)
-            pick = np.repeat(np.arange(len(sizes)), sizes)[keep]
-            core = batch.column(2).to_numpy()[pick]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values[keep]), pa.array(batch.column(1).to_numpy()[pick]),
-                 pa.array(batch.column(0).to_numpy()[pick]), pa.array(rank[keep] < core)],
-                ["element", "fp", "n", "core"])
-
-    return signatures.select("n", "fp", "core", "prefix").mapInArrow(
-        run, "element long, fp long, n long, core boolean")
+    counts = (F.min("fp"), F.max("fp"), F.max("m"))
+    of_hot = held.join(F.broadcast(hot), "element")
+    wanted = of_hot.groupBy("element").agg(*(c.alias(n) for c, n in zip(counts, ("__first", "__last", "__top"))))
+    hot_rows = of_hot.join(F.broadcast(wanted.filter(_SHARED).select("element")), "element", "left_semi")
+
+    same = Window.partitionBy("element")
+    rows = held.join(F.broadcast(hot), "element", "left_anti").select(
+        "*", *(c.over(same).alias(n) for c, n in zip(counts, ("__first", "__last", "__top")))).filter(_SHARED)
+    once = [r.groupBy("element", "fp").agg(F.max("m").alias("m")) for r in (rows, hot_rows)]
+    return once[0].union(once[1]).select("element", "fp", F.abs("m").alias("n"), (F.col("m") > 0).alias("core"))
+
+
+_SHARED = "__first <> __last and __top > 0"
 
 
 def _member_sets(docs: DataFrame, bits, width: int) -> DataFrame:
@@ -330,14 +340,7 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     plain = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     signatures = written(_signatures(plain, width, percent), "signatures")
 
-    held = signatures.select("fp", "core", F.posexplode("prefix").alias("rank", "element"))
-    shared = written(held.groupBy("element")
-                     .agg(F.min("fp").alias("__first"), F.max("fp").alias("__last"),
-                          F.max((F.col("rank") < F.col("core")).cast("int")).alias("__core"))
-                     .filter("__first <> __last and __core = 1").select("element"), "shared")
-    some = spark.sparkContext.broadcast(_bitmap(shared, "element"))
-    hits = written(_filtered_postings(signatures, some).join(shared, "element")
-                   .groupBy("element", "fp").agg(F.max("n").alias("n"), F.max("core").alias("core")), "hits")
+    hits = written(_shared_postings(signatures), "hits")
     least = lambda n: F.greatest(F.floor(n / 10), F.lit(1))  # noqa: E731  common_needed
     small = (hits.filter("core").groupBy("fp").agg(F.count("*").alias("__k"), F.max("n").alias("n"))
              .filter(F.col("__k") >= least(F.col("n"))).select("fp"))
