@@ -17,7 +17,9 @@ Two documents link when 100 * intersection >= 75 * union.
    fewer than the least k of its partners among those cores is nobody's larger one.
    Both are exact bounds: documents that merely share a passage end here.  The elements
    left get their smallest holder as centre (partial aggregates: a hot element is summed
-   map-side), and centres give blocks: two nodes that share an element meet in its block.
+   map-side).  A smaller partner shares k elements, so it may give up any k - 1: those of
+   the centres it meets least.  An element that a smaller partner keeps puts its holders
+   of a size that could link with such a one in the block of its centre.
    A block whose nodes all lie in another one is left out.
    Blocks whose sets are together large are cut into chunks, and chunks meet pairwise.
 3. Per block (or pair of chunks): inverted lists, and for each set the T-occurrence
@@ -292,6 +294,32 @@ def merge_skip(lists: list[list[int]], weight: list[int], need: int) -> Iterator
                 heapq.heappush(heap, (lists[i][at[i]], i))
 
 
+def _members(hits: DataFrame, percent: int) -> DataFrame:
+    """(centre, fp, n): the blocks of each node, so that two that link share one."""
+    least = lambda n: F.greatest(F.floor(n / 10), F.lit(1))  # noqa: E731  common_needed
+    shortest = F.ceil(F.col("n") * percent / 100)            # smallest set that links with one of n
+    partners = (F.col("lo") <= F.col("n")) & (F.col("hi") >= shortest)
+    sizes = F.min("n").alias("lo"), F.max("n").alias("hi")
+
+    small = (hits.filter("core").groupBy("fp").agg(F.count("*").alias("__k"), F.max("n").alias("n"))
+             .filter(F.col("__k") >= least(F.col("n"))).select("fp"))
+    centres = (hits.filter("core").join(small, "fp", "left_semi").groupBy("element")
+               .agg(F.min("fp").alias("centre"), *sizes))
+    near = written(hits.join(centres, "element").filter(partners)
+                   .select("element", "fp", "n", "core", "centre"), "near")
+    large = (near.groupBy("fp").agg(F.count("*").alias("__k"), F.max("n").alias("n"))
+             .filter(F.col("__k") >= least(shortest)).select("fp"))
+
+    own = Window.partitionBy("fp")
+    kept = (near.filter("core").join(small, "fp", "left_semi")
+            .withColumn("__same", F.count("*").over(Window.partitionBy("fp", "centre")))
+            .withColumn("__rank", F.row_number().over(own.orderBy("__same", "centre", "element")))
+            .filter(F.col("__rank") >= least(F.col("n")))
+            .groupBy("element").agg(F.min("centre").alias("centre"), *sizes))
+    return (near.drop("centre").join(kept, "element").filter(partners).join(large, "fp", "left_semi")
+            .groupBy("centre", "fp").agg(F.max("n").alias("n")))
+
+
 def _search_blocks(rows: DataFrame, percent: int) -> DataFrame:
     """Search every block of (centre, i, j, chunk, fp, values) rows, which arrive
     together and in order; links as (a, b) fingerprints."""
@@ -341,16 +369,7 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     signatures = written(_signatures(plain, width, percent), "signatures")
 
     hits = written(_shared_postings(signatures), "hits")
-    least = lambda n: F.greatest(F.floor(n / 10), F.lit(1))  # noqa: E731  common_needed
-    small = (hits.filter("core").groupBy("fp").agg(F.count("*").alias("__k"), F.max("n").alias("n"))
-             .filter(F.col("__k") >= least(F.col("n"))).select("fp"))
-    centres = (hits.filter("core").join(small, "fp", "left_semi").groupBy("element")
-               .agg(F.min("fp").alias("centre")))
-    near = written(hits.join(centres, "element").select("fp", "n", "centre"), "near")
-    large = (near.groupBy("fp").agg(F.count("*").alias("__k"), F.max("n").alias("n"))
-             .filter(F.col("__k") >= least(F.ceil(F.col("n") * percent / 100))).select("fp"))
-    members = written(near.join(large, "fp", "left_semi").groupBy("centre", "fp")
-                      .agg(F.max("n").alias("n")), "members")
+    members = written(_members(hits, percent), "members")
 
     blocks = _outer_blocks(members)
     chunks = (blocks
