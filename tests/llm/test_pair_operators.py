@@ -84,10 +84,11 @@ def varied_texts(rng):
     return texts
 
 
-@pytest.mark.parametrize("seed,chunk", [(1, None), (2, None), (3, 800)])
-def test_ngram_join_equals_all_pairs(spark, monkeypatch, seed, chunk):
+@pytest.mark.parametrize("seed,chunk,hot_slice", [(1, None, 64), (2, None, 1), (3, 800, 2)])
+def test_ngram_join_equals_all_pairs(spark, monkeypatch, seed, chunk, hot_slice):
     if chunk:
         monkeypatch.setattr(ngram_join, "CHUNK_ELEMENTS", chunk)
+    monkeypatch.setattr(ngram_join, "HOT_SLICE", hot_slice)  # 1: every shared element is hot
     rng = random.Random(seed)
     texts = varied_texts(rng)
     ids = rng.sample(range(10_000), len(texts))
