@@ -7,12 +7,18 @@ their edit distance becomes a small Hamming distance between what they emit.  Bi
 hashes some of the emitted places; each repetition walks with its own bits and samples
 its own places.
 
-An item's windows start at each of its words; a document's at each ``STRIDE``-th
-word, from another first word in each repetition.  A stretch of a leaked item that holds STRIDE + about STEPS / 2 unchanged words is
-therefore met by every repetition whose walk stays in it; the tests measure the recall
-on items with a share of their words changed, dropped or added.  A hit proposes (item, place); the item is then compared
-with the item-sized window there by its exact edit distance in characters (bit-parallel,
-any end points), and reported if that is at most ``max_ratio`` of its length.
+Windows start at each word of an item and of a document, in every repetition.  They grow
+with the item: ``CLASSES`` gives the samples of a key by the item's words, about two
+steps apart, and a key that would need a word past the item's end is not made.  A walk stops as soon as
+what it sampled so far begins no item's key.  CLASSES and REPETITIONS are set for
+``TARGET_RECALL`` of the items whose words were changed, dropped or added at random up to
+``MAX_RATIO``; the tests measure it.  A hit proposes a place for the item; the item is then compared
+with the item-sized window there by its exact edit distance in bytes of UTF-8
+(bit-parallel, any end points), and reported if that is at most ``max_ratio`` of its length.
+
+Items of fewer than WALKED_WORDS words are found by their bytes without loss: cut into
+tiles of q bytes, an item within k edits keeps all but k tiles unchanged, on diagonals at
+most k apart; places with so many tiles go to the edit check.
 
 Items are taken in blocks of ``BLOCK_ITEMS``, so what is sent to the workers is
 bounded; every block sees all documents.  Items of fewer than MIN_WORDS words are not
@@ -32,10 +38,12 @@ from pyspark.sql import functions as F
 
 from flowlake.llm.common import PUNCTUATION_BYTES, mix, word_hashes
 
-STEPS = 16
-SAMPLES = 11
-REPETITIONS = 5
-STRIDE = 4
+TARGET_RECALL = 0.95
+#: From so many words of an item on, so many samples a key.
+CLASSES = ((12, 7), (20, 8), (40, 10))
+REPETITIONS = 16
+STEPS = 3 * CLASSES[-1][1]
+WALKED_WORDS = CLASSES[0][0]
 MIN_WORDS = 8
 MAX_RATIO = 0.2
 BLOCK_ITEMS = 20_000
@@ -49,107 +57,222 @@ def normalised(text: str) -> list[bytes]:
 
 
 def _places(repetition: int) -> list[int]:
-    """Sampled steps of a repetition."""
+    """Sampled steps of a repetition: the first, and each two or three steps after the last."""
     rng = np.random.default_rng(1000 + repetition)
-    return sorted(rng.choice(STEPS, SAMPLES, replace=False).tolist())
+    return [0, *np.cumsum(rng.integers(2, 4, CLASSES[-1][1] - 1)).tolist()]
 
 
-def walk_keys(words: np.ndarray, starts: np.ndarray, repetition: int) -> np.ndarray:
-    """Sampled CGK codes of the windows at ``starts``.  ``words`` must go on for
-    STEPS words after the last start."""
-    bits = mix(words ^ np.uint64((repetition + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-    sampled = set(_places(repetition))
-    at = starts.copy()
-    key = np.full(len(starts), repetition + 1, np.uint64)
-    for j in range(max(sampled) + 1):
-        if j in sampled:
-            key = mix(key * np.uint64(0xD6E8FEB86659FD93) + words[at])
-        at += ((bits[at] >> np.uint64(j)) & np.uint64(1)).astype(at.dtype)
-    return key
+def walk(words: np.ndarray, starts: np.ndarray, repetition: int) -> Iterator[tuple]:
+    """Per sampled step after the first: (samples so far, which starts, place read there,
+    key of the samples).  The caller sends back which of these walks go on.  ``words`` must
+    go on for STEPS words after the last start."""
+    rng = np.random.default_rng(2000 + repetition)
+    bits = rng.integers(0, 1 << 64, STEPS, np.uint64) | np.uint64(1)   # word hashes are mixed: a product's top bit is a coin
+    at, which = starts, np.arange(len(starts))
+    key, j = words[at] + bits[-1], 0
+    for level, step in enumerate(_places(repetition)[1:], 2):
+        while j < step:
+            at = at + (words[at] * bits[j] >> np.uint64(63)).view(np.int64)
+            j += 1
+        key = key * np.uint64(0xD6E8FEB86659FD93) + words[at]
+        on = yield level, which, at, key
+        at, which, key = at[on], which[on], key[on]
+
+
+def samples_of(n_words: int) -> int:
+    return max(k for least, k in CLASSES if n_words >= least)
+
+
+def _bits(keys: np.ndarray) -> np.ndarray:
+    return (keys & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+
+
+@dataclass
+class Tiles:
+    """Tiles of q bytes of the items that are found by their bytes."""
+    q: int
+    codes: np.ndarray             # ascending
+    owner: np.ndarray
+    offset: np.ndarray
+    bitmap: np.ndarray
+
+    @staticmethod
+    def build(q: int, owners: list[int], texts: list[bytes]) -> "Tiles":
+        codes = [grams(texts[i], q)[::q] for i in owners]
+        owner = np.repeat(owners, [len(c) for c in codes])
+        offset = np.concatenate([np.arange(len(c)) * q for c in codes])
+        flat = np.concatenate(codes)
+        order = np.argsort(flat, kind="stable")
+        bitmap = np.zeros(FILTER_BITS, bool)
+        bitmap[_bits(mix(flat))] = True
+        return Tiles(q, flat[order], owner[order], offset[order], bitmap)
+
+    def hits(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(item, diagonal) of each tile found in the text, ascending."""
+        code = grams(text, self.q)
+        some = np.flatnonzero(self.bitmap[_bits(mix(code))])
+        low, high = (np.searchsorted(self.codes, code[some], side) for side in ("left", "right"))
+        n = high - low
+        tile = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - low, n)
+        item, diagonal = self.owner[tile], np.repeat(some, n) - self.offset[tile]
+        order = np.lexsort((diagonal, item))
+        return item[order], diagonal[order]
 
 
 @dataclass
 class Items:
-    """A block of benchmark items with their sorted window keys."""
+    """A block of benchmark items with their sorted window keys and tiles."""
     ids: list
     texts: list[bytes]
     keys: np.ndarray
     owner: np.ndarray
     offset: np.ndarray
-    bitmap: np.ndarray
+    bitmaps: dict[int, np.ndarray]     # by samples: begins some item's key
+    tiles: list[Tiles]
+    begins: dict[int, list[int]]        # byte offsets of the words of walked items
 
     @staticmethod
-    def build(rows: list[tuple[object, str]]) -> "Items":
-        ids, texts, keys, owner, offset = [], [], [], [], []
+    def build(rows: list[tuple[object, str]], max_ratio: float = MAX_RATIO) -> "Items":
+        ids, texts, walked = [], [], []
+        tiled: dict[int, list[int]] = {}
         for item, text in rows:
             words = normalised(text)
+            spelled = b" ".join(words)
             if len(words) < MIN_WORDS:
                 continue
             ids.append(item)
-            texts.append(b" ".join(words))
-            hashes = word_hashes([texts[-1]])[0]
-            # past its end an item reads words that nothing else holds
-            padded = np.concatenate([hashes, mix(np.arange(STEPS, dtype=np.uint64) + np.uint64(len(ids) << 20))])
-            starts = np.arange(len(words))
-            for r in range(REPETITIONS):
-                keys.append(walk_keys(padded, starts, r))
-                owner.append(np.full(len(words), len(ids) - 1))
-                offset.append(starts)
-        flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, owner, offset)]
-        flat[0] = flat[0].astype(np.uint64)
-        order = np.argsort(flat[0], kind="stable")
-        key = flat[0][order]
-        bitmap = np.zeros(FILTER_BITS, bool)
-        bitmap[(key % np.uint64(FILTER_BITS)).astype(np.int64)] = True
-        return Items(ids, texts, key, flat[1][order], flat[2][order], bitmap)
-
-    def proposals(self, texts: list[np.ndarray]) -> list[list[tuple[int, int]]]:
-        """Per text (its word hashes): (item, place of its first word) pairs that some
-        window key proposes, ascending."""
+            texts.append(spelled)
+            if len(words) < WALKED_WORDS:
+                edits = int(max_ratio * len(spelled))
+                q = next((q for q in (3, 2) if len(spelled) // q > edits), 1)
+                tiled.setdefault(q, []).append(len(ids) - 1)
+            else:
+                walked.append(len(ids) - 1)
+        hashed = word_hashes([texts[i] for i in walked])
+        sizes = np.array([len(h) for h in hashed], np.int64)
+        ends = np.repeat(np.cumsum(sizes), sizes)
+        of = np.repeat(np.array(walked, np.int64), sizes)
+        place = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        samples = np.repeat(np.array([samples_of(n) for n in sizes], np.int64), sizes)
+        words = np.concatenate([*hashed, np.zeros(STEPS, np.uint64)])
+        bitmaps = {k: np.zeros(FILTER_BITS, bool) for k in range(1, CLASSES[-1][1] + 1)}
+        bitmaps[1][_bits(words[:len(of)])] = True
+        found = []
+        for r in range(REPETITIONS):
+            going = walk(words, np.arange(len(of)), r)
+            level, which, at, key = next(going)
+            while True:
+                inside = (at < ends[which]) & (level <= samples[which])
+                bitmaps[level][_bits(key[inside])] = True
+                whole = inside & (level == samples[which])
+                found.append((key[whole], of[which[whole]], place[which[whole]]))
+                try:
+                    level, which, at, key = going.send(inside)
+                except StopIteration:
+                    break
+        key, owner, offset = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(key, kind="stable")
+        return Items(ids, texts, key[order], owner[order], offset[order], bitmaps,
+                     [Tiles.build(q, owners, texts) for q, owners in sorted(tiled.items())],
+                     {i: np.cumsum([0] + [len(w) + 1 for w in texts[i].split(b" ")]).tolist() for i in walked})
+
+    def proposals(self, texts: list[np.ndarray]) -> list[list[tuple[int, int, int]]]:
+        """Per text (its word hashes): (item, word of the text, word of the item) that share
+        some window key, ascending."""
         out: list[set] = [set() for _ in texts]
+        if not len(self.keys):
+            return [[] for _ in texts]
         sizes = np.array([len(t) for t in texts], np.int64)
         begin = np.cumsum(sizes + STEPS) - (sizes + STEPS)
         pad = mix(np.arange(STEPS, dtype=np.uint64) + np.uint64(1 << 60))
         padded = np.concatenate([x for t in texts for x in (t, pad)])
+        starts = np.flatnonzero(self.bitmaps[1][_bits(padded)])
+        whole = {k for _, k in CLASSES}
         for r in range(REPETITIONS):
-            n = -(-np.maximum(sizes - r % STRIDE, 0) // STRIDE)
-            owner = np.repeat(np.arange(len(texts)), n)
-            place = (np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)) * STRIDE + r % STRIDE
-            key = walk_keys(padded, begin[owner] + place, r)
-            some = np.flatnonzero(self.bitmap[(key & np.uint64(FILTER_BITS - 1)).astype(np.int64)])
-            low, high = np.searchsorted(self.keys, key[some]), np.searchsorted(self.keys, key[some], "right")
-            for k, a, b in zip(some[high > low], low[high > low], high[high > low]):
-                out[owner[k]].update((int(self.owner[i]), int(place[k] - self.offset[i])) for i in range(a, b))
+            going = walk(padded, starts, r)
+            level, which, _, key = next(going)
+            while True:
+                on = self.bitmaps[level][_bits(key)]
+                if level in whole:
+                    some = np.flatnonzero(on)
+                    low, high = np.searchsorted(self.keys, key[some]), np.searchsorted(self.keys, key[some], "right")
+                    hit = high > low
+                    place = starts[which[some[hit]]]
+                    text = np.searchsorted(begin, place, "right") - 1
+                    for t, p, a, b in zip(text, place - begin[text], low[hit], high[hit]):
+                        out[t].update((int(self.owner[i]), int(p), int(self.offset[i])) for i in range(a, b))
+                try:
+                    level, which, _, key = going.send(on)
+                except StopIteration:
+                    break
         return [sorted(x) for x in out]
 
-    def matches(self, text: str, proposed: list[tuple[int, int]], max_ratio: float) -> list[tuple]:
+    def _nearest(self, item: int, diagonals: np.ndarray, text: bytes, edits: int) -> tuple[int, int] | None:
+        """(distance, first word) of the nearest place within ``edits`` that starts at most
+        ``edits`` bytes from one of the ascending diagonals."""
+        pattern, best, at = self.texts[item], None, 0
+        while at < len(diagonals):
+            first = int(diagonals[at])
+            at = int(np.searchsorted(diagonals, first + edits, "right"))  # the window holds theirs too
+            window = text[max(0, first - edits):max(0, first + len(pattern) + 3 * edits)]
+            d = _distance(pattern, window, edits)
+            if d is not None and (best is None or d < best[0]):
+                best = d, text.count(b" ", 0, max(0, first))
+                if not d:
+                    break
+        return best
+
+    def _tiled(self, text: bytes, max_ratio: float) -> Iterator[tuple[int, np.ndarray]]:
+        """Items found by their bytes, with the diagonals that hold enough of their tiles."""
+        for tiles in self.tiles:
+            item, diagonal = tiles.hits(text)
+            bounds = np.flatnonzero(np.diff(item, prepend=-1, append=-1)) if len(item) else []
+            for low, high in zip(bounds[:-1], bounds[1:]):
+                i, d = int(item[low]), diagonal[low:high]
+                size = len(self.texts[i])
+                need = max(1, size // tiles.q - int(max_ratio * size))
+                if len(d) >= need:
+                    yield i, d[:len(d) - need + 1][d[need - 1:] - d[:len(d) - need + 1] <= int(max_ratio * size)]
+
+    def matches(self, text: str, proposed: list[tuple[int, int, int]], max_ratio: float) -> list[tuple]:
         """Verified (item id, first word, distance, item length), the nearest per item."""
-        if not proposed:
+        if not proposed and not self.tiles:
             return []
-        spelled = normalised(text)
-        best: dict[int, tuple[int, int]] = {}
-        done: dict[int, int] = {}
-        for item, place in proposed:
-            pattern = self.texts[item]
-            size = pattern.count(b" ") + 1
-            slack = max(2, int(max_ratio * size) + 1)
-            if item in done and place <= done[item]:
-                continue  # inside a window that was compared already
-            done[item] = place + slack // 2
-            window = b" ".join(spelled[max(0, place - slack):max(0, place + size + 2 * slack)])
-            bar = int(max_ratio * len(pattern))
-            # an edit spoils three trigrams at most
-            if np.isin(trigrams(pattern), trigrams(window)).sum() < len(pattern) - 2 - 3 * bar:
-                continue
-            d = substring_distance(pattern, window)
-            if d <= max_ratio * len(pattern) and d < best.get(item, (len(pattern),))[0]:
-                best[item] = (d, max(0, place))
-        return [(self.ids[i], at, d, len(self.texts[i])) for i, (d, at) in sorted(best.items())]
-
-
-def trigrams(text: bytes) -> np.ndarray:
-    b = np.frombuffer(text, np.uint8).astype(np.int32)
-    return b[:-2] << 16 | b[1:-1] << 8 | b[2:]
+        words = normalised(text or "")
+        spelled = b" ".join(words)
+        places: dict[int, list[int]] = {}
+        if proposed:
+            begin = np.cumsum([0] + [len(w) + 1 for w in words])
+            for item, place, offset in proposed:
+                places.setdefault(item, []).append(int(begin[place]) - self.begins[item][offset])
+        found = [(i, np.unique(d)) for i, d in places.items()]
+        found += self._tiled(spelled, max_ratio)
+        out = []
+        for i, diagonals in sorted(found, key=lambda x: x[0]):
+            size = len(self.texts[i])
+            best = self._nearest(i, diagonals, spelled, int(max_ratio * size))
+            if best:
+                out.append((self.ids[i], best[1], best[0], size))
+        return out
+
+
+def grams(text: bytes, q: int) -> np.ndarray:
+    """Every run of q bytes (at most 4) as a number."""
+    b = np.frombuffer(text, np.uint8).astype(np.uint64)
+    n = max(0, len(b) - q + 1)
+    out = b[:n]
+    for k in range(1, q):
+        out = out << np.uint64(8) | b[k:k + n]
+    return out
+
+
+def _distance(pattern: bytes, window: bytes, edits: int) -> int | None:
+    """substring_distance, or None above ``edits``."""
+    # an edit spoils three trigrams at most
+    if np.isin(grams(pattern, 3), grams(window, 3)).sum() < len(pattern) - 2 - 3 * edits:
+        return None
+    d = substring_distance(pattern, window)
+    return d if d <= edits else None
 
 
 def substring_distance(pattern: bytes, text: bytes) -> int:
@@ -185,7 +308,7 @@ def substring_distance(pattern: bytes, text: bytes) -> int:
 
 
 def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
-                block: int = BLOCK_ITEMS) -> Iterator[Items]:
+                block: int = BLOCK_ITEMS, max_ratio: float = MAX_RATIO) -> Iterator[Items]:
     """The benchmark in blocks of at most ``block`` items, one on the driver at a time."""
     known = benchmark.filter(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("i"), F.col(text_col).alias("t"))
@@ -194,7 +317,7 @@ def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
     for k in range(blocks):
         rows = known.filter(slot == k).orderBy("i", "t").collect()
         if rows:
-            yield Items.build([(r["i"], r["t"]) for r in rows])
+            yield Items.build([(r["i"], r["t"]) for r in rows], max_ratio)
 
 
 def _match_column(spark, items: Items, text: Column, id_type: str, max_ratio: float) -> Column:
@@ -223,7 +346,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     id_type = benchmark.schema[item_col].dataType.simpleString()
     columns = [c for c in docs.columns if c != into]
     found = [_match_column(docs.sparkSession, items, F.col(text_col), id_type, max_ratio)
-             for items in item_blocks(benchmark, item_col, item_text_col)]
+             for items in item_blocks(benchmark, item_col, item_text_col, max_ratio=max_ratio)]
     if not found:
         return docs.select(*columns, F.array().cast(MATCHES.format(id=id_type)).alias(into))
     parts = [f"__leaks{k}" for k in range(len(found))]

@@ -66,6 +66,28 @@ def test_recall_of_exact_and_edited_items():
     assert due > 200 and edited >= 0.95 * due
 
 
+def damaged(rng, words):
+    """Words changed, dropped and added as far as MAX_RATIO lets."""
+    size = int(decontaminate.MAX_RATIO * len(" ".join(words)))
+    now = words
+    while True:
+        nxt, i, x = list(now), rng.randrange(len(now)), rng.random()
+        nxt[i:i + 1] = prose(rng, 1) if x < .5 else [] if x < .75 else [*prose(rng, 1), now[i]]
+        if decontaminate.substring_distance(" ".join(words).encode(), " ".join(nxt).encode()) > size:
+            return now
+        now = nxt
+
+
+@pytest.mark.parametrize("low, high", [(12, 14), (20, 30), (45, 60)])
+def test_recall_at_the_ratio(low, high):
+    rng = random.Random(low)
+    bench = [(i, " ".join(prose(rng, rng.randint(low, high)))) for i in range(60)]
+    items = decontaminate.Items.build(bench)
+    hits = sum(any(m[0] == i for m in found(items, " ".join(prose(rng, 7) + damaged(rng, t.split()) + prose(rng, 7))))
+               for i, t in bench)
+    assert hits >= decontaminate.TARGET_RECALL * len(bench)
+
+
 def test_clean_and_odd_documents(spark):
     rng = random.Random(3)
     bench = [(i, " ".join(prose(rng, 30))) for i in range(50)] + [(100, None), (101, ""), (102, "too short")]
