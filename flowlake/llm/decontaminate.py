@@ -16,12 +16,13 @@ what it sampled so far begins no item's key.  CLASSES and REPETITIONS are set fo
 with the item-sized window there by its exact edit distance in bytes of UTF-8
 (bit-parallel, any end points), and reported if that is at most ``max_ratio`` of its length.
 
-Items of fewer than WALKED_WORDS words are found by their bytes without loss: cut into
+Items of fewer than WALKED_WORDS words, or of words of more than LONG_WORD bytes on average
+(scripts that don't space their words), are found by their bytes without loss: cut into
 tiles of q bytes, an item within k edits keeps all but k tiles unchanged, on diagonals at
 most k apart; places with so many tiles go to the edit check.
 
 Items are taken in blocks of ``BLOCK_ITEMS``, so what is sent to the workers is
-bounded; every block sees all documents.  Items of fewer than MIN_WORDS words are not
+bounded; every block sees all documents.  Items of fewer than MIN_BYTES bytes are not
 searched.  Null or empty text or items: no match.  Repeated rows are judged each.
 """
 
@@ -44,7 +45,8 @@ CLASSES = ((12, 7), (20, 8), (40, 10))
 REPETITIONS = 16
 STEPS = 3 * CLASSES[-1][1]
 WALKED_WORDS = CLASSES[0][0]
-MIN_WORDS = 8
+LONG_WORD = 16
+MIN_BYTES = 10
 MAX_RATIO = 0.2
 BLOCK_ITEMS = 20_000
 FILTER_BITS = 1 << 22
@@ -138,11 +140,11 @@ class Items:
         for item, text in rows:
             words = normalised(text)
             spelled = b" ".join(words)
-            if len(words) < MIN_WORDS:
+            if len(spelled) < MIN_BYTES:
                 continue
             ids.append(item)
             texts.append(spelled)
-            if len(words) < WALKED_WORDS:
+            if len(words) < WALKED_WORDS or len(spelled) > (LONG_WORD + 1) * len(words):
                 edits = int(max_ratio * len(spelled))
                 q = next((q for q in (3, 2) if len(spelled) // q > edits), 1)
                 tiled.setdefault(q, []).append(len(ids) - 1)

@@ -88,6 +88,32 @@ def test_recall_at_the_ratio(low, high):
     assert hits >= decontaminate.TARGET_RECALL * len(bench)
 
 
+def test_short_and_unspaced_items_are_found_without_loss():
+    rng = random.Random(8)
+    han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+    bench = [(i, " ".join(prose(rng, rng.randint(4, 11)))) for i in range(25)]
+    bench = [(i, t) for i, t in bench if len(t) >= decontaminate.MIN_BYTES]
+    bench += [(100, han(30)), (101, han(4)), (102, "\u3002".join(han(12) for _ in range(14)))]
+    items = decontaminate.Items.build(bench)
+    pages = [f"{' '.join(prose(rng, 9))} {t} {' '.join(prose(rng, 9))}" for _, t in bench]
+    pages += [" ".join(prose(rng, 9) + damaged(rng, t.split()) + prose(rng, 9)) for i, t in bench if i < 100]
+    pages += ["x" + t[:1] + han(1) + t[2:] + "y" for i, t in bench if i in (100, 102)]
+    for page in pages:
+        spelled = b" ".join(decontaminate.normalised(page))
+        want = {i: plain_distance(p, spelled) for (i, _), p in zip(bench, items.texts)}
+        got = {m[0]: m[2] for m in found(items, page)}
+        assert got == {i: d for i, d in want.items() if d <= decontaminate.MAX_RATIO * len(items.texts[items.ids.index(i)])}
+
+
+def test_walks_do_not_read_past_an_item():
+    rng = random.Random(9)
+    for n in (12, 13, 20, 40):
+        bench = [(i, " ".join(prose(rng, n))) for i in range(40)]
+        items = decontaminate.Items.build(bench)
+        assert all(any(m[0] == i and not m[2] for m in found(items, t)) for i, t in bench)
+        assert all((items.offset < n).tolist()) and set(items.owner.tolist()) == set(range(40))
+
+
 def test_clean_and_odd_documents(spark):
     rng = random.Random(3)
     bench = [(i, " ".join(prose(rng, 30))) for i in range(50)] + [(100, None), (101, ""), (102, "too short")]
