@@ -4,8 +4,8 @@ A template is a list of words (letters and digits, lower case).  For a text:
 
 1. words of the whole text are hashed; a template whose words, counted with their
    repeats, are not found often enough to reach ``min_coverage`` is put aside (it can't);
-2. every place of the template word that is rarest in the text gives a window a little
-   larger than the template;
+2. a window a little larger than the template slides over the places of all its words;
+   where the words inside, counted with their repeats, can reach ``min_coverage``, it is aligned;
 3. patience alignment of window and template: words that are unique to both are
    anchors, the longest increasing subsequence of them is kept, and the gaps between
    anchors are aligned the same way, after their equal ends are matched;
@@ -149,25 +149,41 @@ def scan(text: str, hashed: np.ndarray, known: list[Template], vocabulary: np.nd
         if np.minimum(found, t.counts).sum() < min_coverage * size:
             continue
         words = words if words is not None else spelled(text)
-        rare = t.hashes[np.where(found > 0, found, len(hashed) + 1).argmin()]
-        spot = int(np.flatnonzero(word_hashes([b" ".join(t.words)])[0] == rare)[0])
         slack = max(3, size // 4)
-        done = -1
-        for p in hits[hashed[hits] == rare].tolist():
-            start, end = max(0, p - spot - slack), p + size - spot + slack
-            if p <= done:
-                continue  # a window that reaches the bar covers this place already
+        for start, end in _windows(hits, hashed[hits], t, size + 2 * slack, min_coverage * size):
             pairs = align(words[start:end], t.words)
             coverage = len(pairs) / size
             if coverage < min_coverage:
                 continue
             first, last = start + pairs[0][0], start + pairs[-1][0]
-            done = last
             if coverage > best.get(t.license, (0.0,))[0]:
                 best[t.license] = (coverage, first, last - first + 1)
     return _apart(best)
 
 
+def _windows(places: np.ndarray, words: np.ndarray, t: Template, width: int, need: float) -> Iterator[tuple[int, int]]:
+    """Windows of ``width`` words from each place of a template word, in which the template's
+    words, each at most as often as in the template, are ``need`` or more."""
+    k = np.searchsorted(t.hashes, words)
+    k[k == len(t.hashes)] = 0
+    own = t.hashes[k] == words
+    at, k = places[own], k[own]
+    ends = np.searchsorted(at, at + width)
+    if not (ends - np.arange(len(at)) >= need).any():
+        return
+    room, inside, right = t.counts.tolist(), 0, 0
+    at, k = at.tolist(), k.tolist()
+    for left, end in enumerate(ends.tolist()):
+        while right < end:
+            room[k[right]] -= 1
+            inside += room[k[right]] >= 0
+            right += 1
+        if inside >= need:
+            yield at[left], at[left] + width
+        inside -= room[k[left]] >= 0
+        room[k[left]] += 1
+
+
 def _apart(best: dict[str, tuple[float, int, int]]) -> list[tuple[str, float, int, int]]:
     """Of licenses found at overlapping places only the best covered stays."""
     out: list[tuple[str, float, int, int]] = []

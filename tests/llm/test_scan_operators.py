@@ -167,6 +167,25 @@ def test_every_template_is_found_in_long_text(spark):
     assert license_scan.with_licenses(df.limit(0)).collect() == []
 
 
+def scanned(text, pairs=license_scan.TEMPLATES):
+    known = license_scan.templates(pairs)
+    vocabulary = np.unique(np.concatenate([t.hashes for t in known]))
+    hashed = word_hashes([text.lower().encode()], PUNCTUATION_BYTES)[0]
+    return license_scan.scan(text, hashed, known, vocabulary, license_scan.MIN_COVERAGE)
+
+
+def test_notice_whose_rarest_word_stands_elsewhere():
+    text = "Licensed under the MIT License. Last week the film was released. Licensed under the MIT License."
+    assert [x[0] for x in scanned(text)] == ["MIT"]
+    rng = random.Random(10)
+    name, grant = max(license_scan.TEMPLATES, key=lambda x: len(x[1]))
+    words = grant.split()
+    for gone in range(0, len(words), 5):
+        cut = words[:gone] + words[gone + 1:]
+        page = prose(rng, 300) + [words[gone]] + prose(rng, 300) + cut + prose(rng, 300)
+        assert name in [x[0] for x in scanned(" ".join(page))]
+
+
 # --- HTML --------------------------------------------------------------------
 
 def test_blocks_of_untidy_markup():
