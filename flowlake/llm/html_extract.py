@@ -50,7 +50,9 @@ SCOPE = {"table", "ul", "ol", "dl", "select", "div", "article", "section", "body
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|object|canvas)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<svg(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
+    r"|<(?P<raw>script|style)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
+    r"|<(?P<whole>noscript|template|svg|iframe|object|canvas)(?=[\s/>])[^>]*>.*?</(?P=whole)(?=[\s/>])[^>]*>"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>", re.S | re.I)

@@ -200,6 +200,16 @@ def test_blocks_of_untidy_markup():
     assert [b.text for b in html_extract.read_blocks("plain")] == ["plain"]
 
 
+@pytest.mark.parametrize("tag, kept", [
+    ("<svg-icon name=x></svg-icon>", ["a", "b", "c"]), ("<template-x>", ["a", "b", "c"]), ("<svg class='i' />", ["a", "b", "c"]),
+    ("<svg/>", ["a", "b", "c"]), ("<svg a='/>'><text>no</text></svg >", ["a", "b", "c"]), ("<noscript>", ["a", "b", "c"]),
+    ("<iframe src=x>", ["a", "b", "c"]), ("<object>", ["a", "b", "c"]), ("<canvas>", ["a", "b", "c"]), ("<svg>", ["a", "b", "c"]),
+    ("<template>", ["a", "b", "c"]), ("<noscript>no</noscript>", ["a", "b", "c"]), ("<script>", ["a"]), ("<style x>", ["a"])])
+def test_raw_elements_swallow_their_own_text_only(tag, kept):
+    blocks = html_extract.read_blocks(f"<article><p>a</p>{tag}<p>b</p><p>c</p></article>")
+    assert [b.text for b in blocks] == kept
+
+
 def test_gradients_of_the_network():
     rng = np.random.default_rng(0)
     net = html_extract.BiLSTM.fresh(1)
