@@ -161,7 +161,7 @@ def vectors(blocks: list[Block], known: dict) -> np.ndarray:
     x = np.zeros((len(blocks), INPUT), np.float32)
     for i, b in enumerate(blocks):
         x[i, _path_slots(b.path, known)] = 1
-        words = b.text[:400].lower().split()[:40] if len(b.text) > 400 else b.text.lower().split()
+        words = b.text.lower().split()
         for w in words:
             x[i, PATH_SIZE + crc32(w.encode()) % WORD_SIZE] += 1
         x[i, PATH_SIZE:PATH_SIZE + WORD_SIZE] /= max(1, len(words))

@@ -210,6 +210,14 @@ def test_raw_elements_swallow_their_own_text_only(tag, kept):
     assert [b.text for b in blocks] == kept
 
 
+def test_vectors_read_whole_blocks():
+    head = " ".join(["word"] * 100)
+    x = html_extract.vectors([html_extract.Block(f"{head} {tail}", ()) for tail in ("one two", "three four")], {})
+    n = html_extract.PATH_SIZE + html_extract.WORD_SIZE
+    assert x[0, n + 2] == x[1, n + 2] == np.float32(102 / 40)
+    assert (x[0, html_extract.PATH_SIZE:n] != x[1, html_extract.PATH_SIZE:n]).any()
+
+
 def test_gradients_of_the_network():
     rng = np.random.default_rng(0)
     net = html_extract.BiLSTM.fresh(1)
