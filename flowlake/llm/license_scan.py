@@ -9,11 +9,13 @@ A template is a list of words (letters and digits, lower case).  For a text:
 3. patience alignment of window and template: words that are unique to both are
    anchors, the longest increasing subsequence of them is kept, and the gaps between
    anchors are aligned the same way, after their equal ends are matched;
-4. coverage is the aligned share of the template's words.  The best template of a
-   family is reported for each text.
+4. coverage is the aligned share of the template's words.  Where licenses overlap, the one
+   with the best fit is reported: aligned words by all words of template and span.
+
+The templates are notices; full license texts are not among them.
 
 Null or empty texts hold nothing.  Texts of any length are read whole; repeated
-notices count once per license (the best one; the first of equal ones).
+notices count once per license (the best fit; the first of equal ones).
 """
 
 from __future__ import annotations
@@ -59,6 +61,13 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International "
+     "License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International "
+     "License."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 
@@ -140,7 +149,7 @@ def scan(text: str, hashed: np.ndarray, known: list[Template], vocabulary: np.nd
         return []
     present, there = np.unique(hashed[hits], return_counts=True)
     words: list[bytes] | None = None
-    best: dict[str, tuple[float, int, int]] = {}
+    best: dict[str, tuple[float, int, int, float]] = {}
     for t in known:
         k = np.searchsorted(present, t.hashes)
         k[k == len(present)] = 0
@@ -156,8 +165,10 @@ def scan(text: str, hashed: np.ndarray, known: list[Template], vocabulary: np.nd
             if coverage < min_coverage:
                 continue
             first, last = start + pairs[0][0], start + pairs[-1][0]
-            if coverage > best.get(t.license, (0.0,))[0]:
-                best[t.license] = (coverage, first, last - first + 1)
+            n = last - first + 1
+            fit = len(pairs) / (size + n - len(pairs))
+            if fit > best.get(t.license, (0.0,) * 4)[3]:
+                best[t.license] = (coverage, first, n, fit)
     return _apart(best)
 
 
@@ -184,10 +195,11 @@ def _windows(places: np.ndarray, words: np.ndarray, t: Template, width: int, nee
         room[k[left]] += 1
 
 
-def _apart(best: dict[str, tuple[float, int, int]]) -> list[tuple[str, float, int, int]]:
-    """Of licenses found at overlapping places only the best covered stays."""
+def _apart(best: dict[str, tuple[float, int, int, float]]) -> list[tuple[str, float, int, int]]:
+    """Of licenses found at overlapping places only the best fit stays: words that the
+    template lacks inside the span count against it."""
     out: list[tuple[str, float, int, int]] = []
-    for name, (c, first, n) in sorted(best.items(), key=lambda x: (-x[1][0], -x[1][2], x[0])):
+    for name, (c, first, n, _) in sorted(best.items(), key=lambda x: (-x[1][3], -x[1][2], x[0])):
         if all(first + n <= f or f + k <= first for _, _, f, k in out):
             out.append((name, c, first, n))
     return sorted(out, key=lambda x: x[2])

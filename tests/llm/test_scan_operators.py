@@ -186,6 +186,18 @@ def test_notice_whose_rarest_word_stands_elsewhere():
         assert name in [x[0] for x in scanned(" ".join(page))]
 
 
+@pytest.mark.parametrize("want, text", [
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.")])
+def test_neighbours_compete(want, text):
+    assert [x[0] for x in scanned(f"some words before. {text} And some after.")] == [want]
+
+
 # --- HTML --------------------------------------------------------------------
 
 def test_blocks_of_untidy_markup():
