@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlake.llm import (decontaminate, html_extract, language_id, license_scan, line_dedup, ngram_join,
-                          packing, token_count, url_filter, vector_dedup)
+                          packing, token_count, url_filter, vector_dedup, whitening)
 from flowlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +180,11 @@ FROM h LEFT JOIN best USING (page_id)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, URL_RULES).drop("url")
+
+
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where the exact sum (``deviation_exact``) outgrows a long."""
+    out = whitening.whitened_embeddings(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return out.select("vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened",
+                      "explained", "identity_error", F.col("deviation").alias("deviation_exact"))
