@@ -33,6 +33,3 @@ def spark():
 @pytest.fixture()
 def tmp(tmp_path):
     return str(tmp_path)
-
-
-FIXTURE_DIR = ROOT / "tests" / "fixtures"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import shutil
 
-from conftest import FIXTURE_DIR
+from paths import FIXTURE_DIR
 from flowlake.__main__ import main
 
 

@@ -7,7 +7,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import FIXTURE_DIR
+from paths import FIXTURE_DIR
 from flowlake.operators import aggregates as A
 from flowlake.operators import evolution as EV
 from flowlake.operators import maintenance as M

@@ -6,7 +6,7 @@ import shutil
 
 import pytest
 
-from conftest import FIXTURE_DIR
+from paths import FIXTURE_DIR
 from flowlake.functions.columns import prepare_columns
 from flowlake.operators import aggregates as A
 from flowlake.operators.clean import fact_columns
