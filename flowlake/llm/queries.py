@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm import (decontaminate, html_extract, language_id, license_scan, line_dedup, ngram_join,
+from flowlake.llm import (conversation_repair, decontaminate, html_extract, language_id, license_scan, line_dedup, ngram_join,
                           packing, token_count, url_filter, vector_dedup, whitening)
 from flowlake.llm.common import table
 
@@ -188,3 +188,98 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = whitening.whitened_embeddings(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return out.select("vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened",
                       "explained", "identity_error", F.col("deviation").alias("deviation_exact"))
+
+
+def _repair_sql() -> str:
+    """The edits as a recursion over a conversation's rows: four paths, each
+    ``{cost, audit, text}``; the least struct is the cheapest, then ASCII-least one."""
+    spoken = {0: ("user", 2), 1: ("user", 2), 2: ("assistant", 3), 3: ("user", 2)}
+    kept = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+
+    def path(before: str, cost: str, letter: str, line: str | None) -> str:
+        text = f"{before}.txt" if line is None else \
+            f"CASE WHEN {before}.txt IS NULL THEN {line} ELSE {before}.txt || chr(10) || {line} END"
+        return (f"{{'cost': {before}.cost + {cost}, 'audit': {before}.audit || '{letter}', 'txt': {text}}}")
+
+    def least(options: list[tuple[str, str]]) -> str:
+        """Of ``(condition, path)`` the least whose condition holds."""
+        each = ", ".join(f"CASE WHEN {when} THEN {p} END" for when, p in options)
+        return f"list_min(list_filter([{each}], lambda x: x IS NOT NULL))"
+
+    stays = "CASE WHEN truncated THEN 5 ELSE 0 END"
+    moved = []
+    for to in range(4):
+        options = [(f"p{to} IS NOT NULL", path(f"p{to}", "2", "D", None))]
+        for at in range(4):
+            for initial, place in kept[at].items():
+                if place == to:
+                    options.append((f"p{at} IS NOT NULL AND NOT must_go AND initial = '{initial}'",
+                                    path(f"p{at}", f"({stays})", "K", "role || ':' || text")))
+            if spoken[at][1] == to:
+                options.append((f"p{at} IS NOT NULL AND NOT must_go",
+                                path(f"p{at}", f"(1 + {stays})", "R", f"'{spoken[at][0]}:' || text")))
+        moved.append(f"{least(options)} AS p{to}")
+    user = least([("p2 IS NOT NULL", "p2")] + [(f"p{at} IS NOT NULL", path(f"p{at}", "5", "I", "'user:'"))
+                                              for at in (0, 1, 3)])
+    assistant = least([("p3 IS NOT NULL", "p3"), ("p2 IS NOT NULL", path("p2", "5", "I", "'assistant:'"))])
+    nothing = "CAST(NULL AS STRUCT(cost INTEGER, audit VARCHAR, txt VARCHAR))"
+    start = "{'cost': 0, 'audit': '', 'txt': CAST(NULL AS VARCHAR)}"
+    return rf"""
+WITH RECURSIVE
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')) AS key
+  FROM conversations),
+crc AS (
+  SELECT *, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(range(octet_length(key)),
+      lambda i: CAST('0x' || hex(key)[2 * i + 1:2 * i + 2] AS BIGINT))),
+    lambda acc, b: list_reduce(list_concat([xor(acc, b)], range(8)),
+      lambda x, bit: xor(x >> 1, (x & 1) * 3988292384)))) % 20 AS h
+  FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN h = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM crc WHERE h <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+    trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS core
+  FROM damaged),
+judged AS (
+  SELECT conv_id, turn, role, text, i, left(role, 1) AS initial, core = '' AS blank, core <> '' AND seen AS duplicate,
+    core <> '' AND NOT seen AND right(core, 1) NOT IN ('.', '!', '?') AS truncated, core = '' OR seen AS must_go,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+steps(conv_id, i, p0, p1, p2, p3) AS (
+  SELECT conv_id, 0, p0, p1, {user} AS p2,
+    {nothing} AS p3 FROM (SELECT DISTINCT conv_id, {start} AS p0, {nothing} AS p1, {nothing} AS p2, {nothing} AS p3
+    FROM judged)
+  UNION ALL
+  SELECT conv_id, i, p0, p1, p2, {assistant} AS p3 FROM (
+    SELECT conv_id, i, p0, p1, {user} AS p2, p3 FROM (
+      SELECT j.conv_id, j.i, {", ".join(moved)}
+      FROM steps s JOIN judged j ON s.conv_id IS NOT DISTINCT FROM j.conv_id AND j.i = s.i + 1))),
+ends AS (
+  SELECT conv_id, list_min(list_filter([p0, p3], lambda x: x IS NOT NULL)) AS p
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) AS last FROM steps) WHERE last = 1),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+    count_if(duplicate) AS duplicate, count_if(truncated) AS truncated,
+    count_if(i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(p.cost, 0) AS BIGINT) AS cost,
+  coalesce(p.audit, '') AS audit, sha256(coalesce(p.txt, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN counted c ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ends e ON a.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
+@query("op13_conversation_repair", _repair_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_conversations(
+        conversation_repair.damage(table(spark, sf_dir, "conversations")), gone="gone")
