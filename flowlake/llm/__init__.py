@@ -1,4 +1,4 @@
-"""Training-data operators: ten large-scale text, page and vector jobs.
+"""Training-data operators: large-scale text, page, vector and conversation jobs.
 
 Nothing else in the library imports this package.  Functions that run in
 Python workers are pickled by value, so executors need no copy of it.

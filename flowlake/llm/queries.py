@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm import (conversation_repair, decontaminate, html_extract, language_id, license_scan, line_dedup, ngram_join,
+from flowlake.llm import (context_tree, conversation_repair, decontaminate, html_extract, language_id, license_scan, line_dedup, ngram_join,
                           packing, token_count, url_filter, vector_dedup, whitening)
 from flowlake.llm.common import table
 
@@ -190,6 +190,15 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "explained", "identity_error", F.col("deviation").alias("deviation_exact"))
 
 
+@query("op12_lm_scoring")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null doc_id is not held out."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    scored = context_tree.score_documents(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score", "n_bytes", "bits_per_byte")
+
+
 def _repair_sql() -> str:
     """The edits as a recursion over a conversation's rows: four paths, each
     ``{cost, audit, text}``; the least struct is the cheapest, then ASCII-least one."""
