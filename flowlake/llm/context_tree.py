@@ -54,9 +54,11 @@ DEPTH = 5
 #: Bytes of text in a chunk (one text at least).
 CHUNK_BYTES = 16 << 20
 #: Bytes of text whose grams are looked at at once.
-WINDOW_BYTES = 1 << 20
+WINDOW_BYTES = 1 << 19
 #: Grams of a bucket whose trees are built at once (whole subtrees).
-SLICE_GRAMS = 1 << 18
+SLICE_GRAMS = 1 << 17
+#: Rows of an Arrow batch that become Python objects at once, and that are sent at once.
+BATCH_ROWS = 64
 START, END = 0xFE, 0xFF      # no byte of a UTF-8 text
 _HALF = np.log(0.5)
 
@@ -111,7 +113,7 @@ class Tally:
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.parts.append((keys, counts))
         self.loose += len(keys)
-        if self.loose > 2 * len(self.parts[0][0]) + (1 << 20):
+        if self.loose > len(self.parts[0][0]) + (1 << 18):
             self.parts = [self.total()]
             self.loose = 0
 
@@ -154,8 +156,8 @@ def windows(texts: list[bytes]) -> Iterator[list[bytes]]:
 def tally_texts(tally: Tally, texts: list[bytes], trained: bool, depth: int) -> None:
     for some in windows(texts):
         symbols = _symbols(some, depth)
-        for at in range(0, len(symbols) - depth, WINDOW_BYTES * 4):      # a very long text in parts
-            keys, n = np.unique(gram_keys(symbols[at:at + WINDOW_BYTES * 4 + depth], depth), return_counts=True)
+        for at in range(0, len(symbols) - depth, WINDOW_BYTES * 2):      # a very long text in parts
+            keys, n = np.unique(gram_keys(symbols[at:at + WINDOW_BYTES * 2 + depth], depth), return_counts=True)
             tally.add(keys, n if trained else np.zeros(len(n), np.int64))
 
 
@@ -331,31 +333,33 @@ def chunked(docs: DataFrame, depth: int, buckets: int) -> DataFrame:
         context = TaskContext.get()
         chunk = (context.partitionId() if context else 0) << 32
         texts: dict[bool, list[bytes]] = {True: [], False: []}
-        words: dict[bool, Counter] = {True: Counter(), False: Counter()}
+        words: Counter = Counter()           # of training texts
+        others: set[bytes] = set()           # words of other texts
         size, schema = 0, None
 
-        def closed() -> pa.RecordBatch:
+        def closed() -> Iterator[pa.RecordBatch]:
             tally = Tally()
             for trained, some in texts.items():
                 tally_texts(tally, some, trained, depth)
                 some.clear()
             keys, counts = tally.total()
-            rows = []
             where = bucket_of(keys, depth, buckets)
             for b in np.unique(where):
                 mine = where == b
-                rows.append((chunk, GRAMS, int(b), None, None, None, None, packed(keys[mine]),
-                             planes(counts[mine])))
-            dealt: dict[int, list[bytes]] = {}
-            for w in words[True].keys() | words[False].keys():
-                dealt.setdefault(zlib.crc32(w) % buckets, []).append(w)
-            for b, some in sorted(dealt.items()):
-                some.sort()
-                n = np.fromiter((words[True].get(w, 0) for w in some), np.int64, len(some))
-                rows.append((chunk, WORDS, b, None, None, None, None, b" ".join(some), planes(n)))
-            for w in words.values():
-                w.clear()
-            return _rows(rows, schema)
+                yield _rows([(chunk, GRAMS, int(b), None, None, None, None, packed(keys[mine]),
+                              planes(counts[mine]))], schema)
+            others.difference_update(words)
+            dealt: list[list[bytes]] = [[] for _ in range(buckets)]
+            for w in words:
+                dealt[zlib.crc32(w) % buckets].append(w)
+            for w in others:
+                dealt[zlib.crc32(w) % buckets].append(w)
+            others.clear()
+            for b, some in enumerate(dealt):
+                if some:
+                    n = np.fromiter((words.get(w, 0) for w in some), np.int64, len(some))
+                    yield _rows([(chunk, WORDS, b, None, None, None, None, b" ".join(some), planes(n))], schema)
+            words.clear()
 
         for batch in batches:
             if schema is None:
@@ -363,28 +367,36 @@ def chunked(docs: DataFrame, depth: int, buckets: int) -> DataFrame:
                                 ("id", batch.schema.field("id").type), ("trained", pa.bool_()), ("spelled", _BIN),
                                 ("tokens", _LONG), ("keys", _BIN), ("counts", _BIN))
             rows = []
-            for key, trained, text in zip(*(batch.column(c).to_pylist() for c in ("id", "trained", "text"))):
+            for key, trained, text in _groups([batch], "id", "trained", "text"):
                 mine = spelled_words(text)
                 line = b" ".join(mine)
-                words[trained].update(mine)
+                if trained:
+                    words.update(mine)
+                else:
+                    others.update(mine)
                 texts[trained].append(line)
                 rows.append((chunk, TEXTS, -1, key, trained, line, len(mine) + 1, None, None))
                 size += len(line) + 1
-                if size >= CHUNK_BYTES:
+                if len(rows) == BATCH_ROWS or size >= CHUNK_BYTES:
                     yield _rows(rows, schema)
-                    yield closed()
-                    rows, size, chunk = [], 0, chunk + 1
+                    rows = []
+                if size >= CHUNK_BYTES:
+                    yield from closed()
+                    size, chunk = 0, chunk + 1
             if rows:
                 yield _rows(rows, schema)
         if size:
-            yield closed()
+            yield from closed()
 
     return docs.mapInArrow(run, _CHUNKS.format(id=id_type))
 
 
 def _groups(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    """Rows as tuples; only ``BATCH_ROWS`` of a batch are Python objects at a time."""
     for batch in batches:
-        yield from zip(*(batch.column(n).to_pylist() for n in names))
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            part = batch.slice(at, BATCH_ROWS)
+            yield from zip(*(part.column(n).to_pylist() for n in names))
 
 
 def bucket_model(requests: DataFrame, depth: int) -> DataFrame:
@@ -464,8 +476,8 @@ def _score_texts(texts: list[bytes], keys: np.ndarray, log_p: np.ndarray, depth:
     for some in windows(texts):
         symbols = _symbols(some, depth)
         value = np.zeros(len(symbols))
-        for at in range(0, len(symbols) - depth, WINDOW_BYTES * 4):
-            part = symbols[at:at + WINDOW_BYTES * 4 + depth]
+        for at in range(0, len(symbols) - depth, WINDOW_BYTES * 2):
+            part = symbols[at:at + WINDOW_BYTES * 2 + depth]
             spoken = part[depth:] != START
             value[at + depth:at + len(part)][spoken] = log_p[np.searchsorted(keys, gram_keys(part, depth))]
         ends = np.cumsum([depth + len(t) + 1 for t in some])
@@ -479,18 +491,22 @@ def chunk_scores(texts: DataFrame, answered: DataFrame, end_count: int, depth: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, lines, grams, words, schema = None, [], [], {}, None
 
-        def closed() -> pa.RecordBatch:
+        def closed() -> Iterator[pa.RecordBatch]:
             keys, log_p = (np.concatenate(x) for x in zip(*grams))
+            grams.clear()
             order = np.argsort(keys)
-            found = _score_texts([t for _, _, t, _ in lines], keys[order], log_p[order], depth)
+            keys, log_p = keys[order], log_p[order]
             end = float(np.log10(end_count + 1))
-            rows = []
-            for (key, trained, line, tokens), score in zip(lines, found):
-                spoken = line.split(b" ") if line else []
-                value = np.fromiter(map(words.__getitem__, spoken), np.float64, len(spoken))
-                rows.append((key, trained, tokens, int(np.count_nonzero(value)) + (end_count > 0), len(line) + 1,
-                             float(value.sum()) + end, score))
-            return _rows(rows, schema)
+            for at in range(0, len(lines), BATCH_ROWS):
+                some = lines[at:at + BATCH_ROWS]
+                rows = []
+                for (key, trained, line, tokens), score in zip(some, _score_texts([t for _, _, t, _ in some], keys,
+                                                                                  log_p, depth)):
+                    spoken = line.split(b" ") if line else []
+                    value = np.fromiter(map(words.__getitem__, spoken), np.float64, len(spoken))
+                    rows.append((key, trained, tokens, int(np.count_nonzero(value)) + (end_count > 0), len(line) + 1,
+                                 float(value.sum()) + end, score))
+                yield _rows(rows, schema)
 
         names = ("chunk", "kind", "id", "trained", "spelled", "tokens", "keys", "counts")
         for batch in batches:
@@ -500,7 +516,7 @@ def chunk_scores(texts: DataFrame, answered: DataFrame, end_count: int, depth: i
             for chunk, kind, key, trained, line, tokens, keys, counts in _groups([batch], *names):
                 if now != chunk:
                     if now is not None:
-                        yield closed()
+                        yield from closed()
                     now, lines, grams, words = chunk, [], [], {}
                 if kind == TEXTS:
                     lines.append((key, trained, line, tokens))
@@ -510,7 +526,7 @@ def chunk_scores(texts: DataFrame, answered: DataFrame, end_count: int, depth: i
                     value = np.log10(from_planes(counts) + 1.0)
                     words.update(zip(keys.split(b" "), value.tolist()))
         if now is not None:
-            yield closed()
+            yield from closed()
 
     both = (texts.select("chunk", "kind", "id", "trained", "spelled", "tokens")
             .unionByName(answered.select("chunk", "kind", "keys", "counts"), allowMissingColumns=True))
