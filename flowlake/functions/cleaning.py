@@ -28,6 +28,8 @@ TIMESTAMP_FORMATS: list[str] = [
     "M/d/yyyy H:mm",
 ]
 
+CAPTURE_FOLDER = "capture="
+
 BENIGN = "BENIGN"
 ATTACK = "ATTACK"
 STRAY_HEADER_LABEL = "Label"
@@ -44,9 +46,12 @@ def is_floating(data_type) -> bool:
 
 def capture_name(path: Column) -> Column:
     """Name of the capture a row came from: the file's base name, or the value of its
-    ``capture=`` folder where captures are stored as folders."""
-    folder = F.regexp_extract(path, r"/capture=([^/]+)/[^/]+$", 1)
-    return F.when(folder != "", folder).otherwise(F.regexp_extract(path, r"([^/]*)$", 1))
+    ``capture=`` folder where captures are stored as folders.  Plain searches for the last
+    slashes; no pattern runs over the path."""
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    in_folder = folder.startswith(CAPTURE_FOLDER) & path.contains("/" + CAPTURE_FOLDER)
+    return (F.when(in_folder, F.substring(folder, len(CAPTURE_FOLDER) + 1, 1 << 30))
+            .otherwise(F.substring_index(path, "/", -1)))
 
 
 def date_from_path(path: Column) -> Column:
@@ -55,7 +60,12 @@ def date_from_path(path: Column) -> Column:
     Folder names don't count.  One CASE with the last hint checked first ("last match
     wins").
     """
-    lowered = F.lower(capture_name(path))
+    return date_from_name(capture_name(path))
+
+
+def date_from_name(name: Column) -> Column:
+    """The same for a capture's name."""
+    lowered = F.lower(name)
     out = None
     for keyword, day in reversed(FILENAME_DATE_HINTS):
         cond = lowered.contains(keyword)
@@ -64,36 +74,33 @@ def date_from_path(path: Column) -> Column:
     return out.otherwise(F.lit(None).cast("date"))
 
 
-# Shape of each format above (same order).  Each pattern accepts every
-# string its format can parse (and more); the parser decides the rest.
-_DAY = r"0*([1-9]|[12][0-9]|3[01])"
-_MONTH = r"0*([1-9]|1[0-2])"
-_H24 = r"0*([0-9]|1[0-9]|2[0-3])"
-_H12 = r"0*([1-9]|1[0-2])"
-_MIN = r"[0-5][0-9]"
-_YEAR = r"[0-9]{4,}"
-TIMESTAMP_SHAPES: list[str] = [
-    rf"^{_DAY}/{_MONTH}/{_YEAR} {_H24}:{_MIN}$",
-    rf"^{_DAY}/{_MONTH}/{_YEAR} {_H24}:{_MIN}:{_MIN}$",
-    rf"^(?i){_MONTH}/{_DAY}/{_YEAR} {_H12}:{_MIN}:{_MIN} [ap]m$",
-    rf"^{_MONTH}/{_DAY}/{_YEAR} {_H24}:{_MIN}$",
-]
+# The formats above as patterns over their numbers.  Days, months and hours may have leading
+# zeros; minutes and seconds have two digits, years four.
+_DAY, _MONTH = r"0*([1-9]|[12][0-9]|3[01])", r"0*([1-9]|1[0-2])"
+_H24, _H12 = r"0*([0-9]|1[0-9]|2[0-3])", r"0*([1-9]|1[0-2])"
+_MIN_SEC, _YEAR = r"([0-5][0-9])", r"([0-9]{4})"
+_DAY_FIRST = rf"^{_DAY}/{_MONTH}/{_YEAR} {_H24}:{_MIN_SEC}((?::[0-5][0-9])?)$"
+_MONTH_FIRST_24 = rf"^{_MONTH}/{_DAY}/{_YEAR} {_H24}:{_MIN_SEC}$"
+_MONTH_FIRST_12 = rf"^(?i){_MONTH}/{_DAY}/{_YEAR} {_H12}:{_MIN_SEC}:{_MIN_SEC} [ap]m$"
 
 
-def parse_timestamp_multi(text: Column) -> Column:
-    """First format that parses, as a wall-clock ``timestamp_ntz``.
+def _iso(text: Column, pattern: str, order: str) -> Column:
+    """The text's numbers in ISO order, cast: null only where a month lacks the day."""
+    return F.regexp_replace(text, pattern, order).try_cast("timestamp_ntz")
 
-    ``try_to_timestamp`` (not ``to_timestamp``) so that a value in a later
-    format yields null for the earlier formats instead of raising under ANSI.
-    A failed parse costs a JVM exception, so each format is only tried when
-    the text has that format's shape (a cheap regex test): same results,
-    several times faster when formats are mixed.
-    """
-    parsed = F.coalesce(*[
-        F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(fmt)))
-        for fmt, shape in zip(TIMESTAMP_FORMATS, TIMESTAMP_SHAPES)
-    ])
-    return parsed.cast("timestamp_ntz")
+
+def parse_timestamp_multi(text: Column) -> Column:
+    """The first of TIMESTAMP_FORMATS that parses, as a wall-clock ``timestamp_ntz``.
+
+    The pattern that fits decides the format, so a miss costs no JVM exception: its numbers are put
+    in ISO order and cast once.  A text that fits day first but names no date (31/2) fits no
+    month-first format either."""
+    noon = F.when(text.rlike(r" 0*12:"), F.lit(-12)).otherwise(F.lit(0))
+    half = F.when(F.lower(text).endswith("pm"), F.lit(12)).otherwise(F.lit(0))
+    in_half_days = _iso(text, _MONTH_FIRST_12, "$3-$1-$2 $4:$5:$6") + F.make_interval(hours=noon + half)
+    return (F.when(text.rlike(_DAY_FIRST), _iso(text, _DAY_FIRST, "$3-$2-$1 $4:$5$6"))
+            .when(text.rlike(_MONTH_FIRST_24), _iso(text, _MONTH_FIRST_24, "$3-$1-$2 $4:$5"))
+            .when(text.rlike(_MONTH_FIRST_12), in_half_days))
 
 
 def attack_category(label: Column) -> Column:

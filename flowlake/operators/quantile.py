@@ -11,20 +11,17 @@ value->count map of the whole group in one aggregation buffer, and even
 found with exact histograms, each an ordinary ``groupBy().count()`` with
 partial aggregation, so no step ever runs in one task over the whole data:
 
-1. one pass: counts per *magnitude band* (64 bands per power of two,
-   ``floor(log2|x| * 64)``; the key is monotone in x).  A running sum over
-   the band rows (a few thousand at most) picks the band holding rank k and
-   gives n, the rows below it and the band's exact min and max;
-2. ``rounds`` passes, always: a histogram of ``buckets`` equal-width buckets over
-   the range narrows it the same way;
-3. a final pass counts the remaining values one by one and a running sum
-   finds the value.  A band holds 2**46 doubles, so after two rounds of 65,536
-   buckets at most 2**14 different values are left, whatever the input holds.
-
-The passes are the same at every size; only a range of a single value ends early.
-
-Every count is exact, so correctness never depends on an estimate.  What
-reaches the driver is one row per pass.
+1. first scan: counts per *magnitude band* (1,024 bands per power of two,
+   ``floor(log2|x| * 1024)``; the key is monotone in x, so a band is a bracket that can't miss).
+   A running sum over the band rows (some tens of thousands) picks the band that holds
+   rank k, with n, the rows below it and its exact min and max;
+2. second scan: the counts per value of that band's rows go to a written table;
+3. ``rounds`` histograms of ``buckets`` equal-width buckets narrow that table, and a running
+   sum over the values that are left finds the value.  A band holds 2**42 doubles, so after two
+   rounds of 65,536 buckets at most 2**10 different ones are left, whatever the input holds.
+
+The input is scanned twice at any size; only a band of a single value needs no second scan.  Every
+count is exact.  What reaches the driver is one row per step.
 """
 
 from __future__ import annotations
@@ -34,9 +31,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowlake.session import scratch_path
+
 ROUNDS = 2
 BUCKETS = 65_536
-BANDS_PER_OCTAVE = 64
+BANDS_PER_OCTAVE = 1024
 # Keys of positive values start above every negative key: bands of finite
 # doubles lie in [-1075, 1024) octaves.
 _BAND_OFFSET = 1100 * BANDS_PER_OCTAVE
@@ -64,24 +63,31 @@ def _pick(hist: DataFrame, rank: Column | int) -> DataFrame:
         "lo", "hi", "c", (F.col("cum") - F.col("c")).alias("before"), "n")
 
 
-def _final(values: DataFrame, lo: float, hi: float, rank: int) -> DataFrame:
-    """One pass over [lo, hi]: per-value counts, running sum, the value at rank."""
-    x = F.col("x")
+def _final(counts: DataFrame, lo: float, hi: float, rank: int) -> DataFrame:
+    """Counts per value within [lo, hi], running sum, the value at rank."""
     running = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        values.where(x.between(F.lit(lo), F.lit(hi)))
-        .groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+        counts.where(F.col("x").between(F.lit(lo), F.lit(hi)))
+        .groupBy("x").agg(F.sum("c").alias("c"))
         .withColumn("cum", F.sum("c").over(running))
         .agg(F.min(F.when(F.col("cum") >= F.lit(rank), F.col("x"))).alias("value"),
              (F.max("cum") >= F.lit(rank)).alias("ok"))
     )
 
 
+def _value_counts(values: DataFrame, lo: float, hi: float) -> DataFrame:
+    """Counts per value within [lo, hi], written once to the shared folder."""
+    path = scratch_path(values.sparkSession, "percentile")
+    (values.where(F.col("x").between(F.lit(lo), F.lit(hi)))
+     .groupBy("x").agg(F.count(F.lit(1)).alias("c")).write.parquet(path))
+    return values.sparkSession.read.schema("x double, c long").parquet(path)
+
+
 def exact_percentile_frame(df: DataFrame, column: str, p: float, rounds: int = ROUNDS,
                            buckets: int = BUCKETS) -> DataFrame | None:
     """One-row DataFrame ``(value, ok)`` with the exact percentile, or None
-    when the column has no finite value.  The narrowing passes run eagerly;
-    the returned frame is the (lazy) final pass."""
+    when the column has no finite value.  ``df`` is scanned twice; all but the last
+    step runs eagerly."""
     if not 0.0 <= p <= 1.0:
         raise ValueError("percentile must be in [0, 1]")
     if buckets < 2:
@@ -100,26 +106,26 @@ def exact_percentile_frame(df: DataFrame, column: str, p: float, rounds: int = R
     hit = _pick(bands.withColumn("rank", rank_col), F.col("rank")).first()
     if hit is None:
         return None
-    n = hit["n"]
-    rank = _rank(p, n) - hit["before"]
+    rank = _rank(p, hit["n"]) - hit["before"]
     lo, hi = hit["lo"], hit["hi"]
+    spark = values.sparkSession
+    if lo == hi:
+        return spark.createDataFrame([(float(lo), True)], "value double, ok boolean")
+    counts = _value_counts(values, lo, hi)
     for _ in range(rounds):
         if lo == hi:
             break
-        width = hi - lo
-        bucket = F.least(F.floor((x - F.lit(lo)) / F.lit(width) * F.lit(buckets)),
-                         F.lit(buckets - 1)).cast("long")
-        in_range = values.where(x.between(F.lit(lo), F.lit(hi)))
-        hist = in_range.groupBy(bucket.alias("key")).agg(
-            F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        bucket = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(buckets)), F.lit(buckets - 1)).cast("long")
+        hist = counts.where(x.between(F.lit(lo), F.lit(hi))).groupBy(bucket.alias("key")).agg(
+            F.sum("c").alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
         hit = _pick(hist, rank).first()
         if hit is None:  # counts are exact, so the rank always falls in a bucket
             raise RuntimeError(f"exact percentile: rank {rank} not found in [{lo}, {hi}]")
         rank -= hit["before"]
         lo, hi = hit["lo"], hit["hi"]
     if lo == hi:
-        return values.sparkSession.createDataFrame([(float(lo), True)], "value double, ok boolean")
-    return _final(values, lo, hi, rank)
+        return spark.createDataFrame([(float(lo), True)], "value double, ok boolean")
+    return _final(counts, lo, hi, rank)
 
 
 def exact_percentile(df: DataFrame, column: str, p: float, **kw) -> float | None:

@@ -13,11 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.functions.cleaning import FILENAME_DATE_HINTS, TIMESTAMP_FORMATS, capture_name
+from flowlake.functions.cleaning import TIMESTAMP_FORMATS, capture_name
 from flowlake.functions.columns import resolve_aliases, unique_names
 from flowlake.operators.clean import SOURCE_FILE
 from flowlake.operators.reconcile import reconcile_counts
-from flowlake.sources.csv import header_groups, parse_header, source_path
+from flowlake.sources.captures import by_file, captures
+from flowlake.sources.csv import header_groups, parse_header
 
 
 def source_name(path: Column) -> Column:
@@ -25,17 +26,19 @@ def source_name(path: Column) -> Column:
     return capture_name(path)
 
 
-def _dated(time: Column | None, capture: Column) -> Column:
-    """A row counts as dated by its capture's weekday or by a readable time."""
-    days = "|".join(day for day, _ in FILENAME_DATE_HINTS)
-    dated = capture.rlike(f"(?i){days}")
+def _readable(time: Column | None) -> Column:
+    """Does the cell hold a time in one of the accepted formats?  A parse is only tried on text
+    that looks like one: a failed one costs an exception."""
     if time is None:
-        return dated
-    return dated | F.coalesce(*[F.try_to_timestamp(time, F.lit(f)) for f in TIMESTAMP_FORMATS]).isNotNull()
+        return F.lit(False)
+    tried = F.coalesce(*[F.try_to_timestamp(time, F.lit(f)) for f in TIMESTAMP_FORMATS])
+    return F.when(time.rlike(r"^[0-9]+/[0-9]+/[0-9]+ [0-9]+:[0-9]+"), tried.isNotNull()).otherwise(F.lit(False))
 
 
 def raw_label_recount(spark: SparkSession, pattern: str) -> DataFrame:
-    """(source_name, label, raw_flow_count) straight from the text lines."""
+    """(source_name, label, raw_flow_count) straight from the text lines.
+
+    Lines are counted per file; the captures table then tells each file's name and day."""
     frames = []
     for header, files in header_groups(spark, pattern).items():
         names = unique_names(parse_header(header))
@@ -44,27 +47,27 @@ def raw_label_recount(spark: SparkSession, pattern: str) -> DataFrame:
             raise ValueError(f"no label column in header of {files[0]}")
         ddl = ", ".join(f"c{i} STRING" for i in range(len(names)))
         cells = spark.read.text(files).select(
-            F.from_csv("value", ddl).alias("cells"), source_name(source_path()).alias("source_name"))
+            F.from_csv("value", ddl).alias("cells"), F.col("_metadata.file_path").alias("file_path"))
         cell = lambda name: F.col(f"cells.c{names.index(found[name])}")
         frames.append(cells.select(
-            cell("label").alias("cell"), "source_name",
-            _dated(cell("timestamp") if "timestamp" in found else None, F.col("source_name")).alias("dated")))
+            F.trim(cell("label")).alias("label"), "file_path",
+            _readable(cell("timestamp") if "timestamp" in found else None).alias("timed")))
     out = frames[0]
     for df in frames[1:]:
         out = out.unionByName(df)
-    label = F.trim(F.col("cell"))
-    return (
-        out.where(label.isNotNull() & (label != F.lit("Label")) & F.col("dated"))
-        .groupBy("source_name", label.alias("label"))
-        .agg(F.count(F.lit(1)).alias("raw_flow_count"))
-    )
+    counted = (out.where(F.col("label").isNotNull() & (F.col("label") != F.lit("Label")))
+               .groupBy("file_path", "label", "timed").agg(F.count(F.lit(1)).alias("n")))
+    return (by_file(counted, captures(spark, pattern, header=""))
+            .where(F.col("timed") | F.col("capture_date").isNotNull())
+            .groupBy(F.col("capture").alias("source_name"), "label")
+            .agg(F.sum("n").alias("raw_flow_count")))
 
 
 def fact_label_counts_by_source(fact: DataFrame) -> DataFrame:
-    return (
-        fact.groupBy(source_name(F.col(SOURCE_FILE)).alias("source_name"), "label")
-        .agg(F.count(F.lit(1)).alias("fact_flow_count"))
-    )
+    """Counted per path first: names are taken from a row per path and label."""
+    counted = fact.groupBy(SOURCE_FILE, "label").agg(F.count(F.lit(1)).alias("n"))
+    return (counted.groupBy(source_name(F.col(SOURCE_FILE)).alias("source_name"), "label")
+            .agg(F.sum("n").alias("fact_flow_count")))
 
 
 def validate_labels(spark: SparkSession, pattern: str, fact: DataFrame) -> DataFrame:

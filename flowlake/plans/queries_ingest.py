@@ -20,6 +20,7 @@ from flowlake.plans.oracle import with_ctes
 from flowlake.plans.registry import register
 from flowlake.session import configure, scratch_path
 from flowlake.sources import csv as S
+from flowlake.sources.captures import by_file, captures
 from flowlake.sources.flows import raw_flows
 
 _WRITTEN: dict[tuple[str, str], str] = {}
@@ -87,9 +88,20 @@ def q_raw_line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.raw_line_count(spark, flows_csv(spark, sf_dir))
 
 
-@register("smallest_file")
+@register("smallest_file", with_ctes("raw", body="""
+SELECT count(DISTINCT _source_file) AS captures, CAST(0 AS BIGINT) AS smaller_files, count(*) AS rows_of_its_kind
+FROM raw"""))
 def q_smallest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.smallest_file(spark, flows_csv(spark, sf_dir))
+    """The pick against the captures table: captures listed, files smaller than it, and the
+    rows of all files with the pick's header (all share one)."""
+    files = captures(spark, flows_csv(spark, sf_dir))
+    pick = S.smallest_file(spark, flows_csv(spark, sf_dir))
+    header = files.join(pick.select("file_path"), "file_path").select("header").scalar()
+    alike = files.where(F.col("header") == header)
+    counted = by_file(S.raw_line_counts(spark, flows_csv(spark, sf_dir)), alike)
+    return files.agg(F.count_distinct("capture").alias("captures"),
+                     F.count_if(F.col("file_size") < pick.select("file_size").scalar()).alias("smaller_files"),
+                     ).withColumn("rows_of_its_kind", counted.agg(F.sum("raw_rows")).scalar())
 
 
 def _header_rows(spark: SparkSession, sf_dir: str) -> list[str]:

@@ -22,6 +22,7 @@ from flowlake.functions.cleaning import capture_name
 from flowlake.functions.columns import CANONICAL_TYPES, resolve_aliases, unique_names
 from flowlake.operators.clean import SOURCE_FILE
 from flowlake.sources import fs
+from flowlake.sources.captures import captures, first_lines, source_path
 
 # Text shapes that inference knows.  Integers beyond a bigint are decimals, so no
 # digit is lost; numbers of other shapes and inf/nan literals are doubles.
@@ -38,23 +39,18 @@ def parse_header(line: str) -> list[str]:
     return next(_csv.reader(io.StringIO(line.lstrip("\ufeff"))))
 
 
-def source_path(c: Column | None = None) -> Column:
-    """Decoded source URI of each row (``+`` kept, ``%xx`` decoded)."""
-    raw = F.col("_metadata.file_path") if c is None else c
-    return F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
-
-
-def header_groups(spark: SparkSession, pattern: str,
-                  header: str | None = None) -> "OrderedDict[str, list[str]]":
-    """Files grouped by their first line.  With ``header`` given (all files
-    known to share it) no file is opened on the driver."""
-    files = [p for p, _ in fs.glob_files(spark, pattern)]
+def header_groups(spark: SparkSession, pattern: str, header: str | None = None) -> "OrderedDict[str, list[str]]":
+    """Files grouped by their first line (read by Spark tasks).  With ``header`` given (all files
+    known to share it) no file is read for it."""
+    files = fs.glob_files(spark, pattern)
     if not files:
         raise FileNotFoundError(f"no files match {pattern}")
     if header is not None:
-        return OrderedDict([(header, files)])
+        return OrderedDict([(header, [p for p, _ in files])])
+    lines = first_lines(spark, files)
     groups: OrderedDict[str, list[str]] = OrderedDict()
-    for path, line in zip(files, fs.first_lines(spark, files)):
+    for path, _ in files:
+        line = lines.get(path)
         if line and line.strip("\ufeff \t\r"):  # an empty capture has no rows
             groups.setdefault(line, []).append(path)
     if not groups:
@@ -165,10 +161,9 @@ def raw_line_count(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def smallest_file(spark: SparkSession, pattern: str) -> DataFrame:
-    """The smallest input file (ties broken by path)."""
-    files = spark.read.format("binaryFile").load(pattern).select("path", "length")
-    return files.orderBy("length", "path").limit(1).select(
-        F.col("path").alias("file_path"), F.col("length").alias("file_size"))
+    """The smallest input file (ties broken by path), from the captures table."""
+    return captures(spark, pattern, header="").orderBy("file_size", "file_path").limit(1).select(
+        "file_path", "capture", "file_size")
 
 
 def rows_of_source_file(df: DataFrame, name: str) -> DataFrame:

@@ -1,13 +1,12 @@
 """Hadoop FileSystem helpers (any scheme Spark can read: file, hdfs, s3a, ...).
 
-Only metadata goes through the driver here: listings, one header line per
-file, directory deletes.  Data is always read by Spark tasks.
+Only metadata goes through the driver here: listings, small records,
+directory deletes.  Data is always read by Spark tasks.
 """
 
 from __future__ import annotations
 
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -52,40 +51,6 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().toString() for st in fs.listStatus(p) if st.isDirectory())
 
 
-HEADER_BYTES = 1 << 20
-
-
-def first_line(spark: SparkSession, path: str) -> str | None:
-    """The first line of a file, decompressed when the file name says so (``.gz``,
-    ``.bz2``, ...) the same way Spark's readers do.  A line that doesn't end within
-    HEADER_BYTES is no header: an error, never a cut or a read of the whole file."""
-    jvm = _jvm(spark)
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
-        spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
-    if codec is not None:
-        stream = codec.createInputStream(stream)
-    try:
-        head = b""
-        while b"\n" not in head and b"\r" not in head:
-            block = bytes(stream.readNBytes(1 << 16))
-            head += block
-            if not block:
-                break
-            if len(head) > HEADER_BYTES:
-                raise ValueError(f"{path}: no line break in the first {HEADER_BYTES} bytes")
-        lines = head.splitlines()
-        return lines[0].decode("utf-8", "replace") if lines else None
-    finally:
-        stream.close()
-
-
-def first_lines(spark: SparkSession, paths: list[str], threads: int = 64) -> list[str | None]:
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths) or 1))) as pool:
-        return list(pool.map(lambda p: first_line(spark, p), paths))
-
-
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))

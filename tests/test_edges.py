@@ -85,16 +85,16 @@ def test_inference_keeps_every_digit(spark, tmp):
 
 def test_empty_captures_and_endless_headers(spark, tmp):
     from flowlake.operators import validate as V
-    from flowlake.sources import fs
+    from flowlake.sources import captures
     Path(tmp, "Friday-empty.csv").write_text("")
     with pytest.raises(ValueError, match="empty"):
         S.csv_scan(spark, f"{tmp}/*.csv")
     write(tmp, "Monday-a.csv", [HEADER, "1,10.0.0.1,3/7/2017 9:01,1,1,1,BENIGN"])
     fact = fact_of(spark, f"{tmp}/*.csv")
     assert [r.match for r in V.validate_labels(spark, f"{tmp}/*.csv", fact).collect()] == [True]
-    Path(tmp, "endless.txt").write_text("a" * (fs.HEADER_BYTES + (1 << 17)))
+    Path(tmp, "Monday-endless.csv").write_text("a" * (captures.HEADER_BYTES + (1 << 17)))
     with pytest.raises(ValueError, match="no line break"):
-        fs.first_line(spark, f"{tmp}/endless.txt")
+        S.csv_scan(spark, f"{tmp}/*.csv")
 
 
 def test_gate_sees_a_row_in_the_wrong_file(spark, tmp):

@@ -57,3 +57,14 @@ def test_no_python_udfs_in_the_cleaning_plan(spark, tmp_path_factory):
     text = plan_text(clean, "formatted")
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
     assert "Exchange" not in text  # cleaning never shuffles
+
+
+def test_cleaning_parses_once_and_runs_no_pattern_over_paths(spark, tmp_path_factory):
+    raw = tmp_path_factory.mktemp("raw3")
+    shutil.copy(FIXTURE_DIR / "Monday-fixture.csv", raw / "Monday-fixture.csv")
+    from flowlake.plans.facts import build_fact
+    clean, _ = build_fact(S.csv_scan(spark, f"{raw}/*.csv"))
+    physical = plan_text(clean, "extended").split("== Physical Plan ==")[1]
+    assert "regexp_extract" not in physical
+    assert physical.count("as timestamp_ntz") == 3       # three patterns, each cast in one place
+    assert physical.count("substring_index") == 5        # the capture's name, worked out in one place
