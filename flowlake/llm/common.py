@@ -40,12 +40,14 @@ def lower_ascii(col: Column) -> Column:
 
 
 def worker_state(name: str, build):
-    """A value kept for the life of a Python worker (models, word caches)."""
+    """A value kept in a Python worker (models, word caches).  Workers serve one operator after
+    another, so only the last value asked for is kept: a new one frees the one before."""
     home = sys.modules.setdefault("_flowlake_worker_state",
                                   types.ModuleType("_flowlake_worker_state"))
-    if not hasattr(home, name):
-        setattr(home, name, build())
-    return getattr(home, name)
+    if getattr(home, "name", None) != name:
+        home.name, home.value = None, None
+        home.name, home.value = name, build()
+    return home.value
 
 
 def sorted_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
@@ -67,7 +69,7 @@ def sorted_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[
 
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _K = np.uint64(0xD6E8FEB86659FD93)
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -95,7 +97,7 @@ PUNCTUATION_BYTES = ~np.array([chr(b).isalnum() or b > 127 for b in range(256)])
 
 def word_hashes(texts: list[bytes], gaps: np.ndarray = BLANK_BYTES) -> list[np.ndarray]:
     """For each text, one 64-bit hash per word; words are runs of bytes outside
-    ``gaps`` (space and 0x09-0x0D).  Texts are hashed about a megabyte at a time."""
+    ``gaps`` (space and 0x09-0x0D).  Texts are hashed about a quarter of a megabyte at a time."""
     out: list[np.ndarray] = []
     group: list[bytes] = []
     size = 0

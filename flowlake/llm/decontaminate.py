@@ -85,8 +85,24 @@ def samples_of(n_words: int) -> int:
     return max(k for least, k in CLASSES if n_words >= least)
 
 
-def _bits(keys: np.ndarray) -> np.ndarray:
-    return (keys & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+class Bits:
+    """A set of FILTER_BITS bits, eight to a byte, addressed by the low bits of keys."""
+
+    def __init__(self):
+        self.packed = np.zeros(FILTER_BITS >> 3, np.uint8)
+
+    @staticmethod
+    def _places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        low = (keys & np.uint64(FILTER_BITS - 1)).astype(np.uint32)
+        return low >> np.uint32(3), np.uint8(1) << (low & np.uint32(7)).astype(np.uint8)
+
+    def add(self, keys: np.ndarray) -> None:
+        at, bit = self._places(keys)
+        np.bitwise_or.at(self.packed, at, bit)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        at, bit = self._places(keys)
+        return (self.packed[at] & bit) != 0
 
 
 @dataclass
@@ -105,14 +121,14 @@ class Tiles:
         offset = np.concatenate([np.arange(len(c)) * q for c in codes])
         flat = np.concatenate(codes)
         order = np.argsort(flat, kind="stable")
-        bitmap = np.zeros(FILTER_BITS, bool)
-        bitmap[_bits(mix(flat))] = True
+        bitmap = Bits()
+        bitmap.add(mix(flat))
         return Tiles(q, flat[order], owner[order], offset[order], bitmap)
 
     def hits(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """(item, diagonal) of each tile found in the text, ascending."""
         code = grams(text, self.q)
-        some = np.flatnonzero(self.bitmap[_bits(mix(code))])
+        some = np.flatnonzero(self.bitmap.has(mix(code)))
         low, high = (np.searchsorted(self.codes, code[some], side) for side in ("left", "right"))
         n = high - low
         tile = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - low, n)
@@ -129,7 +145,7 @@ class Items:
     keys: np.ndarray
     owner: np.ndarray
     offset: np.ndarray
-    bitmaps: dict[int, np.ndarray]     # by samples: begins some item's key
+    bitmaps: dict[int, Bits]     # by samples: begins some item's key
     tiles: list[Tiles]
     begins: dict[int, list[int]]        # byte offsets of the words of walked items
 
@@ -157,15 +173,15 @@ class Items:
         place = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         samples = np.repeat(np.array([samples_of(n) for n in sizes], np.int64), sizes)
         words = np.concatenate([*hashed, np.zeros(STEPS, np.uint64)])
-        bitmaps = {k: np.zeros(FILTER_BITS, bool) for k in range(1, CLASSES[-1][1] + 1)}
-        bitmaps[1][_bits(words[:len(of)])] = True
+        bitmaps = {k: Bits() for k in range(1, CLASSES[-1][1] + 1)}
+        bitmaps[1].add(words[:len(of)])
         found = []
         for r in range(REPETITIONS):
             going = walk(words, np.arange(len(of)), r)
             level, which, at, key = next(going)
             while True:
                 inside = (at < ends[which]) & (level <= samples[which])
-                bitmaps[level][_bits(key[inside])] = True
+                bitmaps[level].add(key[inside])
                 whole = inside & (level == samples[which])
                 found.append((key[whole], of[which[whole]], place[which[whole]]))
                 try:
@@ -188,13 +204,13 @@ class Items:
         begin = np.cumsum(sizes + STEPS) - (sizes + STEPS)
         pad = mix(np.arange(STEPS, dtype=np.uint64) + np.uint64(1 << 60))
         padded = np.concatenate([x for t in texts for x in (t, pad)])
-        starts = np.flatnonzero(self.bitmaps[1][_bits(padded)])
+        starts = np.flatnonzero(self.bitmaps[1].has(padded))
         whole = {k for _, k in CLASSES}
         for r in range(REPETITIONS):
             going = walk(padded, starts, r)
             level, which, _, key = next(going)
             while True:
-                on = self.bitmaps[level][_bits(key)]
+                on = self.bitmaps[level].has(key)
                 if level in whole:
                     some = np.flatnonzero(on)
                     low, high = np.searchsorted(self.keys, key[some]), np.searchsorted(self.keys, key[some], "right")

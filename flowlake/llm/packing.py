@@ -28,7 +28,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,6 +37,7 @@ from flowlake.llm.common import worker_state, written
 
 CAPACITY = 2048
 SLICES = 256
+BATCH_ROWS = 256
 PIECE_SCHEMA = "__id {id}, piece int, start long, length long, ids_crc32 long"
 
 
@@ -111,20 +112,26 @@ def tokenised_pieces(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id
         schema += ", ids binary"
     end = np.array([end_id], "<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["__id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = worker_state("word_ids:" + tokenizer_file, lambda: WordIds(tokenizer_file))
         width = 4 * capacity
+        types = [None, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
-            rows = []
-            for key, text in zip(batch["__id"], batch["__text"]):
-                ids = words.ids(text) + end
-                for k, at in enumerate(range(0, len(ids), width)):
-                    part = ids[at:at + width]
-                    rows.append((key, k, at // 4, len(part) // 4, zlib.crc32(part), part))
-            out = pd.DataFrame(rows, columns=["__id", "piece", "start", "length", "ids_crc32", "ids"])
-            yield out if with_ids else out.drop(columns="ids")
-
-    return docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInPandas(run, schema)
+            for first in range(0, batch.num_rows, BATCH_ROWS):      # few texts are Python objects at a time
+                some = batch.slice(first, BATCH_ROWS)
+                types[0] = some.column(0).type
+                rows = []
+                for key, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                    ids = words.ids(text) + end
+                    for k, at in enumerate(range(0, len(ids), width)):
+                        part = ids[at:at + width]
+                        row = (key, k, at // 4, len(part) // 4, zlib.crc32(part))
+                        rows.append((*row, part) if with_ids else row)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    return docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(run, schema)
 
 
 # --- the plan ----------------------------------------------------------------

@@ -323,3 +323,20 @@ def test_pipeline_equals_its_plain_twin(spark):
     rows = pipeline.STAGES[4][1](spark, docs, SF_DIR).collect()
     assert check_packing(rows, {i: r["text"] for i, r in after.items()}, 2048) <= sum(r["length"] for r in rows) / 2048 * 1.02 + 1
 
+
+
+def test_near_duplicate_stage_tells_rows_apart_whatever_their_ids(spark):
+    import corpus_pipeline as pipeline
+
+    t, near = "one two three four five six seven eight nine ten " * 3, "another text that nothing else is like at all"
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, t), (5, t), (5, near), (None, t), (None, t), (1, t), (None, None), (None, None), (5, "")]
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x or "")) for i, x in rows], schema)
+    kept = pipeline.keep_one_of_each_group(spark, docs, "")
+    assert kept.columns == docs.columns
+    # one row of the group, under its first id; texts without words are linked with nothing
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(1, t), (5, near), (None, None), (None, None), (5, "")], key=str)
+    unnamed = pipeline.keep_one_of_each_group(spark, docs.filter("doc_id is null and text is not null"), "")
+    assert [(r["doc_id"], r["text"]) for r in unnamed.collect()] == [(None, t)]
+    assert pipeline.keep_one_of_each_group(spark, docs.limit(0), "").collect() == []
