@@ -38,10 +38,15 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the smallest doc_id stays."""
-    joined = ngram_join.join_documents(docs)
-    gone = joined.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    """Of each group of near-duplicates one row stays: the first by doc_id (nulls last).
+
+    Rows are numbered in a written table, so that rows are told apart whatever their ids: equal and
+    null ids are thinned like others, and no row goes but by its own text."""
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.col("__row").alias("row"))
+    joined = ngram_join.join_documents(rows.select(key.alias("key"), "text"), id_col="key")
+    kept = joined.filter(F.col("component_id.row") == F.col("key.row")).select(F.col("key.row").alias("__row"))
+    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
