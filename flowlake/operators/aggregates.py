@@ -19,6 +19,21 @@ WINDOW = "5 minutes"
 THRESHOLD_PERCENTILE = 0.99
 
 
+#: What each aggregate reads: fact columns, and canonical columns where the input has them.
+READS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
+    "label_counts": (("event_date", "label", "attack_category"), ()),
+    "src_ip_window_counts": (("event_time", "label", "attack_category"),
+                             ("source_ip", "total_len_fwd_packets", "total_len_bwd_packets")),
+    "anomaly_threshold_counts": (("event_date", "label", "attack_category"), ("source_ip", "flow_packets_per_sec")),
+}
+
+
+def columns_read(cols: dict[str, str]) -> list[str]:
+    """The fact columns that the aggregates read, in name order."""
+    names = {name for fixed, _ in READS.values() for name in fixed}
+    return sorted(names | {cols[c] for _, optional in READS.values() for c in optional if c in cols})
+
+
 def label_counts(fact: DataFrame) -> DataFrame:
     """A1: flows per (event_date, label, attack_category)."""
     return fact.groupBy("event_date", "label", "attack_category").agg(

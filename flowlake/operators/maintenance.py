@@ -8,19 +8,19 @@ whole segment folders and the tiny result rows they produce.
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 import json
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType, BooleanType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
 from flowlake.sources import fs
-from flowlake.sources.snapshots import SnapshotStore
+from flowlake.sources.snapshots import Commit, SnapshotStore, row_hash
 
 # Tables of one run, their partitioning, and which are required.
 TABLES: dict[str, list[str]] = {
@@ -34,7 +34,6 @@ RETENTION_PROPERTIES = {
     "log_retention": "interval 30 days",
     "deleted_file_retention": "interval 7 days",
 }
-DELETED_FILE_RETENTION = dt.timedelta(days=7)
 WAREHOUSE_PARTITION_EXPIRY_DAYS = 60
 
 
@@ -107,20 +106,43 @@ def orphan_segments(store: SnapshotStore, name: str) -> DataFrame:
         F.timestamp_millis("mtime_ms").alias("removed_at"))
 
 
-def retention_candidates(store: SnapshotStore, name: str,
-                         now: dt.datetime | None = None,
-                         keep: dt.timedelta = DELETED_FILE_RETENTION) -> DataFrame:
-    """K12 (dry run): segments not in the current version (J3 anti join)
-    whose removal is older than the retention period, plus uncommitted
-    (orphan) segment folders older than it."""
+def _cutoff(store: SnapshotStore, name: str, key: str, now: dt.datetime | None) -> Column:
+    """The table's own period (an interval property, parsed by Spark) before ``now``."""
     now = now or dt.datetime.now(dt.timezone.utc)
     if now.tzinfo is None:
         now = now.replace(tzinfo=dt.timezone.utc)
-    cutoff = now - keep
+    period = store.commit(name).properties.get(key, RETENTION_PROPERTIES[key])
+    return F.lit(now) - F.lit(period).cast("interval")
+
+
+def expired_records(store: SnapshotStore, name: str, now: dt.datetime | None = None) -> DataFrame:
+    """Commit records superseded longer ago than ``log_retention``, oldest first.  A version
+    goes only with all older ones, so what is left of the history has no gap."""
+    hist = store.history(name).select("version", "committed_at")
+    superseded = hist.select((F.col("version") - 1).alias("version"), F.col("committed_at").alias("superseded_at"))
+    cutoff = _cutoff(store, name, "log_retention", now)
+    kept = (hist.join(superseded, "version", "left")
+            .where(F.col("superseded_at").isNull() | (F.col("superseded_at") >= cutoff))
+            .agg(F.min("version")).scalar())
+    return (hist.join(superseded, "version").where(F.col("version") < kept)
+            .select(F.lit(name).alias("table"), "version", "superseded_at").orderBy("version"))
+
+
+def retention_candidates(store: SnapshotStore, name: str,
+                         now: dt.datetime | None = None,
+                         keep: dt.timedelta | None = None) -> DataFrame:
+    """K12 (dry run): segments not in the current version (J3 anti join)
+    whose removal is older than the table's ``deleted_file_retention`` (or ``keep``),
+    plus uncommitted (orphan) segment folders older than it."""
+    if keep is not None:
+        now = now or dt.datetime.now(dt.timezone.utc)
+        cutoff = F.lit((now if now.tzinfo else now.replace(tzinfo=dt.timezone.utc)) - keep)
+    else:
+        cutoff = _cutoff(store, name, "deleted_file_retention", now)
     dead = segment_lifetimes(store, name).join(live_segments(store, name), "segment", "left_anti")
     return (
         dead.unionByName(orphan_segments(store, name))
-        .where(F.col("removed_at").isNotNull() & (F.col("removed_at") < F.lit(cutoff)))
+        .where(F.col("removed_at").isNotNull() & (F.col("removed_at") < cutoff))
         .select(F.lit(name).alias("table"), "segment", "last_version", "removed_at")
     )
 
@@ -143,7 +165,8 @@ AUDIT_SCHEMA = StructType([
 
 
 def _audit_dir(store: SnapshotStore, run_id: str) -> str:
-    return f"{store.root}/_retention/{hashlib.sha256(run_id.encode()).hexdigest()}"
+    """One folder per run, named by the run id itself (letters that names can't hold, escaped)."""
+    return f"{store.root}/_retention/run-{quote(run_id, safe='')}"
 
 
 def _audit_write(store: SnapshotStore, run_id: str, seq: int, rows: list[tuple]) -> None:
@@ -163,14 +186,18 @@ def read_audit(store: SnapshotStore, run_id: str) -> DataFrame:
     return store.spark.read.schema(schema).json(f"{path}/*.json")
 
 
-def retention_apply(store: SnapshotStore, run_id: str, tables=tuple(TABLES),
-                    now: dt.datetime | None = None) -> DataFrame:
+def retention_apply(store: SnapshotStore, run_id: str, tables=tuple(TABLES), now: dt.datetime | None = None,
+                    properties: dict[str, dict[str, str]] | None = None) -> DataFrame:
     """Dry run -> audit row (running) -> delete -> re-list -> audit row.
 
     Candidates are recorded before anything is deleted; a retry appends a
     new attempt; ``removed`` counts only segments seen present before and
     absent after.  The run ends with a ``run`` row of status complete or
-    failed.  Returns the audit rows of this run."""
+    failed.  Returns the audit rows of this run.
+
+    Each table's properties are set right first: RETENTION_PROPERTIES, or what ``properties``
+    says for that table.  Its own periods then decide, for segments and for commit records
+    (a record only goes once none of its segments is left)."""
     existing = read_audit(store, run_id).agg(F.max("seq")).first()[0]
     seq = 0 if existing is None else existing + 1
     attempt = uuid.uuid4().hex[:12]
@@ -185,17 +212,19 @@ def retention_apply(store: SnapshotStore, run_id: str, tables=tuple(TABLES),
                                                    False, None, [], [], [], 0, None, None)])
                 seq += 1
                 continue
-            store.set_properties(name, RETENTION_PROPERTIES)
+            store.set_properties(name, {**RETENTION_PROPERTIES, **(properties or {}).get(name, {})})
             before = store.latest_version(name)
             cands = [r["segment"] for r in retention_candidates(store, name, now).collect()]
             data = f"{store.path(name)}/data"
-            present = [s for s in cands if fs.exists(store.spark, f"{data}/{s}")]
+            present = _among(store, data, cands)
             _audit_write(store, run_id, seq, [(run_id, store.root, name, attempt, "running", True,
                                                before, cands, present, None, None, None, None)])
             seq += 1
-            for s in present:
-                fs.delete(store.spark, f"{data}/{s}")
-            removed = [s for s in present if not fs.exists(store.spark, f"{data}/{s}")]
+            with ThreadPoolExecutor(max_workers=16) as pool:
+                list(pool.map(lambda s: fs.delete(store.spark, f"{data}/{s}"), present))
+            left = set(_among(store, data, present))
+            removed = [s for s in present if s not in left]
+            _forget_records(store, name, now)
             _audit_write(store, run_id, seq, [(run_id, store.root, name, attempt, "complete", True,
                                                before, cands, present, removed, len(removed),
                                                store.latest_version(name), None)])
@@ -209,6 +238,23 @@ def retention_apply(store: SnapshotStore, run_id: str, tables=tuple(TABLES),
     return read_audit(store, run_id).where(F.col("attempt") == attempt).orderBy("seq")
 
 
+def _among(store: SnapshotStore, data: str, segments: list[str]) -> list[str]:
+    """Those of the segments that are on disk: one listing."""
+    listed = set(fs.list_names(store.spark, data))
+    return [s for s in segments if s in listed]
+
+
+def _forget_records(store: SnapshotStore, name: str, now: dt.datetime | None) -> None:
+    """Delete expired commit records, oldest first, up to the first one that still has a segment
+    of its own on disk."""
+    live = set(store.commit(name).segments)
+    listed = set(fs.list_names(store.spark, f"{store.path(name)}/data"))
+    for row in expired_records(store, name, now).collect():
+        if any(s in listed and s not in live for s in store.commit(name, row["version"]).segments):
+            break
+        store.forget(name, row["version"])
+
+
 def audit_gate(store: SnapshotStore, run_id: str) -> DataFrame:
     """Latest per-table audit rows of a complete run for this root.
 
@@ -250,6 +296,7 @@ def export_tables(source: SnapshotStore, target: SnapshotStore,
                                            {"compression": "gzip", "format_version": "2"})
         written = target.commit(name, version)
         export_row_check(pinned.row_count, written.row_count, name)
+        fingerprint_check(pinned, written, name)
         return (name, True, pinned.version, version, written.snapshot_id, written.row_count)
 
     # tables are independent: their copy jobs run side by side; the manifest
@@ -268,6 +315,13 @@ def export_row_check(expected: int, actual: int, name: str) -> None:
         raise RowCountMismatch(f"{name}: {actual} rows arrived of {expected}")
 
 
+def fingerprint_check(source: Commit, target: Commit, name: str) -> None:
+    """The rows written must be the rows pinned, by the fingerprints that both writes left
+    (a table from before there were any has none)."""
+    if source.fingerprint() is not None and source.fingerprint() != target.fingerprint():
+        raise RowCountMismatch(f"{name}: the rows that arrived aren't those of version {source.version}")
+
+
 def publish_manifest(store: SnapshotStore, run_id: str | None = None,
                      tables=tuple(TABLES)) -> DataFrame:
     """Version + counted rows per table; with ``run_id`` the retention
@@ -333,9 +387,10 @@ def warehouse_export(source: SnapshotStore, target: SnapshotStore, run_date: dt.
                      tables=tuple(TABLES)) -> DataFrame:
     """Replace each warehouse table with the pinned source snapshot.
 
-    Daily ingestion partition, every file sorted by ``label``, gzip, microsecond
-    timestamps, loaded-rows check, ``label`` required.  No shuffle: each task sorts
-    and writes its own rows, all of one ingestion date.
+    Daily ingestion partition, rows clustered by ``label``, gzip, microsecond
+    timestamps, loaded-rows check, ``label`` required.  One shuffle deals rows out by ranges of
+    (label, row hash), so a file holds few labels, and a label that a third of all
+    rows share is spread over several tasks; each task sorts its rows.
     Partitions older than the expiry are removed from the warehouse."""
     spark = source.spark
     require_tables(source)
@@ -343,20 +398,21 @@ def warehouse_export(source: SnapshotStore, target: SnapshotStore, run_date: dt.
     def load_one(name: str) -> tuple:
         if not source.present(name):
             target.drop(name)
-            return (name, False, None, None)
+            return (name, False, None, None, None, None)
         pinned = source.commit(name)
         data = source.read(name, version=pinned.version)
         if "label" not in data.columns:
             raise ValueError(f"can't cluster {name}: no label column")
         # the partition column leads, so that the writer keeps this order
-        staged = (data.withColumn("ingest_date", F.lit(run_date).cast("date"))
+        staged = (data.repartitionByRange("label", row_hash(data.columns))
+                  .withColumn("ingest_date", F.lit(run_date).cast("date"))
                   .sortWithinPartitions("ingest_date", "label"))
         version = target.create_or_replace(name, staged, ["ingest_date"], {"compression": "gzip"},
                                            cluster=False)
         loaded = target.commit(name, version).row_count
         export_row_check(pinned.row_count, loaded, name)
         expire_partitions(target, name, run_date)
-        return (name, True, pinned.version, loaded)
+        return (name, True, pinned.version, version, f"{target.path(name)}/ingest_date={run_date}", loaded)
 
     # microsecond timestamps for the whole load; tables load side by side
     prior = spark.conf.get("spark.sql.parquet.outputTimestampType")
@@ -367,8 +423,8 @@ def warehouse_export(source: SnapshotStore, target: SnapshotStore, run_date: dt.
             rows = [f.result() for f in futures]
     finally:
         spark.conf.set("spark.sql.parquet.outputTimestampType", prior)
-    return spark.createDataFrame(rows, "table string, present boolean, source_version long, "
-                                       "row_count long")
+    return spark.createDataFrame(rows, "table string, present boolean, source_version long, target_version long, "
+                                       "target string, row_count long")
 
 
 def expire_partitions(store: SnapshotStore, name: str, today: dt.date,
@@ -385,14 +441,29 @@ def expire_partitions(store: SnapshotStore, name: str, today: dt.date,
     return store.read(name)
 
 
+def _placed_rows(store: SnapshotStore, name: str, column: str) -> DataFrame:
+    """A column of the current version's rows, with their file and place in it."""
+    data = f"{store.path(name)}/data"
+    rows = store.spark.read.option("basePath", data).parquet(*[f"{data}/{s}" for s in store.commit(name).segments])
+    return rows.select(F.col(column).alias("__v"), F.col("_metadata.file_path").alias("file_path"),
+                       F.col("_metadata.row_index").alias("__at"))
+
+
+def overlapping_files(store: SnapshotStore, name: str, column: str = "label") -> DataFrame:
+    """Files of the current version whose range of ``column`` overlaps an earlier one's by more
+    than the value that both end on (none after ``warehouse_export``: only a label that is spread
+    over tasks stands in several files)."""
+    ranges = _placed_rows(store, name, column).groupBy("file_path").agg(
+        F.min("__v").alias("low"), F.max("__v").alias("high"))
+    before = F.max("high").over(Window.orderBy("low", "high", "file_path")
+                                .rowsBetween(Window.unboundedPreceding, -1))
+    return ranges.withColumn("__before", before).where(F.col("__before") > F.col("low")).drop("__before")
+
+
 def unordered_files(store: SnapshotStore, name: str, column: str = "label") -> DataFrame:
     """Files of the current version in which ``column`` falls from a row to the next
     (none after ``warehouse_export``).  Rows are compared in file order, within tasks."""
-    spark = store.spark
-    data = f"{store.path(name)}/data"
-    rows = spark.read.option("basePath", data).parquet(*[f"{data}/{s}" for s in store.commit(name).segments])
-    placed = rows.select(F.col(column).alias("__v"), F.col("_metadata.file_path").alias("file_path"),
-                         F.col("_metadata.row_index").alias("__at"))
+    placed = _placed_rows(store, name, column)
     runs = placed.groupBy("file_path", "__v").agg(F.min("__at").alias("__first"), F.max("__at").alias("__last"))
     after = F.lag("__last").over(Window.partitionBy("file_path").orderBy(F.asc_nulls_first("__v")))
     return (runs.withColumn("__before", after).filter(F.col("__before") > F.col("__first"))

@@ -10,15 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlake.sources.snapshots import row_hash
+
 
 def except_all_both_ways(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Multiset difference in both directions, tagged ``side``.
+    """Multiset difference in both directions, tagged ``side``, each row as often as it
+    is missing on the other side.
 
     Empty result <=> equal multisets of rows.  Columns are aligned by name."""
-    right = right.select(*left.columns)
-    only_left = left.exceptAll(right).select(F.lit("left").alias("side"), *left.columns)
-    only_right = right.exceptAll(left).select(F.lit("right").alias("side"), *left.columns)
-    return only_left.unionByName(only_right)
+    diff = drilled_differences(left, right).withColumn("__more", F.col("left_rows") - F.col("right_rows"))
+    side = F.when(F.col("__more") > 0, F.lit("left")).otherwise(F.lit("right")).alias("side")
+    times = F.sequence(F.lit(1).cast("long"), F.abs("__more"))
+    return diff.select(side, *[F.col(f"`{c}`") for c in left.columns], F.explode(times).alias("__copy")).drop("__copy")
 
 
 def difference_counts(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -38,9 +41,39 @@ def difference_counts(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+#: Buckets that digests are taken of.
+BUCKETS = 4096
+
+
+def _digests(df: DataFrame, buckets: int, side: str) -> DataFrame:
+    h = row_hash(df.columns)
+    return (df.select(F.pmod(h, F.lit(buckets)).cast("int").alias("bucket"), h.alias("h"))
+            .groupBy("bucket").agg(F.struct(F.count(F.lit(1)), F.sum(F.col("h").cast("decimal(38,0)")),
+                                            F.sum(F.xxhash64("h").cast("decimal(38,0)"))).alias(side)))
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Buckets of row hashes whose digests (count and sums of two hashes) differ.  Each side is
+    aggregated within its tasks, so at most ``buckets`` rows a task are shuffled."""
+    both = _digests(left, buckets, "l").join(_digests(right.select(*left.columns), buckets, "r"), "bucket", "full_outer")
+    return both.where(~F.col("l").eqNullSafe(F.col("r"))).select("bucket")
+
+
+def drilled_differences(left: DataFrame, right: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """``difference_counts`` of the rows in differing buckets only: equal tables shuffle digests
+    and no row.  The list of differing buckets is at most ``buckets`` numbers."""
+    right = right.select(*left.columns)
+    bad = sorted(r["bucket"] for r in differing_buckets(left, right, buckets).collect())
+    if not bad:
+        nothing = left.sparkSession.createDataFrame([], left.schema)
+        return difference_counts(nothing, nothing)
+    inside = lambda df: df.where(F.pmod(row_hash(df.columns), F.lit(buckets)).isin(bad))
+    return difference_counts(inside(left), inside(right))
+
+
 def multiset_equal(left: DataFrame, right: DataFrame) -> bool:
-    """Same rows with the same multiplicities (a LIMIT 1 job on the diff)."""
-    return difference_counts(left, right.select(*left.columns)).isEmpty()
+    """Same rows with the same multiplicities, by the digests of their buckets."""
+    return differing_buckets(left, right).isEmpty()
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
@@ -48,8 +81,7 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
     count, sum (as decimal(38,0), cannot overflow), min and max of
     ``xxhash64`` over every column: one partial+final aggregate."""
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("h")
-    return df.select(h).agg(
+    return df.select(row_hash(df.columns).alias("h")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(F.col("h").cast("decimal(38,0)")).alias("hash_sum"),
         F.min("h").alias("hash_min"),
@@ -58,9 +90,10 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 
 def table_equality(left: DataFrame, right: DataFrame) -> DataFrame:
-    """One row: schema equality, row counts and full multiset equality."""
+    """One row: schema equality, row counts and full multiset equality.  Rows are compared in
+    the buckets whose digests differ."""
     same_schema = left.schema.simpleString() == right.schema.simpleString()
-    diff = difference_counts(left, right.select(*left.columns))
+    diff = drilled_differences(left, right)
     counts = diff.agg(
         F.coalesce(F.sum(F.greatest(F.col("left_rows") - F.col("right_rows"), F.lit(0))),
                    F.lit(0)).cast("bigint").alias("only_left"),

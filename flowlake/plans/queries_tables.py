@@ -320,6 +320,38 @@ def q_retention_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_rows(store, M.retention_candidates(store, "label_counts", now=now))
 
 
+@register("retention_by_property", with_ctes("label_counts", extra="""
+dead AS (
+  SELECT t."table", count_if(attack_category = 'BENIGN') + count_if(attack_category = 'ATTACK') AS n
+  FROM label_counts, (VALUES ('label_counts'), ('src_ip_window_counts')) AS t("table") GROUP BY t."table")""", body="""
+SELECT "table", d.days, CASE WHEN "table" = 'label_counts' OR d.days > 14 THEN 2 ELSE 0 END AS dead_segments,
+       CAST(CASE WHEN "table" = 'label_counts' OR d.days > 14 THEN n ELSE 0 END AS BIGINT) AS dead_rows,
+       CASE WHEN d.days > 30 THEN 2 ELSE 0 END AS expired_versions
+FROM dead, (VALUES (8), (15), (31)) AS d(days)"""))
+def q_retention_by_property(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables with the same history; one keeps deleted files for 14 days."""
+    src, _ = base(spark, sf_dir)
+    store = fresh(spark, "retention-by-property")
+    lc = src.read("label_counts")
+    parts = (lc.where("attack_category = 'BENIGN'"), lc.where("attack_category = 'ATTACK'"), lc)
+    for name, keep in (("label_counts", "interval 7 days"), ("src_ip_window_counts", "interval 14 days")):
+        for part in parts:
+            store.overwrite(name, part, ["event_date"], {"deleted_file_retention": keep})
+    out = None
+    for days in (8, 15, 31):
+        now = dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=days)
+        for name in ("label_counts", "src_ip_window_counts"):
+            added = store.history(name).select(F.col("version").alias("last_version"), "added_rows")
+            dead = M.retention_candidates(store, name, now=now).join(added, "last_version").agg(
+                F.count(F.lit(1)).cast("int").alias("dead_segments"),
+                F.coalesce(F.sum("added_rows"), F.lit(0)).alias("dead_rows"))
+            expired = M.expired_records(store, name, now=now).agg(F.count(F.lit(1)).cast("int")).scalar()
+            row = dead.select(F.lit(name).alias("table"), F.lit(days).alias("days"), "dead_segments", "dead_rows",
+                              expired.alias("expired_versions"))
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
 @register("retention_anti_join", _DEAD_SQL)
 def q_retention_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _retention_store(spark, sf_dir)
@@ -390,14 +422,15 @@ def q_publish_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("warehouse_export", with_ctes("label_counts", "windows", "anomaly", extra=COUNTS, body="""
-SELECT "table", true AS present, row_count, true AS ordered FROM counts"""))
+SELECT "table", true AS present, row_count, true AS ordered, true AS clustered FROM counts"""))
 def q_warehouse_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, _ = base(spark, sf_dir)
     target = fresh(spark, "warehouse-load")
     today = dt.datetime.now(dt.timezone.utc).date()
     loaded = M.warehouse_export(src, target, today).select("table", "present", "row_count")
-    ordered = spark.createDataFrame([(t, M.unordered_files(target, t).isEmpty()) for t in M.TABLES],
-                                    "table string, ordered boolean")
+    ordered = spark.createDataFrame(
+        [(t, M.unordered_files(target, t).isEmpty(), M.overlapping_files(target, t).isEmpty()) for t in M.TABLES],
+        "table string, ordered boolean, clustered boolean")
     return loaded.join(ordered, "table")
 
 
@@ -419,7 +452,8 @@ def q_export_row_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("idempotent_rerun", with_ctes("label_counts", "windows", "anomaly", extra=COUNTS, body="""
-SELECT "table", row_count AS first_rows, row_count AS second_rows, true AS same_rows FROM counts"""))
+SELECT "table", row_count AS first_rows, row_count AS second_rows, true AS same_rows, true AS same_fingerprints
+FROM counts"""))
 def q_idempotent_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, _ = base(spark, sf_dir)
     target, first, second = _exported(spark, sf_dir)
@@ -428,18 +462,36 @@ def q_idempotent_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = []
     for name in M.TABLES:
         same_rows = multiset_equal(src.read(name), target.read(name))
-        frames.append(spark.createDataFrame([(name, same_rows)], "table string, same_rows boolean"))
+        # by the commit records alone: the source's version and both exports of it
+        prints = {src.fingerprint(name), *(target.fingerprint(name, v) for v in target.versions(name))}
+        frames.append(spark.createDataFrame([(name, same_rows, len(prints) == 1)],
+                                            "table string, same_rows boolean, same_fingerprints boolean"))
     same = frames[0]
     for fr in frames[1:]:
         same = same.unionByName(fr)
     return f.join(s, "table").join(same, "table").select("table", "first_rows", "second_rows",
-                                                         "same_rows")
-
-
-@register("run_report")
+                                                         "same_rows", "same_fingerprints")
+
+
+@register("run_report", with_ctes("label_counts", "windows", "anomaly", extra=COUNTS, body="""
+SELECT 'none' AS cache_mode, count(*) AS cleaned_rows,
+       CAST(count_if("Source_IP" IS NULL) AS BIGINT) AS null_source_ip,
+       CAST(count_if("Flow_Packets/s" IS NULL) AS BIGINT) AS null_flow_packets_per_sec,
+       CAST(count_if(event_time IS NULL) AS BIGINT) AS null_event_time,
+       CAST(count_if(attack_category = 'ATTACK') AS BIGINT) AS attack_rows,
+       min(event_time) AS first_time, max(event_time) AS last_time, min(event_date) AS first_date,
+       max(event_date) AS last_date, min(_source_file) AS first_capture, max(_source_file) AS last_capture,
+       (SELECT t FROM threshold) AS threshold_packets_per_sec,
+       (SELECT CAST(sum(row_count) AS BIGINT) FROM counts) AS rows_of_all_tables
+FROM fact"""))
 def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of a run's report that follow from its input."""
     _, report = base(spark, sf_dir)
-    return report
+    nulls = [F.col("null_rows")[c].alias(f"null_{c}") for c in ("source_ip", "flow_packets_per_sec", "event_time")]
+    total = F.aggregate(F.map_values("table_rows"), F.lit(0).cast("long"), lambda a, n: a + n)
+    return report.select("cache_mode", "cleaned_rows", *nulls, "attack_rows", "first_time", "last_time", "first_date",
+                         "last_date", "first_capture", "last_capture", "threshold_packets_per_sec",
+                         total.alias("rows_of_all_tables"))
 
 
 @register("cache_mode", with_ctes("label_counts", body="""
