@@ -221,8 +221,19 @@ def q_reconcile_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("validate_structure", with_ctes("fact", body="""
-SELECT (SELECT count(*) FROM raw) AS raw_rows, count(*) AS cleaned_rows,
+SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM raw) AS records, count(*) AS cleaned_rows,
        count(*) <= (SELECT count(*) FROM raw) AS passed FROM fact"""))
 def q_validate_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact, _ = csv_fact(spark, sf_dir)
-    return V.validate_structure(S.raw_line_count(spark, flows_csv(spark, sf_dir)), fact)
+    return V.validate_structure(S.raw_record_count(spark, flows_csv(spark, sf_dir)), fact)
+
+
+@register("raw_record_count", """
+SELECT count(*) AS records, count(*) FILTER (text LIKE '%' || chr(10) || '%') > 0 AS more_lines FROM documents""")
+def q_raw_record_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of CSV files whose cells hold line feeds, quotes and commas: the documents' texts."""
+    configure(spark)
+    path = scratch_path(spark, "documents-csv")
+    spark.read.parquet(f"{sf_dir}/documents.parquet").write.option("header", True).csv(path)
+    counted = S.raw_record_count(spark, f"{path}/*.csv")
+    return counted.select("records", (F.col("raw_rows") > F.col("records")).alias("more_lines"))

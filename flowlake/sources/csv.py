@@ -14,7 +14,7 @@ import csv as _csv
 import io
 from collections import OrderedDict
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -160,6 +160,46 @@ def raw_line_count(spark: SparkSession, pattern: str) -> DataFrame:
     return raw_line_counts(spark, pattern).agg(F.sum("raw_rows").cast("bigint").alias("raw_rows"))
 
 
+def raw_record_counts(spark: SparkSession, pattern: str) -> DataFrame:
+    """S8 exactly, per file: ``file_path, raw_rows`` (lines, less the header) and ``records``, which may
+    hold quoted line feeds; blank lines between records aren't any.
+
+    A line with an odd number of quotes opens or closes a quoted cell.  Splits are scanned in parallel:
+    each counts its lines, a running sum over a file's splits gives where each begins, and
+    only the lines that matter (odd quotes, or blank) are put in order.  Quotes follow what
+    Spark writes: a cell that holds one is quoted, and it stands behind a backslash or doubled."""
+    bare = F.when(F.col("value").contains("\\"), F.regexp_replace("value", r"\\.", "")).otherwise(F.col("value"))
+    quotes = F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))
+    lines = spark.read.text([p for p, _ in fs.glob_files(spark, pattern)]).select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"), (quotes % 2).alias("odd"),
+        (F.trim("value") == "").cast("int").alias("blank"))
+    earlier = Window.partitionBy("file_path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (lines.groupBy("file_path", "start").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+              .withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))))
+    size = splits.groupBy("file_path").agg(F.sum("n").alias("lines"))
+    telling = (lines.where("odd = 1 OR blank = 1").join(splits, ["file_path", "start"])
+               .select("file_path", (F.col("before") + F.col("at") - F.col("first")).alias("place"), "odd", "blank"))
+    order = Window.partitionBy("file_path").orderBy("place")
+    seen = F.sum("odd").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    opened = F.max(F.when(F.col("odd") == 1, F.col("place"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    judged = telling.select("file_path", "place", "odd", "blank", seen.alias("seen"), opened.alias("opened"))
+    inside = F.when((F.col("odd") == 1) & (F.col("seen") % 2 == 0), F.col("place") - F.col("opened"))
+    gone = judged.groupBy("file_path").agg(
+        (F.coalesce(F.sum(inside), F.lit(0)) + F.count_if((F.col("blank") == 1) & (F.col("seen") % 2 == 0))).alias("gone"),
+        # a quote that is never closed takes in the rest of the file
+        F.max_by(F.when(F.col("seen") % 2 == 1, F.greatest("opened", F.when(F.col("odd") == 1, F.col("place")))),
+                 "place").alias("open_at"))
+    less = F.coalesce("gone", F.lit(0)) + F.coalesce(F.col("lines") - 1 - F.col("open_at"), F.lit(0))
+    return size.join(gone, "file_path", "left").select(
+        "file_path", (F.col("lines") - 1).alias("raw_rows"), (F.col("lines") - 1 - less).alias("records"))
+
+
+def raw_record_count(spark: SparkSession, pattern: str) -> DataFrame:
+    """One row, all files: lines (an upper bound) and records."""
+    return raw_record_counts(spark, pattern).agg(F.sum("raw_rows").alias("raw_rows"), F.sum("records").alias("records"))
+
+
 def smallest_file(spark: SparkSession, pattern: str) -> DataFrame:
     """The smallest input file (ties broken by path), from the captures table."""
     return captures(spark, pattern, header="").orderBy("file_size", "file_path").limit(1).select(

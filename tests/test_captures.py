@@ -55,3 +55,25 @@ def test_rows_meet_their_file(spark, tmp):
     assert raw.join(files, raw["_source_file"].endswith(F.col("capture"))).count() == 1
     smallest = S.smallest_file(spark, f"{tmp}/*/*.csv").first()
     assert (smallest["capture"], smallest["file_size"]) == ("Friday.csv", 26)
+
+
+def test_quoted_line_feeds_are_one_record(spark, tmp):
+    texts = {"a.csv": 'x,y\n1,"two\nlines"\n2,"q \\" and\n\n three\\\\"\n\n3,plain\n4,"doubled "" quote\nhere"\n',
+             "b.csv": 'x,y\n1,"never closed\n2,b\n3,c\n', "c.csv": "x,y\n", "d.csv": "x,y\n1,2\n  \n\n3,4\n"}
+    for name, text in texts.items():
+        Path(tmp, name).write_text(text)
+    got = {r["file_path"].rsplit("/", 1)[1]: (r["raw_rows"], r["records"])
+           for r in S.raw_record_counts(spark, f"{tmp}/*.csv").collect()}
+    assert got == {"a.csv": (9, 4), "b.csv": (3, 1), "c.csv": (0, 0), "d.csv": (4, 2)}
+
+
+def test_records_are_counted_across_splits(spark, tmp):
+    Path(tmp, "big.csv").write_text("x,y\n" + "".join(f'{i},"a\n{"b" * (i % 40)}\nc"\n' for i in range(4000)))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1000")
+    try:
+        assert tuple(S.raw_record_count(spark, f"{tmp}/*.csv").first()) == (12_000, 4000)
+        assert S.raw_record_counts(spark, f"{tmp}/*.csv").count() == 1
+    finally:
+        spark.conf.set(key, before)
