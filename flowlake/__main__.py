@@ -44,6 +44,7 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--cluster-fact", action="store_true",
                    help="rebalance the fact by day before its write (captures that mix many days)")
     t.add_argument("--plans-dir", default=None, help="write each table's query plan here")
+    t.add_argument("--metrics", default=None, help="store the report as a JSON file here as well")
     t.add_argument("--types", default=None,
                    help='JSON {"column": "type"} for columns beyond the canonical ones')
     t.add_argument("--infer", action="store_true",
@@ -85,11 +86,14 @@ def main(argv: list[str] | None = None) -> int:
                                read_seconds=read_seconds)
         for name, text in (plans or {}).items():
             fs.write_new(spark, f"{args.plans_dir.rstrip('/')}/{name}.txt", text)
-        _print(_rows(report)[0])
+        metrics = _rows(report)[0]
+        if args.metrics:
+            fs.write_new(spark, args.metrics, json.dumps(metrics, indent=2, default=str))
+        _print(metrics)
     elif args.command == "validate":
         fact = store.read("network_events")
         labels = V.validate_labels(spark, args.raw, fact)
-        structure = V.validate_structure(S.raw_line_count(spark, args.raw), fact)
+        structure = V.validate_structure(S.raw_record_count(spark, args.raw), fact)
         ok_labels = labels.where("NOT match").isEmpty()
         ok_structure = structure.first()["passed"]
         _print({"labels": _rows(labels), "structure": _rows(structure)[0],

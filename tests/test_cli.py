@@ -14,8 +14,9 @@ def test_cli_transform_validate_export_retain_publish(spark, tmp, capsys):
     shutil.copytree(FIXTURE_DIR, raw)
     root, target = f"{tmp}/tables", f"{tmp}/export"
     assert main(["transform", "--raw", f"{raw}/*.csv", "--root", root,
-                 "--plans-dir", f"{tmp}/plans"]) == 0
+                 "--plans-dir", f"{tmp}/plans", "--metrics", f"{tmp}/metrics.json"]) == 0
     report = json.loads(capsys.readouterr().out)
+    assert json.load(open(f"{tmp}/metrics.json")) == report
     assert "Physical Plan" in open(f"{tmp}/plans/label_counts.txt").read()
     assert report["cleaned_rows"] == 10 and report["threshold_packets_per_sec"] == 6.5
     assert main(["validate", "--raw", f"{raw}/*.csv", "--root", root]) == 0
