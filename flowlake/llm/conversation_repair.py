@@ -22,7 +22,7 @@ nodes are given up; what is held of a conversation, however long, is its audit a
 the letters on which the four still differ.
 
 One digest runs over a whole conversation, so one task reads it: a stream without a
-buffer.  Text that must go doesn't travel.
+buffer.
 
 Null roles and texts are one space, null turns come first and count for no gap, a null
 conversation id is a conversation of its own.  Rows that are alike in all but other columns are
