@@ -195,6 +195,16 @@ def test_vector_dedup_equals_all_pairs(spark, monkeypatch, cell):
     assert got == plain_vectors(rows)
 
 
+@pytest.mark.parametrize("cell", [2, 4096])
+def test_vector_dedup_of_huge_and_tiny_vectors(spark, monkeypatch, cell):
+    monkeypatch.setattr(vector_dedup, "CELL_ROWS", cell)
+    vectors = [[1e200, 1e200], [1.1e200, 1e200], [1e-200, 1e-200], [1.0, 0.1], [1e300, 1e299], [5e-324, 0.0],
+               [-1e200, 1e-200]]
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vector_dedup.dedup_vectors(df).collect()}
+    assert got == {0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (2, 3), 4: (2, 3), 5: (2, 3), 6: (0, 6)}
+
+
 def test_vector_dedup_of_repeated_rows_and_nothing(spark):
     schema = "vec_id long, embedding array<float>, label int"
     df = spark.createDataFrame([(4, [1.0, 0.0], 1), (4, [1.0, 0.0], 1), (2, [1.0, 0.01], 1), (None, [0.0, 1.0], 1)], schema)
