@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from flowlake.sources.snapshots import SchemaMismatch, SnapshotStore
 
+# The column that the demo flows add, and its scores.
 NEW_COLUMN = "threat_intel_score"
+MERGED_SCORE, ADDED_SCORE = 0.87, 0.9
 
 
 def seed_copy(source: SnapshotStore, target: SnapshotStore, name: str = "network_events") -> bool:
@@ -43,7 +45,7 @@ def append_guard(store: SnapshotStore, name: str, batch: DataFrame) -> DataFrame
 
 
 def merge_evolution(store: SnapshotStore, name: str, source: DataFrame,
-                    score: float = 0.87) -> dict:
+                    score: float = MERGED_SCORE) -> dict:
     """K5: append 3 rows with a new column, blocked first without merge."""
     before = store.commit(name)
     batch = ordered_batch(source).withColumn(NEW_COLUMN, F.lit(score).cast("double"))
@@ -54,7 +56,7 @@ def merge_evolution(store: SnapshotStore, name: str, source: DataFrame,
 
 
 def column_evolution(store: SnapshotStore, name: str, source: DataFrame,
-                     score: float = 0.9) -> dict:
+                     score: float = ADDED_SCORE) -> dict:
     """K7 + K6: ADD COLUMN (metadata only), then a conforming append."""
     before = store.commit(name)
     if before.row_count < 3:
