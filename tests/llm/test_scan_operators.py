@@ -198,6 +198,53 @@ def test_neighbours_compete(want, text):
     assert [x[0] for x in scanned(f"some words before. {text} And some after.")] == [want]
 
 
+@pytest.mark.parametrize("want, text", [
+    (["Apache"], "This software is released under the Apache license."),
+    ([], "This software is released under the license."),
+    (["BSD"], "Released under the BSD license"),
+    (["CC-BY-4.0"], "Licensed under CC BY 4.0."),
+    (["CC-BY-3.0"], "Licensed under CC BY 3.0."),
+    (["Apache"], "Licensed under the Apache License, Version 1.0."),
+    (["Apache-2.0"], "Licensed under the Apache License, Version 2.0."),
+    ([], "This work is licensed under the GNU General Public License, version 1."),
+    (["CC-BY-ND-4.0"], "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    (["CC-BY-NC-SA-4.0"], "Licensed under CC BY-NC-SA 4.0."),
+    (["AGPL-3.0"], "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+     "Affero General Public License as published by the Free Software Foundation, either version 3 of the License."),
+    (["MIT", "Apache-2.0"], "Licensed under the MIT License. Parts are licensed under the Apache License, Version 2.0.")])
+def test_deciding_words(want, text):
+    assert [x[0] for x in scanned(f"some words before. {text} And some after.")] == want
+
+
+def test_every_notice_counts():
+    page = " and then ".join(["Released under the MIT License."] * 7 + ["Licensed under CC BY 4.0."] * 3)
+    assert [(x[0], x[4]) for x in scanned(page)] == [("MIT", 7), ("CC-BY-4.0", 3)]
+
+
+def test_scan_equals_a_plain_search():
+    """Every window from every word of a template, without the counting filters."""
+    rng = random.Random(12)
+    known = license_scan.templates()
+    for trial in range(60):
+        words = []
+        for _ in range(rng.randint(1, 6)):
+            notice = license_scan.spelled(rng.choice(license_scan.TEMPLATES)[1])
+            words += [w for w in notice if rng.random() > 0.07] + [w.encode() for w in prose(rng, rng.randint(0, 8))]
+        text = b" ".join(words).decode()
+        found = set()
+        for t in known:
+            width = len(t.words) + 2 * max(3, len(t.words) // 4)
+            for start in [i for i, w in enumerate(words) if w in t.words]:
+                found.add(license_scan.fitted(words, start, start + width, t, license_scan.MIN_COVERAGE))
+        kept = []
+        for notice in sorted(found - {None}):
+            if all(notice[2] - notice[1] <= n[2] or n[2] - n[1] <= notice[2] for n in kept):
+                kept.append(notice)
+        want = {n[3] for n in kept}
+        got = scanned(text)
+        assert {x[0] for x in got} == want and sum(x[4] for x in got) == len(kept), trial
+
+
 # --- HTML --------------------------------------------------------------------
 
 def test_blocks_of_untidy_markup():
