@@ -7,12 +7,13 @@ the window go through a softmax layer, and a text's answer is the mean of its
 windows' probabilities, weighted by their bytes.
 
 Training: ``fit`` draws at most ``per_label`` documents of each label (by a hash of
-the id, so the draw is uniform and repeatable) and from each at most
+id and text, so the draw is uniform and repeatable; equal rows count once) and from each at most
 ``windows_per_doc`` windows at hashed places.  That sample is the only thing that
 reaches the driver; its bound does not depend on the corpus.
 
 Null text or text without a letter: ``und``, score 0.  No labelled row: every
-text is ``und``.  Rows with a null label are never learned from.
+text is ``und``.  Rows with a null label are never learned from.  Of labels that are equally
+likely the first in order is the answer.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 UNKNOWN = "und"
 WINDOW = 256
@@ -163,7 +165,7 @@ def train(samples: list[tuple[str, bytes]], epochs: int = 6, batch: int = 64,
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
         per_label: int = 800, windows_per_doc: int = 3) -> ByteCNN | None:
-    """Train on a bounded sample: about ``per_label`` documents of each label and
+    """Train on a bounded sample: at most ``per_label`` different documents of each label and
     ``windows_per_doc`` windows of each."""
     known = labelled.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()
                             & (F.col(text_col) != ""))
@@ -171,7 +173,9 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
               .agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
-    draw = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
+    # drawn by id and text, equal rows once: neither an id nor a text that many rows share is drawn whole
+    key = F.xxhash64(F.col(id_col), F.col(text_col))
+    draw = F.pmod(key, F.lit(1 << 30)) / float(1 << 30)
     share = F.lit(0.0)
     for lab, n in counts.items():
         share = F.when(F.col(label_col) == lab, F.lit(min(1.0, per_label / n))).otherwise(share)
@@ -179,7 +183,10 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
     places = [F.substring(F.col(text_col), F.pmod(F.xxhash64(F.col(id_col), F.lit(k)),
                                                   F.greatest(chars - WINDOW, F.lit(1))).cast("int") + 1,
                           F.lit(WINDOW)) for k in range(windows_per_doc)]
-    rows = (known.filter(draw < share).select(F.col(label_col).alias("l"), F.array(*places).alias("w")).collect())
+    drawn = (known.filter(draw < share).groupBy(F.col(label_col).alias("l"), key.alias("k"))
+             .agg(F.min(F.array(*places)).alias("w")))
+    rank = F.row_number().over(Window.partitionBy("l").orderBy("k"))
+    rows = drawn.withColumn("r", rank).filter(F.col("r") <= per_label).select("l", "w").collect()
     # in a fixed order, so that the same table gives the same model
     return train(sorted((r["l"], w.encode()) for r in rows for w in r["w"] if w))
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEPARATOR = 256
+STATE_BYTES = 1 << 24
 _HOST_PATH = re.compile(r"([^/?#]*)([^?#]*)")
 
 
@@ -137,6 +138,12 @@ class ShiftAnd:
             out[(state[:, b // 64] >> np.uint64(b % 64)) & np.uint64(1) == 1] = i
         return out
 
+    def best_in_slices(self, hosts: list[str], paths: list[str]) -> np.ndarray:
+        """``best`` of slices of the URLs, whose states take STATE_BYTES at most, however many the rules."""
+        some = max(1, STATE_BYTES // (8 * self.words))
+        found = [self.best(hosts[k:k + some], paths[k:k + some]) for k in range(0, len(hosts), some)]
+        return np.concatenate(found) if found else np.empty(0, np.int64)
+
 
 def judge_urls(df: DataFrame, rules: list[Rule], url_col: str = "url",
                default: str = "allow") -> DataFrame:
@@ -150,7 +157,7 @@ def judge_urls(df: DataFrame, rules: list[Rule], url_col: str = "url",
         for urls in batches:
             pairs = [canonical(u) for u in urls]
             hosts, paths = [h for h, _ in pairs], [p for _, p in pairs]
-            best = automaton.best(hosts, paths)
+            best = automaton.best_in_slices(hosts, paths)
             yield pd.DataFrame({"host": hosts, "path": paths,
                                 "rule": [names[i] for i in best],
                                 "verdict": [verdicts[i] for i in best]})

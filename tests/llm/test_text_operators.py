@@ -219,6 +219,40 @@ def test_language_id_without_labels_knows_nothing(spark):
     assert language_id.identify(df, None).first()["lang_pred"] == "und"
 
 
+def test_draw_is_bounded_and_takes_equal_rows_once(spark, monkeypatch):
+    """One id on many texts, one row many times, and a large label: at most ``per_label`` each."""
+    rows = [(1, f"text number {i}", "xa") for i in range(400)] + [(2, "one and the same", "xb")] * 300
+    rows += [(i, f"words of {i}", "xc") for i in range(10, 400)] + [(None, "no id", "xb"), (None, "no id", "xb")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    drawn = []
+    monkeypatch.setattr(language_id, "train", lambda samples: drawn.append(samples))
+    for _ in range(2):
+        language_id.fit(df, per_label=50, windows_per_doc=1)
+    assert drawn[0] == drawn[1]
+    of = Counter(lab for lab, _ in drawn[0])
+    assert 20 < of["xa"] <= 50 and 20 < of["xc"] <= 50 and of["xb"] <= 2
+
+
+def test_forward_pass_equals_a_plain_convolution():
+    rng = np.random.default_rng(4)
+    f = language_id.FILTERS
+    widths = language_id.WIDTHS
+    model = language_id.ByteCNN(["xa", "xb", "xc"], [rng.normal(size=(w, 256, f)) for w in widths],
+                                rng.normal(size=len(widths) * f), rng.normal(size=(len(widths) * f, 3)), rng.normal(size=3))
+    texts = ["a".encode(), "schön und gut ".encode() * 40, bytes(range(1, 256))]
+    got = model.predict(texts, model.pairs())
+    for row, text in zip(got, texts):
+        votes = np.zeros(3)
+        for at in range(0, len(text), language_id.WINDOW):
+            part = text[at:at + language_id.WINDOW]
+            window = part.ljust(language_id.WINDOW, b"\0")
+            pooled = [max(sum(t[k][window[i + k]][j] for k in range(w)) for i in range(len(window) - w + 1))
+                      for w, t in zip(widths, model.tables) for j in range(f)]
+            z = np.maximum(np.array(pooled) + model.bias, 0) @ model.dense + model.offset
+            votes += len(part) * np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert np.allclose(row, votes / len(text), atol=1e-5)
+
+
 def test_windows_cover_whole_texts():
     texts = [b"a" * 1000, b"", b"bc" * 128, b"d"]
     windows, owner, weight = language_id.cut_windows(texts)
@@ -269,3 +303,19 @@ def test_globs_and_many_words():
     assert names == ["site7.example/path7", "site59.example/path59", None]
     glob = url_filter.ShiftAnd([url_filter.Rule("block", "g", "*.ads?.*", "/b*r/*.gif")])
     assert (glob.best(hosts[3:], paths[3:]) >= 0).tolist() == [True, False, True]
+
+
+def test_many_rules_take_bounded_memory(monkeypatch):
+    """20,000 rules: a slice of URLs at a time, with the answers of one rule after the other."""
+    rules = [url_filter.domain_rule("block", f"site{i}.example/path{i % 7}") for i in range(20_000)] + RULES[:5]
+    urls = [f"http://a.site{i * 37}.example/path{i * 37 % 7}/x" for i in range(300)] + ["http://w.org/x", None, ""]
+    automaton = url_filter.ShiftAnd(rules)
+    hosts, paths = zip(*map(url_filter.canonical, urls))
+    sizes = []
+    run = url_filter.ShiftAnd.run
+    monkeypatch.setattr(url_filter.ShiftAnd, "run", lambda self, h, p: sizes.append(len(h) * 8 * self.words) or run(self, h, p))
+    best = automaton.best_in_slices(list(hosts), list(paths))
+    assert max(sizes) <= url_filter.STATE_BYTES and len(sizes) > 1
+    want = [i * 37 if i * 37 < 20_000 else -1 for i in range(300)] + [20_000, -1, -1]
+    assert best.tolist() == want
+    assert automaton.best_in_slices([], []).tolist() == []
