@@ -4,20 +4,24 @@ Unit vectors are points; cosine >= 0.93 is a chord of at most r = sqrt(2 - 2 * 0
 
 1. Equal vectors of a label become one node with a multiplicity, so a vector that a
    third of all rows share is one point.
-2. Pivots (a hashed draw of nodes) part the large labels: a vector's home is its
+2. Pivots (a hashed draw of nodes) part every label: a vector's home is its
    nearest pivot.  If x has home j and d(x, y) <= r, the triangle inequality gives
    d(y, pj) <= d(y, p_home) + 2r, so y is copied to every such cell j, except where
    y lies further than r from the plane between the two pivots.  All partners of a
    vector are then in its home cell and cells join independently.
-3. Cells with many rows are cut into chunks; chunk meets chunk, in blocks, in double
+3. A cell of more than CELL_ROWS rows is a label of its own and is parted again by its
+   own pivots: its home vectors ask, all its vectors answer.  It stays whole where
+   pivots don't prune (the copies would reach half of all its vectors in each new cell) and
+   where it holds more than half of the cell it came from.
+4. Cells that stay large are cut into chunks; chunk meets chunk, in blocks, in double
    precision.  Each vector counts its own links in its home cell, and each block sends
    one edge per vector (to its block component's first node), not one per pair.
-4. Components of these edges; results go back to the copies.
+5. Components of these edges; results go back to the copies.
 
-Pivots: at most MAX_PIVOTS for each of the PIVOT_LABELS largest labels, so the broadcast
-has a fixed bound; other labels are one cell, cut into chunks all the same.  Random
-high-dimensional vectors are all about equally far apart: no metric bound prunes them
-and the work within a label then grows with the square of its distinct vectors.
+A cell has PIVOTS_A_CELL pivots for each CELL_ROWS vectors, MAX_PIVOTS at most.  They travel by the
+shuffle, once to each slot of about CELL_ROWS rows of their cell: nothing is collected or broadcast, and a
+slot is what a task holds.  Random high-dimensional vectors are all about equally far apart: no
+metric bound prunes them and the work within a label then grows with the square of its distinct vectors.
 
 Null, zero or non-finite vectors and null labels: no links, own component.  Vectors of
 different lengths never link.  Repeated rows are separate vectors (links to each other).
@@ -39,8 +43,9 @@ from flowlake.llm.components import components
 
 COSINE = 0.93
 CELL_ROWS = 4096
-MAX_PIVOTS = 64
-PIVOT_LABELS = 64
+PIVOTS_A_CELL = 8
+MAX_PIVOTS = 512
+CELL = ["label", "dim", "cell"]
 SLACK = 1e-9
 
 
@@ -92,6 +97,68 @@ def block_links(x: np.ndarray, y: np.ndarray, x_node: np.ndarray, y_node: np.nda
     return links, edges
 
 
+def split(cells: DataFrame, sizes: DataFrame, radius: float) -> DataFrame:
+    """Rows of ``cells`` in new cells, ``parent`` being the old one.  ``sizes``: the cells' rows ``n``."""
+    sized = cells.join(sizes.select(*CELL, "n"), CELL)
+    slots = F.ceil(F.col("n") / CELL_ROWS).cast("int")
+    rank = F.row_number().over(Window.partitionBy(*CELL).orderBy(F.xxhash64("__node", "cell"), "__node"))
+    pivots = (sized.filter("home").select(*CELL, "n", "__node", "vec", rank.alias("pivot"))
+              .filter(F.col("pivot") <= MAX_PIVOTS)
+              .filter(F.col("pivot") <= F.ceil(F.col("n") * PIVOTS_A_CELL / CELL_ROWS)))
+    sent = pivots.select(*CELL, F.explode(F.sequence(F.lit(0), slots - 1)).alias("slot"), "pivot", "__node",
+                         F.lit(0).cast("long").alias("copies"), "vec", F.lit(False).alias("home"))
+    rows = sized.select(*CELL, F.pmod(F.xxhash64(F.lit(5), "__node"), slots).cast("int").alias("slot"),
+                        F.lit(0).alias("pivot"), "__node", "copies", "vec", "home")
+    slot = [*CELL, "slot"]
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in sorted_groups(batches, slot):
+            drawn, part = group[group["pivot"] > 0].sort_values("pivot"), group[group["pivot"] == 0]
+            if not len(drawn) or not len(part):     # without a home vector nobody asks
+                continue
+            pivots = _unit(_matrix(drawn["vec"]))
+            for start in range(0, len(part), 512):
+                some = part.iloc[start:start + 512]
+                home, member = cells_of(_unit(_matrix(some["vec"])), pivots, radius)
+                at, cell = np.nonzero(member)
+                out = some.iloc[at].rename(columns={"cell": "parent"})
+                out["home"] = out["home"].to_numpy() & (home[at] == cell)
+                out["cell"] = [f"{p}.{c}" for p, c in zip(out["parent"], cell)]
+                yield out[["label", "dim", "cell", "parent", "__node", "copies", "vec", "home"]]
+
+    return (sent.unionByName(rows).repartition(*slot).sortWithinPartitions(*slot)
+            .mapInPandas(place, "label string, dim int, cell string, parent string, __node long, copies long, "
+                                "vec array<double>, home boolean"))
+
+
+def parted(nodes: DataFrame, radius: float) -> DataFrame:
+    """(label, dim, cell, node, copies, vec, home): every node once at home, and where it may answer."""
+    columns = [*CELL, "__node", "copies", "vec", "home"]
+    todo = nodes.withColumns({"cell": F.lit(""), "home": F.lit(True)}).select(*columns)
+    sizes, final = todo.groupBy(*CELL).agg(F.count("*").alias("n")), []
+    while True:
+        parts = written(split(todo, sizes, radius), "cells")
+        counted = (parts.groupBy(*CELL, "parent").agg(F.count("*").alias("n"))
+                   .join(sizes.select("label", "dim", F.col("cell").alias("parent"), F.col("n").alias("before")),
+                         ["label", "dim", "parent"]))
+        # new cells stay where they hold less than half of the old one's rows on average
+        among = Window.partitionBy("label", "dim", "parent")
+        pays = F.sum("n").over(among) * 2 <= F.col("before") * F.count("*").over(among)
+        known = written(counted.withColumn("pays", pays).withColumn(
+            "again", F.col("pays") & (F.col("n") > CELL_ROWS) & (F.col("n") * 2 <= F.col("before"))), "cell-sizes")
+        kept = known.filter("not pays").select("label", "dim", F.col("parent").alias("cell")).distinct()
+        ready = known.filter("pays and not again").select(*CELL)
+        final += [todo.join(kept, CELL, "left_semi"), parts.select(*columns).join(ready, CELL, "left_semi")]
+        sizes = known.filter("again").select(*CELL, "n")
+        if sizes.isEmpty():
+            break
+        todo = parts.select(*columns).join(sizes.select(*CELL), CELL, "left_semi")
+    out = final[0]
+    for frame in final[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
 def dedup_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                   label_col: str = "label", cosine: float = COSINE) -> DataFrame:
     """One row per row of ``df``: the id, ``n_links``, ``component_id``, ``kept``."""
@@ -112,33 +179,8 @@ def dedup_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
             F.count("*").alias("copies"), F.min("__id").alias("low"), F.first("__label").alias("label"),
             F.first("__vec").alias("vec")).withColumn("dim", F.size("vec")), "vectors")
 
-    # pivots: a hashed draw, bounded per label and in the number of labels
-    sizes = nodes.groupBy("label", "dim").agg(F.count("*").alias("n"))
-    large = sizes.filter(F.col("n") > CELL_ROWS).orderBy(F.desc("n"), "label", "dim").limit(PIVOT_LABELS)
-    rank = F.row_number().over(Window.partitionBy("label", "dim").orderBy(F.xxhash64("__node"), "__node"))
-    drawn = (nodes.join(F.broadcast(large), ["label", "dim"]).select("label", "dim", "n", "vec", rank.alias("k"))
-             .filter(F.col("k") <= MAX_PIVOTS).filter(F.col("k") <= F.ceil(F.col("n") / CELL_ROWS)))
-    pivots: dict[tuple[str, int], list] = {}
-    for r in drawn.collect():
-        pivots.setdefault((r["label"], r["dim"]), []).append((r["k"], r["vec"]))
-    matrices = {key: _unit(_matrix(x for _, x in sorted(found))) for key, found in pivots.items()}
-    shared = spark.sparkContext.broadcast(matrices)
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for key, part in batch.groupby(["label", "dim"], sort=False):
-                if key not in shared.value:
-                    yield part.assign(cell=0, home=True)
-                    continue
-                home, member = cells_of(_unit(_matrix(part["vec"])), shared.value[key], radius)
-                at, cell = np.nonzero(member)
-                out = part.iloc[at].copy()
-                out["cell"], out["home"] = cell, home[at] == cell
-                yield out
-
-    placed = written(nodes.select("__node", "copies", "label", "dim", "vec").mapInPandas(
-        place, "__node long, copies long, label string, dim int, vec array<double>, cell int, home boolean"), "cells")
-    key = ["label", "dim", "cell"]
+    key = CELL
+    placed = written(parted(nodes, radius), "placed")
     chunks = (placed.groupBy(*key).agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("chunks")))
     chunked = (placed.join(chunks, key)
                .withColumn("own", F.pmod(F.xxhash64(F.lit(3), "__node"), F.col("chunks")).cast("int")))

@@ -195,6 +195,32 @@ def test_vector_dedup_equals_all_pairs(spark, monkeypatch, cell):
     assert got == plain_vectors(rows)
 
 
+def test_large_cells_are_parted_again_and_hold_every_partner(spark, monkeypatch):
+    monkeypatch.setattr(vector_dedup, "CELL_ROWS", 10)
+    monkeypatch.setattr(vector_dedup, "MAX_PIVOTS", 4)
+    rng = np.random.default_rng(3)
+    angle, radius = rng.uniform(0, 2 * np.pi, 400), 0.02
+    x = np.stack([np.cos(angle), np.sin(angle)], 1)
+    nodes = spark.createDataFrame([(i, 1, "a", 2, v) for i, v in enumerate(x.tolist())],
+                                  "__node long, copies long, label string, dim int, vec array<double>")
+    rows = vector_dedup.parted(nodes, radius).collect()
+    home = {r["__node"]: r["cell"] for r in rows if r["home"]}
+    assert len(home) == len(x) == sum(r["home"] for r in rows)
+    assert max(c.count(".") for c in home.values()) > 1 and len(rows) < 3 * len(x)
+    held = {(r["__node"], r["cell"]) for r in rows}
+    near = np.nonzero(np.linalg.norm(x[:, None] - x[None], axis=2) <= radius)
+    assert all((int(b), home[int(a)]) in held for a, b in zip(*near))
+
+
+def test_cells_that_pivots_cannot_prune_stay_whole(spark, monkeypatch):
+    monkeypatch.setattr(vector_dedup, "CELL_ROWS", 10)
+    x = np.eye(40).tolist()
+    nodes = spark.createDataFrame([(i, 1, "a", 40, v) for i, v in enumerate(x)],
+                                  "__node long, copies long, label string, dim int, vec array<double>")
+    rows = vector_dedup.parted(nodes, 2.0).collect()
+    assert sorted((r["__node"], r["cell"], r["home"]) for r in rows) == [(i, "", True) for i in range(40)]
+
+
 @pytest.mark.parametrize("cell", [2, 4096])
 def test_vector_dedup_of_huge_and_tiny_vectors(spark, monkeypatch, cell):
     monkeypatch.setattr(vector_dedup, "CELL_ROWS", cell)
