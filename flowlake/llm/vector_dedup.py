@@ -43,7 +43,7 @@ from flowlake.llm.components import components
 
 COSINE = 0.93
 CELL_ROWS = 4096
-PIVOTS_A_CELL = 8
+PIVOTS_A_CELL = 2
 MAX_PIVOTS = 512
 CELL = ["label", "dim", "cell"]
 SLACK = 1e-9
