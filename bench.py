@@ -27,12 +27,14 @@ from flowlake.plans.facts import build_fact  # noqa: E402
 from flowlake.plans.queries_ingest import write_flows_csv  # noqa: E402
 from flowlake.plans.transform import run_transform  # noqa: E402
 from flowlake.session import configure, scratch_path  # noqa: E402
-from flowlake.sources import csv as S  # noqa: E402
+from flowlake.sources import csv as S, fs  # noqa: E402
 from flowlake.sources.flows import raw_flows  # noqa: E402
 from flowlake.sources.snapshots import SnapshotStore  # noqa: E402
 
 RATE = "Flow_Packets/s"
 WIDE_TYPES = {f"Feature {i:02d}": "double" for i in range(76)}
+#: Rows of the baseline's published run; ``BENCH_REFERENCE_ROWS=0`` leaves that run out.
+REFERENCE_ROWS = int(os.environ.get("BENCH_REFERENCE_ROWS", "2830743"))
 
 
 def session(cpus: str) -> SparkSession:
@@ -62,6 +64,37 @@ def wide_flows(raw):
     return raw.select(*raw.columns, *feats)
 
 
+def reference_flows(raw, rows):
+    """Every raw flow in as many copies as reach ``rows``, with 76 feature columns as short as those of
+    real captures (about 300 bytes a line)."""
+    from pyspark.sql import functions as F
+    copies = -(-rows // max(1, raw.count()))
+    rate, dur, copy = F.col(" Flow Packets/s"), F.col(" Flow Duration"), F.col("copy")
+    feats = [(F.round(rate * (i + 1) / 7, 1) if i % 8 == 0 else (dur + copy) % (i + 11)).alias(f" Feature {i:02d}")
+             for i in range(76)]
+    many = raw.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    return many.select(*raw.columns, *feats)
+
+
+def reference_shape(spark, sf_dir: str, settings: list[tuple[str, dict[str, str]]]) -> dict:
+    """The transform over captures of the baseline's rows and columns, once for each (cache mode, session
+    settings): seconds, rows a second and stages."""
+    path = write_flows_csv(reference_flows(raw_flows(spark, sf_dir, "events"), REFERENCE_ROWS),
+                           scratch_path(spark, "bench-reference"))
+    out: dict = {"columns": 7 + len(WIDE_TYPES), "bytes": sum(size for _, size in fs.glob_files(spark, f"{path}/*/*.csv")), "runs": {}}
+    for mode, conf in settings:
+        t0 = time.perf_counter()
+        raw = S.csv_scan(spark, f"{path}/*/*.csv", types=WIDE_TYPES)
+        report = run_transform(spark, raw, SnapshotStore(spark, scratch_path(spark, "bench-ref-store")),
+                               cache_mode=mode, settings=conf, read_seconds=time.perf_counter() - t0)
+        seconds = time.perf_counter() - t0
+        rows = report.first()["cleaned_rows"]
+        name = " ".join([mode, *(f"{k.removeprefix('spark.sql.')}={v}" for k, v in conf.items())])
+        out["runs"][name] = {"sec": round(seconds, 3), "rows": rows, "rows_per_sec": round(rows / seconds, 1),
+                             "stages": stages(report)}
+    return out
+
+
 def stages(report) -> dict[str, float]:
     return {k: round(v, 3) for k, v in sorted(report.first()["timings_seconds"].items())}
 
@@ -129,6 +162,14 @@ def main() -> None:
         rep = run_transform(spark, line_raw, SnapshotStore(spark, scratch_path(spark, "bench-li-store")), cluster_fact=True)
         extra["transform_parquet_lineitem_sec"] = round(time.perf_counter() - t0, 3)
         extra["stages_transform_parquet_lineitem"] = stages(rep)
+        # the published comparison: cache modes, adaptive execution off, twice the partitions
+        twice = str(2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+        settings = [("none", {}), ("narrow", {}), ("full", {}),
+                    ("narrow", {"spark.sql.adaptive.enabled": "false"}), ("narrow", {"spark.sql.shuffle.partitions": twice})]
+    else:
+        settings = [("none", {})]
+    if REFERENCE_ROWS:
+        extra["reference_shape"] = reference_shape(spark, sf_dir, settings)
     spark.stop()
     total = round(sum(times.values()), 3)
     print(json.dumps({

@@ -43,6 +43,8 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--cache-mode", choices=["full", "narrow", "none"], default="none")
     t.add_argument("--cluster-fact", action="store_true",
                    help="rebalance the fact by day before its write (captures that mix many days)")
+    t.add_argument("--adaptive", choices=["on", "off"], default=None, help="adaptive execution for this run")
+    t.add_argument("--shuffle-partitions", type=int, default=None, help="shuffle partitions for this run")
     t.add_argument("--plans-dir", default=None, help="write each table's query plan here")
     t.add_argument("--metrics", default=None, help="store the report as a JSON file here as well")
     t.add_argument("--types", default=None,
@@ -77,13 +79,18 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "transform":
         plans: dict[str, str] | None = {} if args.plans_dir else None
         types = json.loads(args.types) if args.types else None
+        settings = {}
+        if args.adaptive:
+            settings["spark.sql.adaptive.enabled"] = str(args.adaptive == "on").lower()
+        if args.shuffle_partitions:
+            settings["spark.sql.shuffle.partitions"] = str(args.shuffle_partitions)
         began = time.perf_counter()
         scan = S.csv_scan(spark, args.raw, types=types, header=args.header, infer=args.infer)
         read_seconds = time.perf_counter() - began
         report = run_transform(spark, scan, store,
                                cache_mode=args.cache_mode,
                                cluster_fact=args.cluster_fact, plans=plans,
-                               read_seconds=read_seconds)
+                               read_seconds=read_seconds, settings=settings)
         for name, text in (plans or {}).items():
             fs.write_new(spark, f"{args.plans_dir.rstrip('/')}/{name}.txt", text)
         metrics = _rows(report)[0]

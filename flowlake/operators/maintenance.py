@@ -52,14 +52,15 @@ class StaleAudit(ValueError):
 # -- required tables (S10) ------------------------------------------------------
 
 def table_presence(store: SnapshotStore, names=tuple(TABLES)) -> DataFrame:
-    """One row per expected table: required flag, present flag, version."""
+    """One row per expected table: required flag, present flag, version, rows."""
     rows = []
     for name in names:
         v = store.latest_version(name)
         present = v is not None and store.commit(name, v).present
-        rows.append((name, name in REQUIRED_TABLES, present, v if present else None))
+        rows.append((name, name in REQUIRED_TABLES, present, v if present else None,
+                     store.commit(name, v).row_count if present else None))
     return store.spark.createDataFrame(
-        rows, "table string, required boolean, present boolean, version long")
+        rows, "table string, required boolean, present boolean, version long, row_count long")
 
 
 def missing_required(store: SnapshotStore) -> DataFrame:

@@ -141,15 +141,12 @@ def q_snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         "version", "committed_at", "operation", "snapshot_id", "row_count")
 
 
-@register("required_tables_check", """
-SELECT * FROM (VALUES ('network_events', true, true), ('label_counts', true, true),
-  ('src_ip_window_counts', false, true), ('anomaly_threshold_counts', false, true))
-  AS t("table", required, present)
-WHERE EXISTS (SELECT 1 FROM events)""")
+@register("required_tables_check", with_ctes("label_counts", "windows", "anomaly", extra=COUNTS, body="""
+SELECT "table", "table" IN ('network_events', 'label_counts') AS required, true AS present, row_count FROM counts"""))
 def q_required_tables_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, _ = base(spark, sf_dir)
     M.require_tables(store)
-    return M.table_presence(store).select("table", "required", "present")
+    return M.table_presence(store).select("table", "required", "present", "row_count")
 
 
 @_once("exported")
@@ -240,6 +237,26 @@ def q_append_same(spark: SparkSession, sf_dir: str) -> DataFrame:
     return demo.read("network_events").select("Flow_Duration", "label", "event_date")
 
 
+@register("append_folded", with_ctes("windows", body="SELECT * FROM windows"))
+def q_append_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window counts appended in twelve batches, folded as they come: few segments, the same rows."""
+    src, _ = base(spark, sf_dir)
+    windows = src.read("src_ip_window_counts")
+    store = fresh(spark, "folded")
+    slot = F.pmod(F.xxhash64("window_start", "label"), F.lit(12))
+    for k in range(12):
+        batch = windows.where(slot == k)
+        if k:
+            store.append("src_ip_window_counts", batch)
+            store.fold("src_ip_window_counts", fan=4)
+        else:
+            store.overwrite("src_ip_window_counts", batch, ["window_date"])
+    commit = store.commit("src_ip_window_counts")
+    if len(commit.segments) > 8 or commit.fingerprint() != src.fingerprint("src_ip_window_counts"):
+        raise AssertionError(f"folding left {len(commit.segments)} segments or other rows")
+    return store.read("src_ip_window_counts")
+
+
 @register("seed_copy", with_ctes("fact", body=f"SELECT {FACT_COLS} FROM fact"))
 def q_seed_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, _ = base(spark, sf_dir)

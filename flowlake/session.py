@@ -1,8 +1,8 @@
 """Session settings and the shared work folder.
 
 No module in this package starts a SparkSession; callers pass theirs in.
-``configure`` only pins what the results depend on (UTC wall clock) and
-keeps AQE on.  ``work_root`` returns the shared folder used for written
+``configure`` only pins what the results depend on (UTC wall clock), keeps AQE on
+and keeps generated code small enough to be compiled.  ``work_root`` returns the shared folder used for written
 tables and lineage cuts: it is derived from ``spark.checkpoint.dir`` so a
 cluster's shared storage is used; a private folder is set only when the
 session has none (local runs and tests).
@@ -10,8 +10,10 @@ session has none (local runs and tests).
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +22,9 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM leaves methods of over 8,000 bytes uncompiled.  A wide fact's stage would become one such
+    # method; above this limit its operators are generated each on their own, in small ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -30,6 +35,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextlib.contextmanager
+def overridden(spark: SparkSession, settings: dict[str, str] | None) -> Iterator[None]:
+    """Session settings for one run; the former ones come back after it, also when it fails."""
+    before = {k: spark.conf.get(k, None) for k in settings or {}}
+    try:
+        for k, v in (settings or {}).items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder.  Where none is set, a local session gets a
     private one; on a cluster that is an error, as executors share no local folder."""

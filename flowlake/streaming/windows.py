@@ -63,6 +63,7 @@ def _append_batch(store: SnapshotStore, name: str, partition_by: list[str]):
             if last is not None and int(last) >= batch_id:
                 return  # replay of a batch that is already committed
             store.append(name, batch, properties={key: str(batch_id)})
+            store.fold(name)  # keeps the segments few; a crash before it leaves them to the next batch
         else:
             store.overwrite(name, batch, partition_by, {key: str(batch_id)})
     return sink
