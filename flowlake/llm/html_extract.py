@@ -11,7 +11,11 @@ Training (``fit``): a bounded, hashed draw of pages of at most ``max_chars`` is
 by what their markup says (article or main, against navigation, headers, footers,
 asides, forms, adverts, notices, comments by tag, class, id or role).  The texts of
 these pages are also set into generated page frames, so that frames rare in the draw
-are learned too.  The drawn pages are all that reaches the driver.
+are learned too.  Every page is learned a second time with most of its names, and many of its
+telling tags, replaced by others that say nothing, so that text, links and place have to
+decide: what looks like main text in a frame of unknown names is kept.  The drawn pages are all that
+reaches the driver.  Reading is linear in the page: an element adds its hashed features to its
+parent's, and no block copies the path above it.
 
 Null html: no blocks, empty text.  Pages are never cut; a page without main text gives
 an empty string.  Repeated rows are extracted each.
@@ -21,7 +25,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from zlib import crc32
 
@@ -30,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PATH_SIZE = 96
+PATH_SIZE = 512
 WORD_SIZE = 32
 EXTRA = 6
 INPUT = PATH_SIZE + WORD_SIZE + EXTRA
@@ -52,7 +56,6 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<svg(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
     r"|<(?P<raw>script|style)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
-    r"|<(?P<whole>noscript|template|svg|iframe|object|canvas)(?=[\s/>])[^>]*>.*?</(?P=whole)(?=[\s/>])[^>]*>"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>", re.S | re.I)
@@ -60,17 +63,40 @@ _NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([
 _PARTS = re.compile(r"[a-z]+|[0-9]+")
 
 
+#: Elements whose text counts for nothing where they are closed; unclosed ones are ordinary tags.
+_WHOLE = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in sorted(SILENT - {"script", "style"})}
+
+# What the markup says of an element or one around it.
+_FRAME, _MAIN, _ASIDE = 1, 2, 4
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple[tuple[str, ...], ...]     # per ancestor: tag, then its names
+    path: tuple                           # hashed features (a bit each) and what the markup says
     linked: int = 0                       # characters inside links
 
 
+@dataclass
+class _Element:
+    tag: str
+    features: int                         # with those of all elements around it
+    says: int
+    leaf: str                             # nearest block-level tag, as it is to be learned
+    links: int
+    block_at: int                         # place of the nearest block-level element
+
+
+def _feature(token: str) -> int:
+    return 1 << crc32(token.encode()) % PATH_SIZE
+
+
 @dataclass
 class _Reader:
+    called: Callable[[str], str] | None = None      # another name for a tag or a ``.name``, for training
     blocks: list[Block] = field(default_factory=list)
-    stack: list[tuple[str, ...]] = field(default_factory=list)
+    stack: list[_Element] = field(default_factory=list)
+    places: dict[str, list[int]] = field(default_factory=dict)     # of open elements, by tag
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -78,14 +104,16 @@ class _Reader:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.blocks.append(Block(text, tuple(self.stack), min(self.linked, len(text))))
+                top = self.stack[-1] if self.stack else None
+                path = (top.features | _feature("leaf " + top.leaf), top.says) if top else ()
+                self.blocks.append(Block(text, path, min(self.linked, len(text))))
         self.parts, self.linked = [], 0
 
     def words(self, raw: str) -> None:
         if raw:
             text = entities.unescape(raw) if "&" in raw else raw
             self.parts.append(text)
-            if any(e[0] == "a" for e in self.stack):
+            if self.stack and self.stack[-1].links:
                 self.linked += len(text.strip())
 
     def opened(self, tag: str, attrs: str) -> None:
@@ -101,34 +129,49 @@ class _Reader:
         if "=" in attrs:
             for m in _NAMED.finditer(attrs):
                 names += _PARTS.findall((m[2] or m[3] or m[4] or "").lower())
-        self.stack.append((tag, *dict.fromkeys(names)))
+        above = self.stack[-1] if self.stack else _Element("", 0, 0, "", 0, -1)
+        called = self.called or (lambda token: token)
+        features = above.features
+        if tag not in ("html", "b", "i", "em"):
+            for token in (tag, *(f".{n}" for n in names)):
+                features |= _feature(called(token))
+        framed = tag in MAIN_TAGS
+        says = (above.says | _FRAME * framed | _MAIN * (framed or "main" in names)
+                | _ASIDE * (tag in ASIDE_TAGS or not ASIDE_NAMES.isdisjoint(names)))
+        here = len(self.stack)
+        self.stack.append(_Element(tag, features, says, called(tag) if tag in BLOCK else above.leaf,
+                                   above.links + (tag == "a"), here if tag in BLOCK else above.block_at))
+        self.places.setdefault(tag, []).append(here)
+
+    def last(self, tags: set[str]) -> int:
+        """Place of the innermost open element of these tags, or -1."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def cut(self, place: int) -> None:
+        for e in reversed(self.stack[place:]):
+            self.places[e.tag].pop()
+        del self.stack[place:]
 
     def close_inside(self, tags: set[str], opening: str) -> None:
         """End tags that HTML lets a page leave out."""
-        for k in range(len(self.stack) - 1, -1, -1):
-            tag = self.stack[k][0]
-            if tag in tags:
-                del self.stack[k:]
-                return
-            if tag in SCOPE and not (tag == "table" and opening == "tr"):
-                return
+        place = self.last(tags)
+        if place > self.last(SCOPE - tags - ({"table"} if opening == "tr" else set())):
+            self.cut(place)
 
     def closed(self, tag: str) -> None:
         if tag in BLOCK:
             self.flush()
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                del self.stack[k:]
-                return
-            if tag not in BLOCK and self.stack[k][0] in BLOCK:
-                return  # a stray inline end tag
+        place = self.last({tag})
+        if place >= 0 and (tag in BLOCK or self.stack[-1].block_at < place):  # else a stray inline end tag
+            self.cut(place)
 
 
-def read_blocks(page: str | None) -> list[Block]:
+def read_blocks(page: str | None, called: Callable[[str], str] | None = None) -> list[Block]:
     """Leaf blocks of a page in order."""
-    r, at = _Reader(), 0
+    r, at = _Reader(called), 0
     page = page or ""
-    for m in _TOKEN.finditer(page):
+    unclosed: set[str] = set()
+    while m := _TOKEN.search(page, at):
         r.words(page[at:m.start()])
         at = m.end()
         tag = m["tag"] or m["tag2"]
@@ -136,8 +179,14 @@ def read_blocks(page: str | None) -> list[Block]:
             tag = tag.lower()
             if m["end"] or m["end2"]:
                 r.closed(tag)
-            else:
-                r.opened(tag, m["attrs"] if m["tag"] else m["attrs2"])
+                continue
+            if tag in _WHOLE and tag not in unclosed:
+                end = _WHOLE[tag].search(page, at)
+                if end:
+                    at = end.end()
+                    continue
+                unclosed.add(tag)  # no later one is closed either
+            r.opened(tag, m["attrs"] if m["tag"] else m["attrs2"])
     r.words(page[at:])
     r.flush()
     return r.blocks
@@ -145,15 +194,13 @@ def read_blocks(page: str | None) -> list[Block]:
 
 # --- vectors -----------------------------------------------------------------
 
-def _path_slots(path: tuple[tuple[str, ...], ...], known: dict) -> np.ndarray:
-    got = known.get(path)
+def _path_slots(path: tuple, known: dict) -> np.ndarray:
+    features = path[0] if path else 1
+    got = known.get(features)
     if got is None:
-        tokens = [p for e in path for p in ([e[0]] + [f".{n}" for n in e[1:]]) if e[0] not in ("html", "b", "i", "em")]
-        if path:
-            tokens.append("leaf " + next((e[0] for e in reversed(path) if e[0] in BLOCK), ""))
-        got = np.unique([crc32(t.encode()) % PATH_SIZE for t in tokens] or [0])
+        got = np.array([k for k in range(PATH_SIZE) if features >> k & 1])
         if len(known) < 100_000:
-            known[path] = got
+            known[features] = got
     return got
 
 
@@ -292,18 +339,39 @@ ASIDE_TAGS = {"nav", "header", "footer", "aside", "form", "head", "menu", "butto
 ASIDE_NAMES = {"ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment",
                "comments", "consent", "contentinfo", "cookie", "cookies", "disqus", "footer", "header", "menu",
                "modal", "nav", "navbar", "navigation", "newsletter", "notice", "popup", "promo", "related",
-               "share", "sidebar", "social", "sponsor", "sponsored", "subscribe", "widget", "reply", "replies"}
+               "share", "sidebar", "social", "sponsor", "sponsored", "subscribe", "widget", "reply", "replies",
+               "complementary", "discussion", "outbrain", "taboola", "pagination", "toolbar", "recommended"}
+
+MENU_NAMES = {"breadcrumb", "breadcrumbs", "menu", "nav", "navbar", "navigation", "pagination", "toolbar"}
 
 
 def markup_labels(blocks: list[Block]) -> np.ndarray:
     """1 for main text by the markup's own words."""
-    framed = any(e[0] in MAIN_TAGS for b in blocks for e in b.path)
-    out = np.zeros(len(blocks), np.float32)
-    for k, b in enumerate(blocks):
-        inside = any(e[0] in MAIN_TAGS or "main" in e[1:] for e in b.path)
-        aside = any(e[0] in ASIDE_TAGS or ASIDE_NAMES & set(e[1:]) for e in b.path)
-        out[k] = (inside or not framed) and not aside
-    return out
+    says = [b.path[1] if b.path else 0 for b in blocks]
+    framed = any(x & _FRAME for x in says)
+    return np.array([(x & _MAIN > 0 or not framed) and not x & _ASIDE for x in says], np.float32)
+
+
+def unnamed(seed: int) -> Callable[[str], str]:
+    """Other names for most names of a page, and a plain ``div`` for many tags of main text and menus.
+
+    Menus are shown by their links as well.  Often nothing but its name shows another block beside the
+    main text, so those names stay."""
+    rng, chosen = np.random.default_rng(seed), {}
+
+    def called(token: str) -> str:
+        if token not in chosen:
+            name = token.removeprefix(".")
+            aside = name in ASIDE_NAMES or token in ASIDE_TAGS
+            rate = 0.7 if name in MENU_NAMES else 0 if aside else 0.8 if token != name else 0.5
+            if rng.random() >= rate:
+                chosen[token] = token
+            elif token != name:
+                chosen[token] = f".{rng.integers(1 << 30):x}"
+            else:
+                chosen[token] = "div" if aside or token in MAIN_TAGS else token
+        return chosen[token]
+    return called
 
 
 def generated_pages(texts: list[str], count: int, seed: int = 0) -> list[str]:
@@ -312,11 +380,11 @@ def generated_pages(texts: list[str], count: int, seed: int = 0) -> list[str]:
     pick = lambda n: [texts[int(i)] for i in rng.integers(0, len(texts), n)]
     esc = lambda s: s.replace("&", "&amp;").replace("<", "&lt;")
     short = lambda s: esc(" ".join(s.split()[:int(rng.integers(1, 6))]))
-    names = sorted(ASIDE_NAMES)
+    names, menus = sorted(ASIDE_NAMES), sorted(MENU_NAMES)
 
     def aside() -> str:
-        kind, some = int(rng.integers(0, 9)), pick(3)
-        name = names[int(rng.integers(0, len(names)))]
+        kind, some = int(rng.integers(0, 11)), pick(3)
+        name, menu = names[int(rng.integers(0, len(names)))], menus[int(rng.integers(0, len(menus)))]
         link = "".join(f"<li><a href='/x'>{short(s)}</a></li>" for s in pick(int(rng.integers(2, 8))))
         return [f"<nav><ul>{link}</ul></nav>", f"<header><h1>{short(some[0])}</h1><p>{short(some[1])}</p></header>",
                 f"<footer><p>{esc(some[0])}</p>{short(some[1])}</footer>",
@@ -325,7 +393,8 @@ def generated_pages(texts: list[str], count: int, seed: int = 0) -> list[str]:
                 f"<div class='{name}'>{esc(some[0])}</div>", f"<div id='{name}'><p>{esc(some[0])}</p><p>{esc(some[1])}</p></div>",
                 f"<section class='{name}'><h3>{short(some[0])}</h3><div class='{name}'><p>{esc(some[1])}</p></div>"
                 f"<div><p>{esc(some[2])}</p></div></section>",
-                f"<div class='{name}-box'><ul>{link}</ul></div>"][kind]
+                f"<div class='{name}-box'><ul>{link}</ul></div>", f"<div class='{menu}'><ul>{link}</ul></div>",
+                f"<div id='{menu}'>{link.replace('li>', 'span>')}</div>"][kind]
 
     out = []
     for _ in range(count):
@@ -347,17 +416,18 @@ def generated_pages(texts: list[str], count: int, seed: int = 0) -> list[str]:
 
 
 def fit(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", sample: int = 400,
-        max_chars: int = 20_000, generated: int = 500) -> BiLSTM:
+        max_chars: int = 20_000, generated: int = 1000) -> BiLSTM:
     """Train on about ``sample`` drawn pages and ``generated`` frames of their texts."""
     known = pages.filter(F.char_length(html_col).between(1, max_chars))
     total = known.count()
     draw = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
     rows = known.filter(draw < sample / max(1, total)).select(html_col).limit(2 * sample).collect()
-    real = [read_blocks(h) for h in sorted(r[0] for r in rows)]
-    texts = [b.text for blocks in real for b in blocks] or ["Some text.", "More"]
-    made = [read_blocks(p) for p in generated_pages(texts, generated)]
+    real = sorted(r[0] for r in rows)
+    texts = [b.text for h in real for b in read_blocks(h)] or ["Some text.", "More"]
+    learned = real + generated_pages(texts, generated)
+    read = [read_blocks(h) for h in learned] + [read_blocks(h, unnamed(k)) for k, h in enumerate(learned)]
     paths: dict = {}
-    return train([(vectors(b, paths), markup_labels(b)) for b in real + made])
+    return train([(vectors(b, paths), markup_labels(b)) for b in read])
 
 
 # --- the operator ------------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from pathlib import Path
 
 import numpy as np
@@ -321,6 +322,35 @@ def test_trained_labeller_on_unseen_frames(spark):
     assert html_extract.extract(df.limit(0), net).collect() == []
 
 
+def test_frames_of_unknown_names_keep_their_text():
+    rng = random.Random(17)
+    texts = [" ".join(prose(rng, rng.randint(8, 60))).capitalize() + "." for _ in range(400)]
+    learned = html_extract.generated_pages(texts, 1000)
+    read = [html_extract.read_blocks(h) for h in learned]
+    read += [html_extract.read_blocks(h, html_extract.unnamed(k)) for k, h in enumerate(learned)]
+    known: dict = {}
+    net = html_extract.train([(html_extract.vectors(b, known), html_extract.markup_labels(b)) for b in read])
+    right = links = 0
+    for k in range(100):
+        some = [" ".join(prose(rng, rng.randint(15, 60))).capitalize() + "." for _ in range(4)]
+        menu = "".join(f"<li><a href='/{i}'>{w}</a></li>" for i, w in enumerate(prose(rng, 6)))
+        box, name = ("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(2))
+        page = (f"<html><body><div class='{box}'><ul>{menu}</ul></div><div class='{name}'><p>" + "</p><p>".join(some)
+                + "</p></div></body></html>")
+        got = html_extract.main_text([html_extract.read_blocks(page)], net, known)[0].split("\n")
+        right += all(t in got for t in some)
+        links += any(w in got for w in re.findall(r"'>([^<]*)</a>", menu))
+    assert right >= 80 and links <= 10, (right, links)
+
+
+def test_reading_is_linear_in_nesting_and_unclosed_elements():
+    for page in ("<div class='x'>a " * 30_000, "<svg >" * 30_000 + "a", "<b>" * 30_000 + "</i>" * 30_000 + "a",
+                 "<i><div>" * 15_000 + "x</i>" * 15_000):
+        began = time.perf_counter()
+        assert html_extract.read_blocks(page)
+        assert time.perf_counter() - began < 5
+
+
 # --- queries and pipeline ----------------------------------------------------
 
 @pytest.mark.skipif(not Path(SF_DIR).exists(), reason="driver tables not present")
